@@ -27,8 +27,3 @@ def has_key(text: Column, key: str) -> Column:
 
 def is_json(text: Column) -> Column:
     return is_object(text) | F.json_array_length(text).isNotNull() | F.try_parse_json(text).isNotNull()
-
-
-def list_length(text: Column, field: str) -> Column:
-    """Length of a list field; NULL when it is missing or not a list."""
-    return F.json_array_length(F.get_json_object(text, f"$['{field}']")).cast("long")

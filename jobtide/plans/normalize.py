@@ -32,7 +32,7 @@ COLUMNS = (
     "url",
     "ingested_at",
 )
-LOW, HIGH = F.col("salary_min"), F.col("salary_max")
+BOUNDS = ("salary_min", "salary_max")
 
 
 def text_salaries(jobs: DataFrame) -> DataFrame:
@@ -49,19 +49,20 @@ def text_salaries(jobs: DataFrame) -> DataFrame:
 
 def usd_salaries(jobs: DataFrame) -> DataFrame:
     """Postings with bounds already in USD."""
+    low, high = map(F.col, BOUNDS)
     return jobs.withColumns(
         {
-            "salary_currency": F.when(any_bound(LOW, HIGH), "USD"),
-            "salary_min_usd": LOW,
-            "salary_max_usd": HIGH,
-            "salary_source": usd_label(LOW, HIGH),
+            "salary_currency": F.when(any_bound(low, high), "USD"),
+            "salary_min_usd": low,
+            "salary_max_usd": high,
+            "salary_source": usd_label(low, high),
         }
     )
 
 
 def local_salaries(jobs: DataFrame, rates: DataFrame) -> DataFrame:
     """Postings with bounds in the currency of the country searched."""
-    return convert_bounds(jobs, rates, "search_country", "salary_min", "salary_max")
+    return convert_bounds(jobs, rates, "search_country", *BOUNDS)
 
 
 def normalize(remotive: DataFrame, remoteok: DataFrame, adzuna: DataFrame, rates: DataFrame) -> DataFrame:

@@ -7,14 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.functions.json import array_elements
 from jobtide.functions.text import flag, null_if
 from jobtide.functions.time import convert, utc_from_naive
 from jobtide.operators.dedup import latest_by_key
 from jobtide.schemas import ADZUNA_JOB, AMOUNT, REMOTEOK_JOB, REMOTIVE_JOB
 
 AMOUNT_TYPE = AMOUNT.simpleString()
-PAYLOAD = "jobs string, country string"
+PAYLOAD = "jobs array<string>, country string"
 
 
 def explode_jobs(raw: DataFrame) -> DataFrame:
@@ -28,16 +27,12 @@ def explode_jobs(raw: DataFrame) -> DataFrame:
         "ingested_at",
         "source",
         F.col("_p.country").alias("search_country"),
-        F.posexplode(array_elements(F.col("_p.jobs"))).alias("position", "job"),
+        F.posexplode("_p.jobs").alias("position", "job"),
     )
 
 
-def _text(value: str | None) -> Column:
-    return F.lit(value).cast("string")
-
-
-NO_AMOUNT = F.lit(None).cast(AMOUNT)
-NO_TAGS = F.lit(None).cast("array<string>")
+def _absent(kind: str) -> Column:
+    return F.lit(None).cast(kind)
 
 
 def _remotive(job: Callable[[str], Column], lenient: bool) -> dict[str, Column]:
@@ -47,8 +42,8 @@ def _remotive(job: Callable[[str], Column], lenient: bool) -> dict[str, Column]:
         "category": job("category"),
         "tags": job("tags"),
         "location": job("candidate_required_location"),
-        "salary_min": NO_AMOUNT,
-        "salary_max": NO_AMOUNT,
+        "salary_min": _absent(AMOUNT_TYPE),
+        "salary_max": _absent(AMOUNT_TYPE),
         "salary_text": null_if(job("salary"), ""),
         "published_at": utc_from_naive(job("publication_date"), lenient),
         "url": job("url"),
@@ -60,12 +55,12 @@ def _remoteok(job: Callable[[str], Column], lenient: bool) -> dict[str, Column]:
     return {
         "title": job("position"),
         "company": job("company"),
-        "category": _text(None),
+        "category": _absent("string"),
         "tags": job("tags"),
         "location": null_if(job("location"), ""),
         "salary_min": convert(null_if(job("salary_min"), "0"), AMOUNT_TYPE, lenient),
         "salary_max": convert(null_if(job("salary_max"), "0"), AMOUNT_TYPE, lenient),
-        "salary_text": _text(None),
+        "salary_text": _absent("string"),
         "published_at": convert(job("date"), "timestamp", lenient),
         "url": job("url"),
     }
@@ -76,11 +71,11 @@ def _adzuna(job: Callable[[str], Column], lenient: bool) -> dict[str, Column]:
         "title": job("title"),
         "company": job("company.display_name"),
         "category": job("category.label"),
-        "tags": NO_TAGS,
+        "tags": _absent("array<string>"),
         "location": job("location.display_name"),
         "salary_min": convert(job("salary_min"), AMOUNT_TYPE, lenient),
         "salary_max": convert(job("salary_max"), AMOUNT_TYPE, lenient),
-        "salary_text": _text(None),
+        "salary_text": _absent("string"),
         "salary_is_predicted": flag(job("salary_is_predicted")),
         "published_at": convert(job("created"), "timestamp", lenient),
         "url": job("redirect_url"),

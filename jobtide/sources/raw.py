@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide.fixed import SOURCES
-from jobtide.functions.json import list_length
 from jobtide.schemas import RAW
 
 
@@ -75,6 +74,9 @@ def insert_payload(
 
 def with_counts(raw: DataFrame) -> DataFrame:
     """Raw rows with the declared job count and the real one, NULL where ``jobs`` is no list."""
-    return raw.withColumn(
-        "job_count_declared", F.get_json_object("payload", "$['job-count']").cast("int")
-    ).withColumn("job_count_actual", list_length(F.col("payload"), "jobs"))
+    counted = raw.withColumn("_p", F.from_json("payload", "`job-count` string, jobs array<string>"))
+    return counted.select(
+        *raw.columns,
+        F.col("_p.job-count").cast("int").alias("job_count_declared"),
+        F.size("_p.jobs").alias("job_count_actual"),
+    )
