@@ -7,6 +7,7 @@ Bodies hold a bounded block of keys each; all rows are used.
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,9 +48,11 @@ def _money(value: str) -> Column:
 
 
 def _bodies(rows: DataFrame, *by: str, order: str, job: Column) -> DataFrame:
-    listed = F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), F.to_json(job).alias("job"))))
+    # JSON is written after the shuffle: there it is spread over tasks whatever the file layout.
+    listed = F.sort_array(F.collect_list(F.struct(F.col(order).alias("at"), job.alias("job"))))
     return rows.groupBy(*by).agg(
-        F.array_join(F.transform(listed, lambda r: r["job"]), ",").alias("list"), F.max("size_ok").alias("size_ok")
+        F.array_join(F.transform(listed, lambda r: F.to_json(r["job"])), ",").alias("list"),
+        F.max("size_ok").alias("size_ok"),
     )
 
 
@@ -187,9 +190,9 @@ def _responses(bodies, source, key, body, status=None, country=None) -> DataFram
 BUILDERS = {"remotive": category_responses, "remoteok": tag_responses, "adzuna": paged_responses}
 
 
-def raw(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    """The landing table of one source: a run is ingested an hour after the one before."""
-    packed = payloads(BUILDERS[source](spark, sf_dir), BOUND_FEEDS[source])
+def raw(responses: DataFrame) -> DataFrame:
+    """The landing table of all sources: a run is ingested an hour after the one before."""
+    packed = reduce(DataFrame.unionByName, [payloads(responses, feed) for feed in BOUND_FEEDS.values()])
     run = F.col("run_id").cast("long")
     return packed.select(
         (run * 1000 + F.col("pack")).alias("raw_id"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache, reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,7 @@ from bindings.sql import text, using
 from jobtide.plans import marts, normalize, responses, staging
 from jobtide.sources.raw import with_counts
 from jobtide.sources.seeds import read_rates
+from jobtide.sources.workdir import written
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -32,8 +35,29 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select([column(field) for field in df.schema])
 
 
+# Responses and payloads are landed once, and a build stores the unified postings, as four marts read
+# them. The queries below start from those three tables, written once per session and folder.
+
+
+@cache
+def responses_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frames = [build(spark, sf_dir) for build in landing.BUILDERS.values()]
+    return written(reduce(DataFrame.unionByName, frames), "responses", "source")
+
+
+@cache
+def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = responses_table(spark, sf_dir)
+    return written(landing.raw(landed), "raw", "source")
+
+
+@cache
+def jobs_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return written(jobs(spark, sf_dir), "jobs")
+
+
 def stage(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    return staging.staging(landing.raw(spark, sf_dir, source), source)
+    return staging.staging(raw_table(spark, sf_dir), source)
 
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,20 +66,20 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def skills(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.mart_skills(jobs(spark, sf_dir))
+    return marts.mart_skills(jobs_table(spark, sf_dir))
 
 
 def salary_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = {c: F.col(c).cast("long") for c in ("avg_salary_usd", "median_salary_usd")}
-    return marts.mart_salary_ranges(jobs(spark, sf_dir)).withColumns(whole)
+    return marts.mart_salary_ranges(jobs_table(spark, sf_dir)).withColumns(whole)
 
 
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.mart_companies(jobs(spark, sf_dir))
+    return marts.mart_companies(jobs_table(spark, sf_dir))
 
 
 def jobs_over_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    unified = jobs(spark, sf_dir)
+    unified = jobs_table(spark, sf_dir)
     return marts.mart_jobs_over_time(unified, marts.mart_skills(unified))
 
 
@@ -73,7 +97,7 @@ def jobs_over_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def response_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = responses.outcomes(landing.paged_responses(spark, sf_dir), landing.PAGED)
+    rows = responses.outcomes(responses_table(spark, sf_dir), landing.PAGED)
     return plain(rows.select("run_id", "request_key", "request_ordinal", "ok", "message", "n_elements"))
 
 
@@ -86,7 +110,7 @@ def response_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def response_filter_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = responses.postings(landing.category_responses(spark, sf_dir), landing.BOUND_FEEDS["remotive"])
+    kept = responses.postings(responses_table(spark, sf_dir), landing.BOUND_FEEDS["remotive"])
     parsed = kept.withColumn("_j", F.from_json("job", "id long, url string"))
     return parsed.select("run_id", "request_ordinal", "_j.id", "_j.url")
 
@@ -100,7 +124,7 @@ def response_filter_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def response_filter_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = responses.postings(landing.tag_responses(spark, sf_dir), landing.BOUND_FEEDS["remoteok"])
+    kept = responses.postings(responses_table(spark, sf_dir), landing.BOUND_FEEDS["remoteok"])
     parsed = kept.withColumn("_j", F.from_json("job", "id string, url string"))
     return parsed.select("run_id", "request_ordinal", "_j.id", "_j.url")
 
@@ -114,7 +138,7 @@ def response_filter_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def response_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = responses.postings(landing.tag_responses(spark, sf_dir), landing.BOUND_FEEDS["remoteok"])
+    kept = responses.postings(responses_table(spark, sf_dir), landing.BOUND_FEEDS["remoteok"])
     first = responses.distinct_postings(kept).withColumn("_j", F.from_json("job", "id string, url string"))
     return first.select("run_id", "request_ordinal", "_j.id", "_j.url")
 
@@ -129,7 +153,7 @@ def response_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def response_short_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = landing.paged_responses(spark, sf_dir)
+    landed = responses_table(spark, sf_dir)
     runs = responses.run_outcomes(responses.outcomes(landed, landing.PAGED), landing.PAGED)
     used = responses.short_page_stop(responses.postings(landed, landing.PAGED), runs)
     parsed = used.withColumn("_j", F.from_json("job", "id string, redirect_url string"))
@@ -149,11 +173,11 @@ def response_short_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def payload_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = responses.payloads(landing.paged_responses(spark, sf_dir), landing.PAGED)
+    packed = responses.payloads(responses_table(spark, sf_dir), landing.PAGED)
     schema = "`fetched-pages` array<string>, `failed-pages` map<string, string>"
     read = packed.withColumn("_p", F.from_json("payload", schema))
     failed = F.transform(
-        F.array_sort(F.map_entries("_p.failed-pages")), lambda e: F.concat(e["key"], F.lit("="), e["value"])
+        F.sort_array(F.map_entries("_p.failed-pages")), lambda e: F.concat(e["key"], F.lit("="), e["value"])
     )
     return read.select(
         "run_id",
@@ -176,7 +200,7 @@ def payload_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return responses.run_summary(landing.paged_responses(spark, sf_dir), ["adzuna"])
+    return responses.run_summary(responses_table(spark, sf_dir), ["adzuna"])
 
 
 # Raw and staging -------------------------------------------------------------------------------
@@ -191,13 +215,12 @@ RAW_COUNTS = " UNION ALL ".join(
 
 @query("raw_counts", using("p_first", select=RAW_COUNTS))
 def raw_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = [with_counts(landing.raw(spark, sf_dir, source)).drop("payload") for source in landing.BUILDERS]
-    return plain(frames[0].unionByName(frames[1]).unionByName(frames[2]))
+    return plain(with_counts(raw_table(spark, sf_dir)).drop("payload"))
 
 
 @query("json_explode", using("t_first", select="SELECT run * 1000 AS raw_id, 'remoteok' AS source, count(*) AS jobs FROM t_first GROUP BY run"))
 def json_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    exploded = staging.explode_jobs(landing.raw(spark, sf_dir, "remoteok"))
+    exploded = staging.explode_jobs(raw_table(spark, sf_dir).where("source = 'remoteok'"))
     return exploded.groupBy("raw_id", "source").agg(F.count("job").alias("jobs"))
 
 
@@ -208,7 +231,7 @@ STAGED = f"""job_id, source, title, company, category, array_to_string(tags, '/'
 
 @query("parse_remotive_jobs", using("c_parsed", select=f"SELECT {STAGED} FROM c_parsed"))
 def parse_remotive_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(staging.parse_jobs(landing.raw(spark, sf_dir, "remotive"), "remotive").drop("position"))
+    return plain(staging.parse_jobs(raw_table(spark, sf_dir), "remotive").drop("position"))
 
 
 @query("stg_remotive_jobs", using("stg_remotive", select=f"SELECT {STAGED} FROM stg_remotive"))

@@ -52,7 +52,7 @@ def company_rollup(
     per_source = spelled.groupBy("company_key").agg(
         F.max("_spelling").alias("company"),
         F.sum("_n").alias("job_count"),
-        F.array_sort(F.collect_set(source)).alias("_sources"),
+        F.sort_array(F.collect_set(source)).alias("_sources"),
         F.min("_first").alias("first_published_at"),
         F.max("_last").alias("last_published_at"),
     )

@@ -124,10 +124,10 @@ def run_outcomes(requests: DataFrame, feed: Feed) -> DataFrame:
 
 def postings(responses: DataFrame, feed: Feed) -> DataFrame:
     """The postings of every successful response, in order, that belong to the request made."""
-    jobs = (
-        classify(responses, feed)
-        .where("ok")
-        .select(*PACK, "request_key", "request_ordinal", F.posexplode("elements").alias("position", "job"))
+    # Failed responses explode to nothing. A filter on ok would parse every body a second time.
+    good = F.when(F.col("ok"), F.col("elements"))
+    jobs = classify(responses, feed).select(
+        *PACK, "request_key", "request_ordinal", F.posexplode(good).alias("position", "job")
     )
     if feed.list_name is None:
         # Elements without an id are notices, not postings.
@@ -183,7 +183,7 @@ def payload_text(jobs: Column, account: Column) -> Column:
 
 def pack_jobs(jobs: DataFrame) -> DataFrame:
     """The postings of each pack, in order. A pack is bounded by the size of its responses."""
-    listed = F.array_sort(F.collect_list(F.struct("request_ordinal", "position", "job")))
+    listed = F.sort_array(F.collect_list(F.struct("request_ordinal", "position", "job")))
     return jobs.groupBy(*PACK).agg(F.transform(listed, lambda row: row["job"]).alias("jobs"))
 
 
@@ -194,12 +194,13 @@ def payloads(responses: DataFrame, feed: Feed, requests: DataFrame | None = None
     """
     requests = outcomes(responses, feed) if requests is None else requests
     runs = run_outcomes(requests, feed)
-    packed = pack_jobs(short_page_stop(distinct_postings(postings(responses, feed)), runs))
+    jobs = distinct_postings(postings(responses, feed))
+    packed = pack_jobs(short_page_stop(jobs, runs) if feed.per_page else jobs)
     used = _with_run(requests, runs).where("n_ok > 0 and (stop is null or request_ordinal <= stop)")
     number = F.col("request_key").cast("int") if feed.per_page else F.col("request_key")
     request = F.struct("request_ordinal", number.alias("key"), "request_key", "ok", "message")
     accounts = used.groupBy(*PACK).agg(
-        F.array_sort(F.collect_list(request)).alias("requests"), F.first("country").alias("country")
+        F.sort_array(F.collect_list(request)).alias("requests"), F.first("country").alias("country")
     )
     fetched = F.transform(F.filter("requests", lambda r: r["ok"]), lambda r: r["key"])
     failed = F.transform(
@@ -242,7 +243,7 @@ def run_summary(responses: DataFrame, sources: Sequence[str] = fixed.SOURCES) ->
     for name in known_sources(sources):
         feed = FEEDS[name]
         requests = outcomes(responses, feed)
-        listed = F.array_sort(
+        listed = F.sort_array(
             F.collect_list(
                 F.when(
                     (F.col("pack") == 0) & ~F.col("ok"),
