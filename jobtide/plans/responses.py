@@ -233,16 +233,22 @@ def known_sources(sources: Sequence[str]) -> list[str]:
     return list(sources)
 
 
-def run_summary(responses: DataFrame, sources: Sequence[str] = fixed.SOURCES) -> DataFrame:
+def run_summary(
+    responses: DataFrame,
+    sources: Sequence[str] = fixed.SOURCES,
+    requests_of: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
     """One row per run: whether any request went well, and the request counts.
 
     A failed run carries its error; it lists the failures of the run's first pack, and
-    :func:`outcomes` has every one of them.
+    :func:`outcomes` has every one of them. ``requests_of`` takes stored outcomes by source.
     """
     frames = []
     for name in known_sources(sources):
         feed = FEEDS[name]
-        requests = outcomes(responses, feed)
+        requests = (requests_of or {}).get(name)
+        if requests is None:
+            requests = outcomes(responses, feed)
         listed = F.sort_array(
             F.collect_list(
                 F.when(
