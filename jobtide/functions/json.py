@@ -6,14 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def array_elements(text: Column) -> Column:
-    """Elements of a JSON array as JSON text; NULL when the text is not an array."""
-    return F.from_json(text, "array<string>")
-
-
-def list_field(text: Column, field: str) -> Column:
-    """Elements of an object's list field as JSON text; NULL when it is missing or not a list."""
-    return F.from_json(text, f"`{field}` array<string>")[field]
+def list_of(text: Column, kind: str, field: str | None = None) -> Column:
+    """A JSON array, or an object's list field, read as the given array type; NULL when it is no such list."""
+    return F.from_json(text, kind) if field is None else F.from_json(text, f"`{field}` {kind}")[field]
 
 
 def is_object(text: Column) -> Column:

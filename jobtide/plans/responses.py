@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobtide import fixed
-from jobtide.functions.json import array_elements, has_key, is_json, is_object, list_field
+from jobtide.functions.json import is_json, list_of
 from jobtide.functions.text import same_text
 from jobtide.operators.dedup import first_seen
 from jobtide.operators.ranking import lookup
@@ -65,9 +65,22 @@ FEEDS = {
 }
 
 
+def _fields(feed: Feed) -> str:
+    """What is read of each element, as variants: any value parses, so only a non-object is NULL."""
+    names = ["id", *(["category"] if feed.categories else []), *(["tags"] if feed.by_tag else [])]
+    return "array<struct<" + ", ".join(f"{name}: variant" for name in names) + ">>"
+
+
 def classify(responses: DataFrame, feed: Feed) -> DataFrame:
-    """Add the response's elements, or the message saying why it failed."""
-    elements = list_field(F.col("body"), feed.list_name) if feed.list_name else array_elements(F.col("body"))
+    """Add the response's elements as JSON text and their fields, or the message saying why it failed.
+
+    Both come from parsing the body as a whole; a parse per element costs several times as much.
+    """
+
+    def listed(kind: str) -> Column:
+        return list_of(F.col("body"), kind, feed.list_name)
+
+    objects = F.col("elements").isNotNull() & F.forall("fields", lambda e: e.isNotNull())
     success = F.col("http_status").between(200, 299)
     message = (
         F.when(
@@ -79,10 +92,7 @@ def classify(responses: DataFrame, feed: Feed) -> DataFrame:
             ~F.coalesce(success, F.lit(False)),
             F.format_string(fixed.STATUS_MESSAGE, F.lit(feed.label), F.col("http_status").cast("string"), "url"),
         )
-        .when(
-            F.col("elements").isNotNull() & F.forall("elements", lambda e: F.coalesce(is_object(e), F.lit(False))),
-            None,
-        )
+        .when(objects, None)
         .when(
             F.coalesce(is_json(F.col("body")), F.lit(False)),
             F.format_string(fixed.SHAPE_MESSAGE, F.lit(feed.label), F.lit(feed.shape)),
@@ -91,7 +101,7 @@ def classify(responses: DataFrame, feed: Feed) -> DataFrame:
     )
     return (
         responses.where(F.col("source") == feed.source)
-        .withColumn("elements", elements)
+        .withColumns({"elements": listed("array<string>"), "fields": listed(_fields(feed))})
         .withColumn("message", message)
         .withColumn("ok", F.col("message").isNull())
         .withColumn("pack", F.expr(f"request_ordinal div {RESPONSES_PER_PAYLOAD}"))
@@ -123,36 +133,48 @@ def run_outcomes(requests: DataFrame, feed: Feed) -> DataFrame:
 
 
 def postings(responses: DataFrame, feed: Feed) -> DataFrame:
-    """The postings of every successful response, in order, that belong to the request made."""
-    # Failed responses explode to nothing. A filter on ok would parse every body a second time.
-    good = F.when(F.col("ok"), F.col("elements"))
-    jobs = classify(responses, feed).select(
-        *PACK, "request_key", "request_ordinal", F.posexplode(good).alias("position", "job")
+    """The postings of every successful response, in order, that belong to the request made.
+
+    Elements are filtered before the explode: a filter on exploded rows would be pushed below the
+    parse and repeat it. Failed responses have no elements to explode.
+    """
+    parsed = F.when(F.col("ok"), F.arrays_zip(F.col("elements").alias("job"), F.col("fields").alias("f")))
+    kept = F.filter(parsed, lambda element: _asked_for(element["f"], feed))
+    exploded = classify(responses, feed).select(
+        *PACK, "request_key", "request_ordinal", F.posexplode(kept).alias("position", "_e")
     )
+    posting_id = F.col("_e.f.id")
+    # A number and a text of the same digits are different ids.
+    is_text = F.schema_of_variant(posting_id) == "STRING"
+    key = F.struct(posting_id.cast("string").alias("text"), is_text.alias("is_text"))
+    return exploded.select(
+        *PACK,
+        "request_key",
+        "request_ordinal",
+        "position",
+        F.col("_e.job").alias("job"),
+        F.when(F.is_variant_null(posting_id) | posting_id.isNull(), None).otherwise(key).alias("posting_key"),
+    )
+
+
+def _asked_for(fields: Column, feed: Feed) -> Column:
+    """Whether an element is a posting and the one its request asked for."""
+    keep = F.lit(True)
     if feed.list_name is None:
-        # Elements without an id are notices, not postings.
-        jobs = jobs.where(has_key(F.col("job"), "id"))
+        # Elements without an id are notices, not postings; one holding null is a posting.
+        keep = keep & fields["id"].isNotNull()
     if feed.categories is not None:
         wanted = lookup(F.col("request_key"), dict(feed.categories))
-        category = F.from_json("job", "category string")["category"]
-        jobs = jobs.where(same_text(category, wanted))
+        keep = keep & same_text(fields["category"].cast("string"), wanted)
     if feed.by_tag:
-        tags = F.from_json("job", "tags array<string>")["tags"]
-        jobs = jobs.where(F.exists(tags, lambda tag: same_text(tag, F.col("request_key"))))
-    return jobs
+        tags = F.try_variant_get(fields["tags"], "$", "array<string>")
+        keep = keep & F.exists(tags, lambda tag: same_text(tag, F.col("request_key")))
+    return keep
 
 
 def distinct_postings(jobs: DataFrame) -> DataFrame:
-    """The first posting of each id in a run; those without an id are all kept.
-
-    A number and a text of the same digits are different ids.
-    """
-    posting_id = F.from_json("job", "id variant")["id"]
-    key = F.when(
-        posting_id.cast("string").isNotNull(),
-        F.struct(posting_id.cast("string"), F.schema_of_variant(posting_id) == "STRING"),
-    )
-    return first_seen(jobs, RUN, key, ["request_ordinal", "position"])
+    """The first posting of each id in a run; those without an id are all kept."""
+    return first_seen(jobs, RUN, F.col("posting_key"), ["request_ordinal", "position"])
 
 
 def short_page_stop(jobs: DataFrame, runs: DataFrame) -> DataFrame:
