@@ -87,7 +87,37 @@ def jobs_over_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "response_outcomes",
+    "resp_classify",
+    """SELECT event_id::VARCHAR AS request_key, (event_type = 'click')::INTEGER AS ok, CASE WHEN event_type = 'click' THEN 1 END AS n_elements,
+        CASE event_type WHEN 'error' THEN 'Timeout after 30.0s while calling https://jobs.example/' || user_id
+            WHEN 'signup' THEN 'Remotive API returned HTTP 503 for https://jobs.example/' || user_id
+            WHEN 'view' THEN 'Remotive API returned a non-JSON response from https://jobs.example/' || user_id
+            WHEN 'purchase' THEN 'Unexpected shape in Remotive response: expected an object with a ''jobs'' list' END AS message
+       FROM events""",
+)
+def resp_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event as a response of its own: a type per way to fail, one that works."""
+    kind = F.col("event_type")
+    landed = landing.table(spark, sf_dir, "events").select(
+        F.lit("remotive").alias("source"),
+        F.col("user_id").cast("string").alias("run_id"),
+        F.col("event_id").cast("string").alias("request_key"),
+        F.lit(0).alias("request_ordinal"),
+        F.concat(F.lit("https://jobs.example/"), "user_id").alias("url"),
+        F.when(kind == "signup", 503).when(kind != "error", 200).alias("http_status"),
+        F.when(kind == "error", "timeout").alias("error"),
+        F.when(kind == "view", F.concat(F.lit("oops "), "props"))
+        .when(kind == "purchase", F.col("props"))
+        .otherwise(F.concat(F.lit('{"jobs":['), "props", F.lit("]}")))
+        .alias("body"),
+        F.lit(None).cast("string").alias("country"),
+    )
+    rows = responses.outcomes(landed, landing.BOUND_FEEDS["remotive"])
+    return plain(rows.select("request_key", "ok", "message", "n_elements"))
+
+
+@query(
+    "resp_outcomes",
     using(
         "p_runs",
         select="""
@@ -102,7 +132,7 @@ def response_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "response_filter_category",
+    "resp_filter_category",
     using(
         "c_feed",
         select="""SELECT run::VARCHAR AS run_id, place::INTEGER AS request_ordinal, o_custkey AS id,
@@ -116,7 +146,7 @@ def response_filter_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "response_filter_tag",
+    "resp_filter_tag",
     using(
         "t_feed",
         select="""SELECT run::VARCHAR AS run_id, place::INTEGER AS request_ordinal, user_id || '-' || k AS id,
@@ -130,7 +160,7 @@ def response_filter_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "response_first_seen",
+    "resp_dedup_first",
     using(
         "t_first",
         select="""SELECT run::VARCHAR AS run_id, place::INTEGER AS request_ordinal, user_id || '-' || k AS id,
@@ -144,7 +174,7 @@ def response_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "response_short_page",
+    "resp_short_page",
     using(
         "p_used",
         select="""SELECT f.run::VARCHAR AS run_id, f.page::INTEGER AS request_ordinal, p_name || '|' || p_brand AS id,
@@ -161,7 +191,7 @@ def response_short_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "payload_accounting",
+    "payload_build",
     using(
         "p_first",
         select="""
@@ -229,7 +259,7 @@ STAGED = f"""job_id, source, title, company, category, array_to_string(tags, '/'
     {text("published_at")} AS published_at, url, {text("ingested_at")} AS ingested_at, raw_id"""
 
 
-@query("parse_remotive_jobs", using("c_parsed", select=f"SELECT {STAGED} FROM c_parsed"))
+@query("stg_parse", using("c_parsed", select=f"SELECT {STAGED} FROM c_parsed"))
 def parse_remotive_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(staging.parse_jobs(raw_table(spark, sf_dir), "remotive").drop("position"))
 

@@ -27,7 +27,7 @@ from jobtide.sources.workdir import shared_folder
 
 
 @query(
-    "raw_append_scan",
+    "raw_scan",
     """SELECT 'remotive' AS source, props AS payload, count(*) AS n, 1 AS ids_unique FROM events
        WHERE event_type IN ('click', 'error') GROUP BY props""",
 )
@@ -66,7 +66,7 @@ def coerce_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "latest_by_key",
+    "stg_latest",
     """SELECT user_id, event_id, event_type, value FROM events
        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
 )
@@ -111,7 +111,7 @@ def fx_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "salary_labels",
+    "salary_source_label",
     """WITH s AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END AS t,
             CASE WHEN o_orderstatus = 'F' THEN o_totalprice::DECIMAL(18,4) END AS lo,
             CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice::DECIMAL(18,4) END AS hi FROM orders)
@@ -141,8 +141,8 @@ def salary_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-GRAINED = """SELECT '{label}' AS level, {keys}, count(*) AS row_count, round(sum(v)::DOUBLE / count(v), 4) AS avg_value,
-    round(quantile_cont(v::DOUBLE, 0.5), 4) AS median_value, min({low})::DOUBLE AS min_low, max({high})::DOUBLE AS max_high
+GRAINED = """SELECT '{label}' AS level, {keys}, count(*) AS row_count, round(sum(v)::DOUBLE / count(v), 6) AS avg_value,
+    round(quantile_cont(v::DOUBLE, 0.5), 6) AS median_value, min({low})::DOUBLE AS min_low, max({high})::DOUBLE AS max_high
     FROM r {where} GROUP BY {by}"""
 
 
@@ -166,7 +166,7 @@ def multi_grain_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     price = F.col("o_totalprice").cast("decimal(18,4)")
     return plain(
-        multi_grain_stats(table(spark, sf_dir, "orders"), grains, price, price, price, level="level", scale=4)
+        multi_grain_stats(table(spark, sf_dir, "orders"), grains, price, price, price, level="level", scale=6)
     )
 
 
@@ -187,7 +187,7 @@ def multi_grain_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     grains = (Grain("status", ("l_linestatus",)), Grain("flag", ("l_linestatus", "flag"), required=("flag",)))
     value, quantity = F.col("l_extendedprice").cast("decimal(18,4)"), F.col("l_quantity")
-    return plain(multi_grain_stats(rows, grains, value, quantity, quantity, level="level", scale=4))
+    return plain(multi_grain_stats(rows, grains, value, quantity, quantity, level="level", scale=6))
 
 
 @query(
@@ -233,11 +233,13 @@ def rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "label_sets",
-    """SELECT DISTINCT p_brand FROM part WHERE p_brand NOT IN (SELECT p_brand FROM part WHERE p_size > 49)""",
+    """SELECT DISTINCT l_orderkey FROM lineitem
+       WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')""",
 )
 def label_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part")
-    return sorted_values(only_in(part, part.where(F.col("p_size") > 49), "p_brand"), "p_brand")
+    pending = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P")
+    pending = pending.select(F.col("o_orderkey").alias("l_orderkey"))
+    return sorted_values(only_in(table(spark, sf_dir, "lineitem"), pending, "l_orderkey"), "l_orderkey")
 
 
 @query(

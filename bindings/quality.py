@@ -254,7 +254,7 @@ def _report(spark: SparkSession, sf_dir: str, checks) -> DataFrame:
     return shown(suites.results(tables(spark, sf_dir), NOW, checks))
 
 
-@query("dq_report_raw_staging", using("stg_adzuna", select=f"{SHORT} ({RAW_AND_STAGING})"))
+@query("dq_report", using("stg_adzuna", select=f"{SHORT} ({RAW_AND_STAGING})"))
 def dq_report_raw_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _report(spark, sf_dir, [c for c in suites.CHECKS if c.layer != "marts"])
 
@@ -316,7 +316,7 @@ def dq_skill_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "dq_reconcile_weeks",
+    "dq_reconcile",
     using(
         "jobs_over_time",
         select="""

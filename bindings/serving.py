@@ -54,7 +54,7 @@ def salary_breakdown_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "salary_breakdown_confidence",
+    "salary_breakdown",
     _breakdown("source_salary_source", f"source || ' · ' || {CONFIDENCE}", CONFIDENCE),
 )
 def salary_breakdown_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +92,7 @@ def jobs_over_time_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "jobs_over_time_by_skill",
+    "jobs_over_time_series",
     using(
         "jobs_over_time",
         select="""SELECT week_start, skill AS series, sum(job_count)::BIGINT AS job_count FROM jobs_over_time
@@ -129,7 +129,7 @@ def top_time_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "headline_totals",
+    "kpi_tiles",
     using(
         "jobs_over_time",
         select="""SELECT
