@@ -21,14 +21,15 @@ class Grain:
     required: tuple[str, ...] = ()
 
 
-STEPS_PER_OCTAVE = 512
+STEPS_PER_OCTAVE = 4096
 
 
 def value_bucket(value: Column) -> Column:
-    """Order-preserving bucket of a number, about 0.2 % wide.
+    """Order-preserving bucket of a number, about 0.02 % wide.
 
-    It depends on the value alone, so a group of any size splits into the same few thousand
-    buckets without a first pass over the data.
+    It depends on the value alone, so a group of any size splits into the same bounded set of
+    buckets, some 4000 per doubling, without a first pass over the data. Values closer together
+    than that share a bucket.
     """
     number = value.cast("double")
     steps = F.floor(F.log2(F.abs(number) + 1) * STEPS_PER_OCTAVE)

@@ -14,7 +14,7 @@ from jobtide import fixed
 from jobtide.plans import marts, responses, suites
 from jobtide.plans.normalize import normalize
 from jobtide.plans.staging import staging
-from jobtide.sources.marts import read_folder, write_mart
+from jobtide.sources.marts import Marts, read_folder, write_mart
 from jobtide.sources.raw import append_payloads, known_source, read_raw
 from jobtide.sources.seeds import read_rates
 from jobtide.sources.workdir import written
@@ -39,7 +39,7 @@ class RunError(RuntimeError):
 def land_source(landed: DataFrame, source: str, raw_path: str, ingested_at: dt.datetime | None = None) -> dict:
     """Pack and append one source's responses; the first new id and the postings landed."""
     feed = responses.FEEDS[known_source(source)]
-    requests = written(responses.outcomes(landed, feed), f"outcomes-{source}")
+    requests = written(responses.outcomes(landed, feed), f"outcomes-{source}", slot=raw_path)
     if not requests.where("ok").take(1):
         failed = responses.run_summary(landed, [source], {source: requests}).orderBy("run_id").first()
         raise SourceError(failed["error"] if failed else f"no responses of {source} have landed")
@@ -124,7 +124,7 @@ class Build:
         return models
 
     def _marts(self, names: Sequence[str]) -> None:
-        jobs = written(self.table("int_jobs_normalized"), "int_jobs_normalized")
+        jobs = written(self.table("int_jobs_normalized"), "int_jobs_normalized", slot=self.mart_folder)
         models = {
             "mart_skills": lambda: marts.mart_skills(jobs),
             "mart_salary_ranges": lambda: marts.mart_salary_ranges(jobs),
@@ -138,10 +138,13 @@ class Build:
         """The skills mart just written, or its rows where it is not part of this build."""
         return self.table("mart_skills") if "mart_skills" in names else marts.mart_skills(jobs)
 
-    def check(self, now: dt.datetime | None = None, checks: Sequence[suites.Check] = suites.CHECKS) -> list[suites.CheckResult]:
+    def check(
+        self, now: dt.datetime | None = None, checks: Sequence[suites.Check] = suites.CHECKS
+    ) -> list[suites.CheckResult]:
+        """Run the checks over the layers as they stand."""
         return suites.run_checks(self.table, now, checks)
 
-    def marts(self):
+    def marts(self) -> Marts:
         """The stored marts, typed."""
         return read_folder(self.spark, self.mart_folder)
 

@@ -19,9 +19,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """The frame as a Parquet table: computed once, column-pruned when read, safe from lost executors."""
+def written(df: DataFrame, name: str, *partition_by: str, slot: str | None = None) -> DataFrame:
+    """The frame as a Parquet table: computed once, column-pruned when read, safe from lost executors.
+
+    A slot names a place of its own that the next writer replaces, so repeated builds do not pile up
+    copies; without one every call gets a new folder.
+    """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(path)
+    place = uuid.uuid5(uuid.NAMESPACE_URL, slot) if slot else uuid.uuid4()
+    path = f"{shared_folder(spark)}/{name}-{place.hex}"
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(df.columns)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import random
 from dataclasses import replace
 
 import pytest
@@ -167,3 +168,79 @@ def test_row_ids_grow_from_run_to_run(spark, three_sources, tmp_path):
         assert second["succeeded"][source]["row-id"] > first["succeeded"][source]["row-id"]
     assert read_raw(spark, path).count() == 6
     assert read_raw(spark, path).select("raw_id").distinct().count() == 6
+
+
+def merged(rows, feed):
+    """Plain-Python merge of one run's responses: kept jobs, good requests, failed requests."""
+    jobs, seen, good, bad = [], set(), [], []
+    for _, _, key, _, _, status, error, body, _ in rows:
+        try:
+            content = json.loads(body) if status == 200 and error is None else None
+        except ValueError:
+            content = None
+        listed = content if feed.list_name is None else (content or {}).get(feed.list_name)
+        if not isinstance(listed, list) or not all(isinstance(job, dict) for job in listed):
+            bad.append(key)
+            continue
+        good.append(key)
+        for job in listed:
+            if feed.list_name is None and "id" not in job:
+                continue
+            if feed.categories and str(job.get("category")).lower() != feed.categories[key].lower():
+                continue
+            tags = job.get("tags")
+            if feed.by_tag and (not isinstance(tags, list) or key not in [str(tag).lower() for tag in tags]):
+                continue
+            ident = (type(job["id"]), job["id"]) if job.get("id") is not None else None
+            if ident is None or ident not in seen:
+                seen.add(ident)
+                jobs.append(job)
+        if feed.per_page and len(listed) < feed.per_page:
+            break
+    return jobs, good, bad
+
+
+@pytest.mark.parametrize("source", ["remotive", "remoteok", "adzuna"])
+def test_random_runs_match_a_plain_merge(responses, source):
+    rng = random.Random(source)
+    feed = {"remotive": CATEGORY, "remoteok": TAG, "adzuna": PAGED}[source]
+    runs = {}
+    for run in range(25):
+        size = rng.choice([1, 3, 5, 40])
+        keys = [str(i + 1) for i in range(size)] if feed.per_page else rng.sample(list(feed.categories or R.fixed.REQUEST_TAGS), min(size, 5))
+        rows = []
+        for ordinal, key in enumerate(keys):
+            jobs = []
+            for _ in range(rng.choice([1, 2, 2, 3, 4])):
+                job = {"id": rng.choice([None, 1, 2, 3, "1", "2", rng.randrange(500)]), "n": rng.random()}
+                job["category"] = rng.choice(["Devops", "DEVOPS", "Data and Analytics", "Sales", None, 7])
+                job["tags"] = rng.choice([["dev"], ["Backend", "DEV"], ["x"], [], "dev", None, [None, 3, "devops"]])
+                if rng.random() < 0.1:
+                    del job["id"]
+                jobs.append(job)
+            if rng.random() < 0.05:
+                jobs.append(rng.choice([5, "text", None, [1]]))
+            body = jobs if feed.list_name is None else {feed.list_name: jobs}
+            broken = rng.random()
+            if broken < 0.1:
+                rows.append(response(source, str(run), key, ordinal, body, status=500))
+            elif broken < 0.15:
+                rows.append(response(source, str(run), key, ordinal, "<html>"))
+            elif broken < 0.2:
+                rows.append(response(source, str(run), key, ordinal, {"detail": 1}))
+            else:
+                rows.append(response(source, str(run), key, ordinal, body, country="gb"))
+        runs[str(run)] = rows
+    frame = responses(*[row for rows in runs.values() for row in rows]).repartition(7)
+    got: dict = {}
+    for row in R.payloads(frame, feed).orderBy("run_id", "pack").collect():
+        payload = json.loads(row["payload"])
+        assert payload["job-count"] == len(payload["jobs"]) == row["job_count"]
+        jobs, good, bad = got.setdefault(row["run_id"], ([], [], []))
+        jobs += payload["jobs"]
+        good += [str(key) for key in payload[f"fetched-{feed.requests}"]]
+        bad += payload[f"failed-{feed.requests}"]
+    want = {run: merged(rows, feed) for run, rows in runs.items()}
+    assert got == {run: parts for run, parts in want.items() if parts[1]}
+    summary = {r["run_id"]: r["status"] for r in R.run_summary(frame, [source]).collect()}
+    assert summary == {run: "succeeded" if parts[1] else "failed" for run, parts in want.items()}
