@@ -185,7 +185,7 @@ def response_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
 def response_short_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = responses_table(spark, sf_dir)
     runs = responses.run_outcomes(responses.outcomes(landed, landing.PAGED), landing.PAGED)
-    used = responses.short_page_stop(responses.postings(landed, landing.PAGED), runs)
+    used = responses.used_only(responses.postings(landed, landing.PAGED), runs)
     parsed = used.withColumn("_j", F.from_json("job", "id string, redirect_url string"))
     return parsed.select("run_id", "request_ordinal", "_j.id", F.col("_j.redirect_url").alias("url"))
 

@@ -177,15 +177,14 @@ def distinct_postings(jobs: DataFrame) -> DataFrame:
     return first_seen(jobs, RUN, F.col("posting_key"), ["request_ordinal", "position"])
 
 
-def short_page_stop(jobs: DataFrame, runs: DataFrame) -> DataFrame:
-    """Postings up to and including the first short page of their run."""
-    return _with_run(jobs, runs).where("stop is null or request_ordinal <= stop").drop("n_ok", "stop")
+def used_only(rows: DataFrame, runs: DataFrame) -> DataFrame:
+    """Requests or postings up to and including the first short page of their run.
 
-
-def _with_run(rows: DataFrame, runs: DataFrame) -> DataFrame:
-    """Add the run's outcome to rows keyed by pack. Joining per pack spreads a large run over tasks."""
+    Runs without any good request have none. Joining per pack spreads a large run over tasks.
+    """
     per_pack = runs.select(*RUN, "n_ok", "stop", F.explode(F.sequence("_from", "_to")).alias("pack"))
-    return rows.join(per_pack, list(PACK))
+    used = "n_ok > 0 and (stop is null or request_ordinal <= stop)"
+    return rows.join(per_pack, list(PACK)).where(used).drop("n_ok", "stop")
 
 
 def payload_text(jobs: Column, account: Column) -> Column:
@@ -217,8 +216,8 @@ def payloads(responses: DataFrame, feed: Feed, requests: DataFrame | None = None
     requests = outcomes(responses, feed) if requests is None else requests
     runs = run_outcomes(requests, feed)
     jobs = distinct_postings(postings(responses, feed))
-    packed = pack_jobs(short_page_stop(jobs, runs) if feed.per_page else jobs)
-    used = _with_run(requests, runs).where("n_ok > 0 and (stop is null or request_ordinal <= stop)")
+    packed = pack_jobs(used_only(jobs, runs) if feed.per_page else jobs)
+    used = used_only(requests, runs)
     number = F.col("request_key").cast("int") if feed.per_page else F.col("request_key")
     request = F.struct("request_ordinal", number.alias("key"), "request_key", "ok", "message")
     accounts = used.groupBy(*PACK).agg(

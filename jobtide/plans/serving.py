@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobtide import fixed
-from jobtide.operators.labels import only_in, sorted_values
+from jobtide.operators.labels import sorted_values
 from jobtide.operators.ranking import drop_in, keep_in, known, lookup, top_k
 
 
@@ -78,9 +78,11 @@ def jobs_over_time_series(
 
 
 def category_only_skills(skills: DataFrame) -> DataFrame:
-    """Labels used as a category but never as a tag."""
-    of_type = lambda kind: skills.where((F.col("skill_type") == kind) & F.col("skill").isNotNull())
-    return only_in(of_type("category"), of_type("tag"), "skill")
+    """Labels used as a category but never as a tag: a set difference taken in one pass."""
+    kind = F.col("skill_type")
+    uses = skills.where(F.col("skill").isNotNull()).groupBy("skill")
+    counted = uses.agg(F.count_if(kind == "category").alias("_in"), F.count_if(kind == "tag").alias("_out"))
+    return counted.where("_in > 0 and _out = 0").select("skill")
 
 
 def top_time_skills(
