@@ -264,8 +264,21 @@ def dq_report_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _report(spark, sf_dir, [c for c in suites.CHECKS if c.layer == "marts"])
 
 
+def _declared_staging(source: str) -> str:
+    name = f"stg_{source}"
+    return expected(
+        name,
+        ("not_null", "job_id", "job_id IS NULL"),
+        ("unique", "job_id", repeated(name, "job_id")),
+        ("not_null", "source", "source IS NULL"),
+        ("not_null", "title", "title IS NULL"),
+        check_name=f"{name}_jobs",
+    )
+
+
 MODELS = " UNION ALL ".join(
-    [
+    [_declared_staging(source) for source in ("remotive", "remoteok", "adzuna")]
+    + [
         expected(
             "jobs",
             ("not_null", "job_key", "job_key IS NULL"),
@@ -293,13 +306,39 @@ MODELS = " UNION ALL ".join(
             ("in_set", "skill_type", "skill_type NOT IN ('tag', 'category')"),
             check_name="mart_skills",
         ),
+        expected(
+            "salary_ranges",
+            ("not_null", "grouping_level", "grouping_level IS NULL"),
+            ("in_set", "grouping_level", "grouping_level NOT IN ('source', 'source_salary_source', 'source_category')"),
+            ("not_null", "source", "source IS NULL"),
+            ("not_null", "job_count", "job_count IS NULL"),
+            ("not_below", "max_salary_usd/min_salary_usd", "max_salary_usd < min_salary_usd"),
+            check_name="mart_salary_ranges",
+        ),
+        expected(
+            "companies",
+            ("not_null", "company_key", "company_key IS NULL"),
+            ("unique", "company_key", repeated("companies", "company_key")),
+            ("not_null", "company", "company IS NULL"),
+            ("not_null", "job_count", "job_count IS NULL"),
+            check_name="mart_companies",
+        ),
+        expected(
+            "jobs_over_time",
+            ("not_null", "grouping_level", "grouping_level IS NULL"),
+            ("in_set", "grouping_level", "grouping_level NOT IN ('source', 'source_skill')"),
+            ("not_null", "week_start", "week_start IS NULL"),
+            ("not_null", "source", "source IS NULL"),
+            ("not_null", "job_count", "job_count IS NULL"),
+            check_name="mart_jobs_over_time",
+        ),
     ]
 )
 
 
-@query("dq_report_models", using("skills", select=f"{SHORT} ({MODELS})"))
+@query("dq_report_models", using("jobs_over_time", select=f"{SHORT} ({MODELS})"))
 def dq_report_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _report(spark, sf_dir, [c for c in suites.MODEL_CHECKS if c.name != "exchange_rates"])
+    return _report(spark, sf_dir, [c for c in suites.MODEL_CHECKS if c.layer != "seeds"])
 
 
 @query(

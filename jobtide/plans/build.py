@@ -144,6 +144,10 @@ class Build:
         """Run the checks over the layers as they stand."""
         return suites.run_checks(self.table, now, checks)
 
+    def check_models(self) -> list[suites.CheckResult]:
+        """Run what the models declare about themselves."""
+        return suites.run_model_checks(self.table)
+
     def marts(self) -> Marts:
         """The stored marts, typed."""
         return read_folder(self.spark, self.mart_folder)

@@ -213,13 +213,33 @@ def test_checks_run_independently_and_the_report_lists_them(spark, frame):
     suites.gate(results[:1])
 
 
-def test_model_suites_name_real_columns(spark):
+def test_declared_checks(spark):
     from jobtide.plans.normalize import COLUMNS
     from jobtide.sources.seeds import read_rates
 
-    named = {c for e in suites.int_jobs_normalized(NOW) for c in e.columns}
-    assert named <= set(COLUMNS)
-    assert failed(read_rates(spark), suites.exchange_rates(NOW)) == set()
+    declared = {check.name: check.suite(NOW) for check in suites.MODEL_CHECKS}
+    kinds = [e.kind for suite in declared.values() for e in suite]
+    tally = {kind: kinds.count(kind) for kind in kinds}
+    assert list(tally.values()) == [32, 6, 5, 3] and len(kinds) == 46
+    assert {c for e in declared["int_jobs_normalized"] for c in e.columns} <= set(COLUMNS)
+    for name, types in MART_TYPES.items():
+        assert {c for e in declared[name] for c in e.columns} <= set(types)
+    assert failed(read_rates(spark), declared["exchange_rates"]) == set()
+
+
+def test_model_checks_include_the_relationship(spark):
+    frames = {
+        "mart_skills": spark.createDataFrame([("a", "s", "sql", "tag"), ("lost", "s", "go", "tag")], "job_key string, source string, skill string, skill_type string"),
+        "int_jobs_normalized": spark.createDataFrame([("a",)], "job_key string"),
+    }
+    checks = [check for check in suites.MODEL_CHECKS if check.name == "mart_skills"]
+    results = suites.run_model_checks(frames.__getitem__, checks)
+    assert [r.status for r in results] == ["passed", "failed"]
+    assert results[1].failures == ["relationships on job_key: 1 unexpected value(s)"]
+    frames["int_jobs_normalized"] = spark.createDataFrame([("a",), ("lost",)], "job_key string")
+    assert suites.run_model_checks(frames.__getitem__, checks)[1].status == "passed"
+    del frames["int_jobs_normalized"]
+    assert suites.run_model_checks(frames.__getitem__, checks)[1].status == "error"
 
 
 def test_orphans_ignore_null_keys(spark):
