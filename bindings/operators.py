@@ -11,7 +11,7 @@ from bindings.landing import table
 from bindings.model import plain
 from bindings.registry import query
 from bindings.sql import CTES, text
-from jobtide.functions import json, salary, time
+from jobtide.functions import salary, time
 from jobtide.functions.text import flag, null_if, same_text
 from jobtide.operators.currency import convert_bounds
 from jobtide.operators.dedup import first_seen, latest_by_key
@@ -269,7 +269,7 @@ def top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""SELECT event_id, {text("ts")} AS naive_utc, (props->>'k') AS k_text,
         CASE WHEN event_type = 'view' THEN NULL ELSE event_type END AS not_view,
         CASE WHEN lower(event_type) = 'click' THEN 1 ELSE 0 END AS is_click,
-        1 AS has_k, strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') AS csv_ts,
+        strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') AS csv_ts,
         round(value::DECIMAL(18,4) * 1.35)::DOUBLE AS rounded FROM events""",
 )
 def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -281,7 +281,6 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.from_json("props", "k string")["k"].alias("k_text"),
         null_if(F.col("event_type"), "view").alias("not_view"),
         same_text(F.upper("event_type"), F.lit("Click")).cast("int").alias("is_click"),
-        json.has_key(F.col("props"), "k").cast("int").alias("has_k"),
         time.csv_timestamp(F.col("at")).alias("csv_ts"),
         salary.whole_dollars(F.col("value").cast("decimal(18,4)"), F.lit("1.35").cast("decimal(18,6)"))
         .cast("double")

@@ -15,10 +15,5 @@ def is_object(text: Column) -> Column:
     return F.json_object_keys(text).isNotNull()
 
 
-def has_key(text: Column, key: str) -> Column:
-    """Key presence, true for a key holding null."""
-    return F.array_contains(F.json_object_keys(text), key)
-
-
 def is_json(text: Column) -> Column:
     return is_object(text) | F.json_array_length(text).isNotNull() | F.try_parse_json(text).isNotNull()

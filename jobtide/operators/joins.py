@@ -22,12 +22,12 @@ def dimension(dim: DataFrame, key: str, max_rows: int = BROADCAST_ROWS) -> DataF
 def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child keys missing from the parent, with their row count; NULL keys are not looked up.
 
-    Children are counted per key first, so a hot key is one row in the join.
+    Both sides are reduced to one row per key first, so a hot key is one row in the join.
     """
     counted = (
         child.where(F.col(key).isNotNull())
         .groupBy(F.col(key).alias("orphan_key"))
         .agg(F.count("*").alias("child_rows"))
     )
-    parents = parent.select(F.col(parent_key).alias("orphan_key"))
+    parents = parent.select(F.col(parent_key).alias("orphan_key")).distinct()
     return counted.join(parents, "orphan_key", "left_anti")

@@ -18,7 +18,7 @@ def drop_in(df: DataFrame, column: str, values: Sequence[str] | DataFrame | None
     if values is None:
         return df
     if isinstance(values, DataFrame):
-        return df.join(values.toDF(column), column, "left_anti")
+        return df.join(values.toDF(column).distinct(), column, "left_anti")
     return df.where(~F.coalesce(F.col(column).isin(list(values)), F.lit(False)))
 
 

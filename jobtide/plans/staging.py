@@ -105,7 +105,20 @@ def parse_jobs(raw: DataFrame, source: str, lenient: bool = False) -> DataFrame:
     )
 
 
+NEWEST = ["ingested_at", "raw_id", "position"]
+
+
 def staging(raw: DataFrame, source: str, lenient: bool = False) -> DataFrame:
     """The newest version of each posting of one source."""
-    parsed = parse_jobs(raw, source, lenient)
-    return latest_by_key(parsed, ["job_id"], ["ingested_at", "raw_id", "position"]).drop("position")
+    return latest_by_key(parse_jobs(raw, source, lenient), ["job_id"], NEWEST).drop("position")
+
+
+def refreshed_staging(previous: DataFrame, raw: DataFrame, source: str, lenient: bool = False) -> DataFrame:
+    """The same rows from stored staging rows and the payloads appended since.
+
+    Raw ids grow, so older payloads need no second parse: the newest of the newest is the newest.
+    """
+    seen = previous.agg(F.max("raw_id")).first()[0] or 0
+    new = parse_jobs(raw.where(F.col("raw_id") > seen), source, lenient)
+    both = previous.withColumn("position", F.lit(0)).unionByName(new)
+    return latest_by_key(both, ["job_id"], NEWEST).drop("position")

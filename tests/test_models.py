@@ -20,7 +20,7 @@ from jobtide.operators.labels import explode_labels
 from jobtide.plans.build import Build, full_run
 from jobtide.plans.marts import mart_companies, mart_jobs_over_time, mart_salary_ranges, mart_skills
 from jobtide.plans.normalize import normalize
-from jobtide.plans.staging import staging
+from jobtide.plans.staging import refreshed_staging, staging
 from jobtide.schemas import RAW
 from jobtide.sources.raw import with_counts
 from jobtide.sources.seeds import read_rates
@@ -54,6 +54,17 @@ def test_staging_keeps_the_newest_version(raw):
     assert rows["2"]["raw_id"] == 1
 
 
+def test_refreshing_equals_staging_everything(raw):
+    first = [jobs(category_job(1, title="old"), category_job(2)), jobs(category_job(3))]
+    later = [jobs(category_job(1, title="new"), category_job(None)), {"jobs": []}, jobs(category_job(4))]
+    frame = raw("remotive", *first, *later)
+    stored = staging(frame.where("raw_id <= 2"), "remotive")
+    refreshed, whole = refreshed_staging(stored, frame, "remotive"), staging(frame, "remotive")
+    assert refreshed.count() == whole.count() == 5
+    assert sorted(map(str, refreshed.collect())) == sorted(map(str, whole.collect()))
+    assert refreshed_staging(stored.limit(0), frame, "remotive").count() == 5
+
+
 def test_newest_ties_go_to_the_higher_raw_id_then_the_later_place(spark, raw):
     same = raw("remotive", jobs(category_job(1, title="a")), jobs(category_job(1, title="b"), category_job("1", title="c")))
     rows = by_id(staging(same.withColumn("ingested_at", F.lit(DAY)), "remotive"))
