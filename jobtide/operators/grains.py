@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobtide.functions.time import week_start
 
@@ -22,6 +23,7 @@ class Grain:
 
 
 STEPS_PER_OCTAVE = 4096
+NO_VALUE_BUCKET = -(2**62)
 
 
 def value_bucket(value: Column) -> Column:
@@ -54,8 +56,13 @@ def _takes_part(grains: Sequence[Grain], level: str) -> Column:
     return ~reduce(lambda a, b: a | b, excluded, F.lit(False))
 
 
-def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
+def _group(grain: Grain, place: int, keys: Sequence[str], types: dict[str, T.DataType]) -> Column:
+    """The group a row falls into at a grain, rolled-up keys NULL; NULL if it takes no part."""
+    group = F.struct(
+        F.lit(place).alias("_level"),
+        *[(F.col(k) if k in grain.keys else F.lit(None).cast(types[k])).alias(k) for k in keys],
+    )
+    return reduce(lambda rest, key: F.when(F.col(key).isNotNull(), rest), grain.required, group)
 
 
 def multi_grain_stats(
@@ -80,34 +87,32 @@ def multi_grain_stats(
         .groupBy(*keys, "_v")
         .agg(F.count("*").alias("_n"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
     )
-    # _v is in every set and last, so it adds a zero bit below the keys.
+    # One shuffle, by group and bucket, serves the bucket totals, the join and the window. Equal values
+    # of different finest groups stay apart: ranks run over them alike, and merging them all would
+    # cost more than sorting them in the few buckets that are sorted.
+    # The group is a struct: it is never NULL, so a plain equality joins groups with NULL keys too.
+    types = {field.name: field.dataType for field in finest.schema}
+    groups = F.array(*[_group(grain, i, keys, types) for i, grain in enumerate(grains)])
     counted = (
-        finest.groupingSets([[*grain.keys, "_v"] for grain in grains], *keys, "_v")
-        .agg(
-            F.grouping_id().alias("_bits"),
-            F.sum("_n").alias("_n"),
-            F.min("_lo").alias("_lo"),
-            F.max("_hi").alias("_hi"),
-        )
-        .withColumn(level, _label(grains, keys, F.shiftright("_bits", 1)))
-        .where(_takes_part(grains, level))
-        .withColumn("_b", value_bucket(F.col("_v")))
-        .select(level, *keys, "_b", "_v", "_n", "_lo", "_hi")
+        finest.select(F.explode(groups).alias("_g"), "_v", "_n", "_lo", "_hi")
+        .where("_g is not null")
+        .withColumn("_b", F.coalesce(value_bucket(F.col("_v")), F.lit(NO_VALUE_BUCKET)))
+        .repartition("_g", "_b")
     )
 
-    group = [level, *keys]
     valued = F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(0)
-    buckets = counted.groupBy(*group, "_b").agg(
+    weighted = F.when(F.col("_n") == 1, F.col("_v")).otherwise(F.col("_v") * F.col("_n"))
+    buckets = counted.groupBy("_g", "_b").agg(
         F.sum("_n").alias("_n"),
         F.sum(valued).alias("_valued"),
-        F.sum(F.col("_v") * F.col("_n")).alias("_sum"),
+        F.sum(weighted).alias("_sum"),
         F.min("_lo").alias("_lo"),
         F.max("_hi").alias("_hi"),
     )
-    whole = Window.partitionBy(*group)
+    whole = Window.partitionBy("_g")
     before = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     ranked = buckets.select(
-        *group,
+        "_g",
         "_b",
         "_valued",
         F.coalesce(F.sum("_valued").over(before), F.lit(0)).alias("_before"),
@@ -122,18 +127,16 @@ def multi_grain_stats(
     def holds(rank: Column, start: Column, size: Column) -> Column:
         return (rank >= start) & (rank < start + size)
 
-    no_values = (F.col("_values") == 0) & F.col("_b").isNull()
     middle = ranked.where(
-        no_values
+        (F.col("_values") == 0)
         | holds(lower, F.col("_before"), F.col("_valued"))
         | holds(upper, F.col("_before"), F.col("_valued"))
     ).drop("_valued")
 
-    inside = Window.partitionBy(*group, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_g", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
     picked = (
-        counted.join(middle, _same(counted, middle, [*group, "_b"]))
-        .drop(*[middle[name] for name in [*group, "_b"]])
+        counted.join(middle, ["_g", "_b"])
         .withColumn("_start", start)
         .withColumn(
             "_weight",
@@ -144,7 +147,7 @@ def multi_grain_stats(
     )
     # Both sides of the join carry _lo and _hi, so they read one shuffle of the counts, not two.
     return (
-        picked.groupBy(*group)
+        picked.groupBy("_g")
         .agg(
             F.first("_rows").alias("row_count"),
             F.round(F.try_divide(F.first("_total"), F.first("_values")), scale).alias("avg_value"),
@@ -152,7 +155,15 @@ def multi_grain_stats(
             F.min(F.least("_min", "_lo")).alias("min_low"),
             F.max(F.greatest("_max", "_hi")).alias("max_high"),
         )
-        .select(*group, "row_count", "avg_value", "median_value", "min_low", "max_high")
+        .select(
+            F.element_at(F.array(*[F.lit(grain.label) for grain in grains]), F.col("_g._level") + 1).alias(level),
+            *[f"_g.{key}" for key in keys],
+            "row_count",
+            "avg_value",
+            "median_value",
+            "min_low",
+            "max_high",
+        )
     )
 
 
