@@ -20,6 +20,11 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 UNIT_START = re.compile(r" (?=\S)")
 UNITS_KEPT = 800_000
 
+#: Fixed: the pieces of the byte-level pre-tokeniser, as a regular expression.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Texts on which every Unicode table agrees about letters, numbers and white space. Others are left to the library.
+KNOWN = re.compile(r"[\t\n\r -~\u00a1-\u00ac\u00ae-\u024f]*\Z")
+
 
 class Irregular(Exception):
     """A space stands before another white space, so that plain splitting at spaces is wrong."""
@@ -122,16 +127,13 @@ class Counter:
         self.library = Library(path)
         added = [t["content"] for t in spec["added_tokens"]]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
-        # Fixed: the pieces of the byte-level pre-tokeniser. Only ASCII and the letters below follow this
-        # pattern here; units with other characters are split by the library, whose Unicode tables decide.
-        self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-        self.known = re.compile(r"[\t\n\r -~¡-¬®-ɏ]*\Z")
+        self.pieces = regex.compile(PIECES)
         self.piece = Bounded(lambda piece: self.merges.count(piece.encode()), UNITS_KEPT)
         self.first = Bounded(self._unit, UNITS_KEPT // 10)
         self.later = Bounded(self._later, UNITS_KEPT)
 
     def _unit(self, unit: str) -> int:
-        if self.known.match(unit):
+        if KNOWN.match(unit):
             return sum(self.piece[p] for p in self.pieces.findall(unit))
         split = self.library.tokenizer.pre_tokenizer.pre_tokenize_str(unit)
         return sum(self.piece[unit[a:b]] for a, b in _whole(split, len(unit)))

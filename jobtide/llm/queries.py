@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from jobtide.llm import chunk_bpe, huffman, warc
 from jobtide.llm.token_count import token_counts
 from jobtide.session import pin
 
@@ -33,3 +35,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op2_token_count")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op4_token_files")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return huffman.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+@query(
+    "op6_warc",
+    # Base32 of the digest: every five hexadecimal digits are four letters.
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS sha FROM pages),
+    g AS (SELECT sha, max(page_id) AS last FROM p GROUP BY sha)
+    SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+        list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            ((('0x' || substr(sha, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31)::INT + 1, 1)),
+            'string_agg', '') AS payload_digest,
+        CASE WHEN page_id IS NOT DISTINCT FROM last OR last IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to
+    FROM p JOIN g USING (sha)
+    """,
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op7_chunk_bpe")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = chunk_bpe.encode(table(spark, sf_dir, "documents"), tokenizer, decoded=True)
+    return encoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+        "chunks_seen",
+        "chunks_encoded",
+    )
