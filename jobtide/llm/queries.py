@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import chunk_bpe, huffman, warc
+from jobtide.llm import chunk_bpe, huffman, line_dedup, quality, warc
 from jobtide.llm.token_count import token_counts
 from jobtide.session import pin
 
@@ -32,6 +32,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query(
+    "op1_line_dedup",
+    """
+    WITH l AS (
+        SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+            unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS place
+        FROM documents),
+    k AS (
+        SELECT *, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key
+        FROM l),
+    c AS (
+        SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 40
+        GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+    d AS (SELECT k.*, coalesce(doc_id <> keeper, false) AS dropped FROM k LEFT JOIN c USING (key))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+        sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
+    FROM d GROUP BY doc_id
+    """,
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query("op2_token_count")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -73,3 +98,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         "chunks_seen",
         "chunks_encoded",
     )
+
+
+@query("op9_quality")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.judge(docs, table(spark, sf_dir, "labels")).drop("text")
