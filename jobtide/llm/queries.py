@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import chunk_bpe, huffman, line_dedup, quality, warc
+from jobtide.llm import chunk_bpe, huffman, line_dedup, mixing, onebit, quality, warc
 from jobtide.llm.token_count import token_counts
 from jobtide.session import pin
 
@@ -62,6 +62,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op3_source_mix")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
 @query("op4_token_files")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
@@ -104,3 +109,22 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.judge(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
+@query(
+    "op10_one_bit",
+    """
+    WITH v AS (
+        SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    p AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+    SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 20
+    """,
+)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    indexed = onebit.index(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return onebit.search(indexed, indexed.where("vec_id % 20 = 0"))
