@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import chunk_bpe, huffman, line_dedup, mixing, onebit, quality, warc
+from jobtide.llm import chunk_bpe, huffman, line_dedup, mixing, near_dup, onebit, quality, warc
 from jobtide.llm.token_count import token_counts
 from jobtide.session import pin
 
@@ -72,6 +72,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+@query("op5_near_duplicates")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 @query(
     "op6_warc",
     # Base32 of the digest: every five hexadecimal digits are four letters.
