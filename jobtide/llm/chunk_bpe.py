@@ -155,10 +155,17 @@ def together(docs: DataFrame, text_column: str) -> DataFrame:
 
 
 def encode(
-    docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text_column: str = "text", decoded: bool = False
+    docs: DataFrame,
+    tokenizer: str,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    decoded: bool = False,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Per row its id, ``ids`` (binary, little-endian unsigned 32-bit) and ``n_tokens``; on request ``decoded``.
 
+    Columns named in ``carry`` come along; they may not be called as those above.
+
     ``chunks_seen`` and ``chunks_encoded`` count, at each row, the text's chunks and those encoded for
     it first in the worker. Null and empty texts have no ids. Repeated rows and null ids keep their
     rows; an empty table gives none; other columns are not read.
@@ -180,11 +187,11 @@ def encode(
             names = ["id", "ids", "n_tokens", "chunks_seen", "chunks_encoded"]
             if decoded:
                 columns, names = [*columns, pa.array(texts, pa.string())], [*names, "decoded"]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            yield pa.RecordBatch.from_arrays([*columns, *batch.columns[2:]], [*names, *batch.schema.names[2:]])
 
-    rows = docs.select(F.col(id_column).alias("id"), present(text_column).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, ids binary, n_tokens long, chunks_seen long, chunks_encoded long" + ", decoded string" * decoded
+    rows = docs.select(F.col(id_column).alias("id"), present(text_column).alias("text"), *carry)
+    made = T.StructType.fromDDL("ids binary, n_tokens long, chunks_seen long, chunks_encoded long" + ", decoded string" * decoded)
+    schema = T.StructType([rows.schema["id"], *made.fields, *rows.schema.fields[2:]])
     return together(rows, "text").mapInArrow(run, schema).withColumnRenamed("id", id_column)
 
 

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import chunk_bpe, huffman, line_dedup, mixing, near_dup, onebit, quality, warc
+import corpus_pipeline
+from jobtide.llm import chunk_bpe, huffman, line_dedup, mixing, near_dup, onebit, quality, warc, wrappers
 from jobtide.llm.token_count import token_counts
 from jobtide.session import pin
 
@@ -110,6 +111,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_main_text")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(table(spark, sf_dir, "pages"))
+
+
 @query("op9_quality")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -133,3 +139,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     indexed = onebit.index(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     return onebit.search(indexed, indexed.where("vec_id % 20 = 0"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
