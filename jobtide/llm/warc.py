@@ -153,8 +153,10 @@ def parse(data: bytes) -> dict:
 
 def train_dictionary(pages: DataFrame) -> bytes:
     """A dictionary from a bounded sample; empty where there are too few pages to train one."""
-    sample = pages.select(F.substring(F.encode("html", "UTF-8"), 1, SAMPLE_BYTES).alias("b"), F.xxhash64("page_id", "html").alias("h"))
-    samples = [bytes(r["b"]) for r in sample.orderBy("h", "b").limit(SAMPLE_PAGES).collect() if r["b"]]
+    hashed = pages.where("html <> ''").select(F.xxhash64("page_id", "html").alias("h"), F.encode("html", "UTF-8").alias("b"))
+    smallest = [r["h"] for r in hashed.select("h").orderBy("h").limit(SAMPLE_PAGES).collect()]  # hashes alone are sent
+    chosen = hashed.where(F.col("h").isin(smallest)).groupBy("h").agg(F.first(F.substring("b", 1, SAMPLE_BYTES)).alias("b"))
+    samples = [bytes(r["b"]) for r in chosen.orderBy("h").collect()]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except (zstandard.ZstdError, ValueError):
