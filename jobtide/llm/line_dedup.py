@@ -110,7 +110,8 @@ def dedup_lines(
     runs = Runs(spark)
     for number in range(len(cuts) + 1):
         runs.add(lines.where(F.col("batch") == number))
-    common = combined(runs.all()).where(F.col("docs") >= min_docs)
+    # Written out, so that both sides of the join are plain shuffles and a line in very many documents is split.
+    common = stored(combined(runs.all()).where(F.col("docs") >= min_docs), "common")
     dropped = lines.join(common, KEY).where(~F.col("id").eqNullSafe(F.col("keeper")))
     per_row = dropped.groupBy("id", "text_hash").agg(F.array_sort(F.collect_set("place")).alias("drop"))
     per_row = per_row.select(F.col("id").alias("of_id"), F.col("text_hash").alias("of_text"), "drop")
