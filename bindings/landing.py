@@ -183,6 +183,7 @@ def _responses(bodies, source, key, body, status=None, country=None) -> DataFram
         "error": F.lit(None),
         "body": body,
         "country": F.lit(None) if country is None else country,
+        "fetched_at": F.timestamp_seconds(F.lit(1735689600) + F.col("run_id").cast("long") * 3600),
     }
     return bodies.select([columns[f.name].cast(f.dataType).alias(f.name) for f in RESPONSES])
 
@@ -191,12 +192,12 @@ BUILDERS = {"remotive": category_responses, "remoteok": tag_responses, "adzuna":
 
 
 def raw(responses: DataFrame) -> DataFrame:
-    """The landing table of all sources: a run is ingested an hour after the one before."""
+    """The landing table of all sources: a run is fetched an hour after the one before."""
     packed = reduce(DataFrame.unionByName, [payloads(responses, feed) for feed in BOUND_FEEDS.values()])
     run = F.col("run_id").cast("long")
     return packed.select(
-        (run * 1000 + F.col("pack")).alias("raw_id"),
-        F.timestamp_seconds(F.lit(1735689600) + run * 3600).alias("ingested_at"),
+        (run * 1000 + F.col("chunk")).alias("raw_id"),
+        "ingested_at",
         "source",
         "payload",
     )

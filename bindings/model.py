@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import cache, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bindings import landing
 from bindings.registry import query
-from bindings.sql import text, using
-from jobtide.plans import marts, normalize, responses, staging
-from jobtide.sources.raw import with_counts
+from bindings.sql import CATEGORY_KEYS, TAG_LIST, text, using
+from jobtide.plans import build, marts, normalize, responses, staging
+from jobtide.schemas import RESPONSES
+from jobtide.sources.raw import read_raw, with_counts
 from jobtide.sources.seeds import read_rates
-from jobtide.sources.workdir import written
+from jobtide.sources.workdir import shared_folder, written
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -60,8 +62,14 @@ def stage(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     return staging.staging(raw_table(spark, sf_dir), source)
 
 
+@cache
+def staged_table(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    """Staging as a build stores it: checks and the unified postings read this."""
+    return written(stage(spark, sf_dir, source), f"stg-{source}")
+
+
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = [stage(spark, sf_dir, source) for source in landing.BUILDERS]
+    staged = [staged_table(spark, sf_dir, source) for source in landing.BUILDERS]
     return normalize.normalize(*staged, read_rates(spark))
 
 
@@ -116,19 +124,27 @@ def resp_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(rows.select("request_key", "ok", "message", "n_elements"))
 
 
-@query(
-    "resp_outcomes",
-    using(
-        "p_runs",
-        select="""
-        SELECT run::VARCHAR AS run_id, (page + 1)::VARCHAR AS request_key, page::INTEGER AS request_ordinal, ok::INTEGER AS ok,
-            CASE WHEN NOT ok THEN 'Adzuna API returned HTTP 500 for https://adzuna.example/' || page END AS message,
-            CASE WHEN ok THEN n::INTEGER END AS n_elements FROM p_pages""",
-    ),
-)
+ALL_OUTCOMES = f"""
+    SELECT 'adzuna' AS source, run::VARCHAR AS run_id, (page + 1)::VARCHAR AS request_key, page::INTEGER AS request_ordinal, ok::INTEGER AS ok,
+        CASE WHEN NOT ok THEN 'Adzuna API returned HTTP 500 for https://adzuna.example/' || page END AS message,
+        CASE WHEN ok THEN n::INTEGER END AS n_elements FROM p_pages
+    UNION ALL
+    SELECT 'remotive', run::VARCHAR, {CATEGORY_KEYS}[place + 1], place::INTEGER, 1, NULL, n::INTEGER FROM c_asked
+    UNION ALL
+    SELECT 'remoteok', run::VARCHAR, {TAG_LIST}[place + 1], place::INTEGER, 1, NULL, (n + 1)::INTEGER FROM t_asked"""
+
+
+def of_all_sources(rows_of) -> DataFrame:
+    """One frame of the rows a function gives for each source."""
+    frames = [rows_of(feed).withColumn("source", F.lit(name)) for name, feed in landing.BOUND_FEEDS.items()]
+    return reduce(DataFrame.unionByName, frames)
+
+
+@query("resp_outcomes", using("p_runs", select=ALL_OUTCOMES))
 def response_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = responses.outcomes(responses_table(spark, sf_dir), landing.PAGED)
-    return plain(rows.select("run_id", "request_key", "request_ordinal", "ok", "message", "n_elements"))
+    landed = responses_table(spark, sf_dir)
+    columns = ["source", "run_id", "request_key", "request_ordinal", "ok", "message", "n_elements"]
+    return plain(of_all_sources(lambda feed: responses.outcomes(landed, feed)).select(columns))
 
 
 @query(
@@ -194,25 +210,39 @@ def response_short_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     "payload_build",
     using(
         "p_first",
-        select="""
-        SELECT u.run::VARCHAR AS run_id, max(coalesce(j.n, 0))::BIGINT AS job_count,
+        select=f"""
+        SELECT 'adzuna' AS source, u.run::VARCHAR AS run_id, max(coalesce(j.n, 0))::BIGINT AS job_count,
             string_agg(CASE WHEN u.ok THEN (u.page + 1)::VARCHAR END, '/' ORDER BY u.page) AS fetched,
             coalesce(string_agg(CASE WHEN NOT u.ok THEN (u.page + 1)::VARCHAR || '=Adzuna API returned HTTP 500 for https://adzuna.example/' || u.page END,
                 '/' ORDER BY u.page), '') AS failed
-        FROM p_used u LEFT JOIN (SELECT run, count(*) AS n FROM p_first GROUP BY run) j ON u.run = j.run GROUP BY u.run""",
+        FROM p_used u LEFT JOIN (SELECT run, count(*) AS n FROM p_first GROUP BY run) j ON u.run = j.run GROUP BY u.run
+        UNION ALL
+        SELECT 'remotive', run::VARCHAR, (SELECT count(*) FROM c_first f WHERE f.run = a.run),
+            string_agg({CATEGORY_KEYS}[place + 1], '/' ORDER BY place), '' FROM c_asked a GROUP BY run
+        UNION ALL
+        SELECT 'remoteok', run::VARCHAR, (SELECT count(*) FROM t_first f WHERE f.run = a.run),
+            string_agg({TAG_LIST}[place + 1], '/' ORDER BY place), '' FROM t_asked a GROUP BY run""",
     ),
 )
 def payload_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = responses.payloads(responses_table(spark, sf_dir), landing.PAGED)
-    schema = "`fetched-pages` array<string>, `failed-pages` map<string, string>"
+    return accounts(of_all_sources(lambda feed: responses.payloads(responses_table(spark, sf_dir), feed))).drop("chunk")
+
+
+def accounts(packed: DataFrame) -> DataFrame:
+    """What payloads say of their requests: those fetched, and those failed with their messages."""
+    kinds = [feed.requests for feed in landing.BOUND_FEEDS.values()]
+    schema = ", ".join(f"`fetched-{k}` array<string>, `failed-{k}` map<string, string>" for k in kinds)
     read = packed.withColumn("_p", F.from_json("payload", schema))
     failed = F.transform(
-        F.sort_array(F.map_entries("_p.failed-pages")), lambda e: F.concat(e["key"], F.lit("="), e["value"])
+        F.sort_array(F.map_entries(F.coalesce(*[F.col(f"_p.failed-{k}") for k in kinds]))),
+        lambda e: F.concat(e["key"], F.lit("="), e["value"]),
     )
     return read.select(
+        "source",
         "run_id",
+        "chunk",
         "job_count",
-        F.array_join("_p.fetched-pages", "/").alias("fetched"),
+        F.array_join(F.coalesce(*[F.col(f"_p.fetched-{k}") for k in kinds]), "/").alias("fetched"),
         F.array_join(failed, "/").alias("failed"),
     )
 
@@ -226,11 +256,98 @@ def payload_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
             n_requests, n_ok, CASE WHEN n_ok = 0 THEN 'All pages failed during the Adzuna extraction: ' ||
                 (SELECT string_agg('page ' || (page + 1) || ': Adzuna API returned HTTP 500 for https://adzuna.example/' || page,
                     '; ' ORDER BY page) FROM p_pages g WHERE g.run = r.run) END AS error
-        FROM p_runs r""",
+        FROM p_runs r
+        UNION ALL
+        SELECT 'remotive', run::VARCHAR, 'succeeded', count(*), count(*), NULL FROM c_asked GROUP BY run
+        UNION ALL
+        SELECT 'remoteok', run::VARCHAR, 'succeeded', count(*), count(*), NULL FROM t_asked GROUP BY run""",
     ),
 )
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return responses.run_summary(responses_table(spark, sf_dir), ["adzuna"])
+    return responses.run_summary(responses_table(spark, sf_dir), feeds=landing.BOUND_FEEDS)
+
+
+# Events as requests of long runs, keys repeated, most of them failing: a run per user, a request per event.
+LONG_RUNS = """
+    SELECT user_id AS run, event_type AS key, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS place,
+        event_type = 'click' AND event_id % 4 = 0 AS ok, 'Remotive API returned HTTP ' || (500 + event_id % 3) || ' for https://jobs.example/' || event_id AS message
+    FROM events"""
+
+
+def long_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1
+    ok = (F.col("event_type") == "click") & (F.col("event_id") % 4 == 0)
+    columns = {
+        "source": F.lit("remotive"),
+        "run_id": F.col("user_id").cast("string"),
+        "request_key": F.col("event_type"),
+        "request_ordinal": place,
+        "url": F.concat(F.lit("https://jobs.example/"), "event_id"),
+        "http_status": F.when(ok, 200).otherwise((F.col("event_id") % 3 + 500).cast("int")),
+        "error": F.lit(None),
+        "body": F.lit('{"jobs":[]}'),
+        "country": F.lit(None),
+        "fetched_at": F.col("ts"),
+    }
+    events = landing.table(spark, sf_dir, "events")
+    return events.select([columns[f.name].cast(f.dataType).alias(f.name) for f in RESPONSES])
+
+
+@query(
+    "run_summary_long",
+    f"""WITH r AS ({LONG_RUNS})
+        SELECT 'remotive' AS source, run::VARCHAR AS run_id, CASE WHEN bool_or(ok) THEN 'succeeded' ELSE 'failed' END AS status,
+            count(*) AS n_requests, count(*) FILTER (ok) AS n_ok, CASE WHEN NOT bool_or(ok) THEN
+                'All categories failed during the Remotive extraction: ' || string_agg(key || ': ' || message, '; ' ORDER BY place) END AS error
+        FROM r GROUP BY run""",
+)
+def run_summary_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return responses.run_summary(long_runs(spark, sf_dir), ["remotive"])
+
+
+@query(
+    "payload_accounts_long",
+    f"""WITH r AS ({LONG_RUNS}),
+        good AS (SELECT *, bool_or(ok) OVER (PARTITION BY run) AS any_ok, place // 16 AS chunk FROM r),
+        last AS (SELECT * FROM good WHERE NOT ok QUALIFY row_number() OVER (PARTITION BY run, chunk, key ORDER BY place DESC) = 1),
+        bad AS (SELECT run, chunk, string_agg(key || '=' || message, '/' ORDER BY key) AS failed FROM last GROUP BY run, chunk)
+        SELECT 'remotive' AS source, g.run::VARCHAR AS run_id, g.chunk::INTEGER AS chunk, 0::BIGINT AS job_count,
+            coalesce(string_agg(key, '/' ORDER BY place) FILTER (ok), '') AS fetched, coalesce(any_value(failed), '') AS failed
+        FROM good g LEFT JOIN bad b ON g.run = b.run AND g.chunk = b.chunk WHERE any_ok GROUP BY g.run, g.chunk""",
+)
+def payload_accounts_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return accounts(responses.payloads(long_runs(spark, sf_dir), landing.BOUND_FEEDS["remotive"]))
+
+
+# The landing path ------------------------------------------------------------------------------
+
+LANDED = " UNION ALL ".join(
+    f"SELECT job_id, source, title, company, url, {text('ingested_at')} AS ingested_at FROM {name}"
+    for name in ("stg_remotive", "stg_remoteok", "stg_adzuna")
+)
+
+
+def land_all(spark: SparkSession, *goes: DataFrame) -> DataFrame:
+    """The newest postings after landing some responses after others into a new table."""
+    work = f"{shared_folder(spark)}/land-{uuid.uuid4().hex}"
+    for landed in goes:
+        build.land(landed, f"{work}/raw", work=work, feeds=landing.BOUND_FEEDS)
+    staged = [staging.staging(read_raw(spark, f"{work}/raw", source), source) for source in landing.BUILDERS]
+    columns = ["job_id", "source", "title", "company", "url", "ingested_at"]
+    return plain(reduce(DataFrame.unionByName, [stage.select(columns) for stage in staged]))
+
+
+@query("land_latest", using("stg_adzuna", select=LANDED))
+def land_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All runs landed in one call."""
+    return land_all(spark, responses_table(spark, sf_dir))
+
+
+@query("land_twice", using("stg_adzuna", select=LANDED))
+def land_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs with odd numbers first, then the whole folder: the others are older and newer than those there."""
+    landed = responses_table(spark, sf_dir)
+    return land_all(spark, landed.where("cast(run_id as long) % 2 = 1"), landed)
 
 
 # Raw and staging -------------------------------------------------------------------------------
@@ -248,9 +365,15 @@ def raw_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(with_counts(raw_table(spark, sf_dir)).drop("payload"))
 
 
-@query("json_explode", using("t_first", select="SELECT run * 1000 AS raw_id, 'remoteok' AS source, count(*) AS jobs FROM t_first GROUP BY run"))
+EXPLODED = " UNION ALL ".join(
+    f"SELECT run * 1000 AS raw_id, '{source}' AS source, count(*) AS jobs FROM {first} GROUP BY run"
+    for source, first in (("remotive", "c_first"), ("remoteok", "t_first"), ("adzuna", "p_first"))
+)
+
+
+@query("json_explode", using("p_first", select=EXPLODED))
 def json_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    exploded = staging.explode_jobs(raw_table(spark, sf_dir).where("source = 'remoteok'"))
+    exploded = staging.explode_jobs(raw_table(spark, sf_dir))
     return exploded.groupBy("raw_id", "source").agg(F.count("job").alias("jobs"))
 
 
@@ -259,9 +382,14 @@ STAGED = f"""job_id, source, title, company, category, array_to_string(tags, '/'
     {text("published_at")} AS published_at, url, {text("ingested_at")} AS ingested_at, raw_id"""
 
 
-@query("stg_parse", using("c_parsed", select=f"SELECT {STAGED} FROM c_parsed"))
-def parse_remotive_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(staging.parse_jobs(raw_table(spark, sf_dir), "remotive").drop("position"))
+PARSED = " UNION ALL ".join(f"SELECT {STAGED} FROM {name}" for name in ("c_parsed", "t_parsed", "p_parsed"))
+
+
+@query("stg_parse", using("p_parsed", select=PARSED))
+def parse_all_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_table(spark, sf_dir)
+    parsed = [staging.parse_jobs(raw, source).drop("position", "salary_is_predicted", "search_country") for source in landing.BUILDERS]
+    return plain(reduce(DataFrame.unionByName, parsed))
 
 
 @query("stg_remotive_jobs", using("stg_remotive", select=f"SELECT {STAGED} FROM stg_remotive"))

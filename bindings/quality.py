@@ -173,7 +173,7 @@ def dq_reconcile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tables(spark: SparkSession, sf_dir: str):
     def by_name(name: str) -> DataFrame:
         if name.startswith("stg_"):
-            return model.stage(spark, sf_dir, name.split("_")[1])
+            return model.staged_table(spark, sf_dir, name.split("_")[1])
         named = {
             "raw": model.raw_table,
             "int_jobs_normalized": model.jobs_table,
@@ -379,13 +379,16 @@ def dq_reconcile_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "raw_count_mismatches",
-    using("t_first", select="""SELECT 'remoteok' AS source, count(*) AS payloads, sum(n)::BIGINT AS postings, 0::BIGINT AS mismatched
-        FROM (SELECT run, count(*) AS n FROM t_first GROUP BY run)"""),
+COUNTS = " UNION ALL ".join(
+    f"""SELECT '{source}' AS source, count(*) AS payloads, sum(n)::BIGINT AS postings, 0::BIGINT AS mismatched
+        FROM (SELECT run, count(*) AS n FROM {first} GROUP BY run)"""
+    for source, first in (("remotive", "c_first"), ("remoteok", "t_first"), ("adzuna", "p_first"))
 )
+
+
+@query("raw_count_mismatches", using("p_first", select=COUNTS))
 def raw_count_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = with_counts(model.raw_table(spark, sf_dir).where("source = 'remoteok'"))
+    counted = with_counts(model.raw_table(spark, sf_dir))
     declared, actual = F.col("job_count_declared"), F.col("job_count_actual")
     return counted.groupBy("source").agg(
         F.count("*").alias("payloads"),

@@ -36,6 +36,7 @@ def _rates() -> str:
 
 INGESTED = "(TIMESTAMP '2025-01-01 00:00:00' + to_hours(run::INTEGER))"
 CATEGORY_LIST = _list(list(fixed.CATEGORY_NAMES.values())[:5])
+CATEGORY_KEYS = _list(list(fixed.CATEGORY_NAMES)[:5])
 TAG_LIST = _list(fixed.REQUEST_TAGS[:5])
 
 CTES = {
@@ -43,6 +44,10 @@ CTES = {
     "c_feed": f"""
         SELECT *, o_orderkey // {ORDERS_PER_RUN} AS run,
             list_position({_list(PRIORITIES)}, o_orderpriority) - 1 AS place FROM orders""",
+    # A response holds the rows of its own place and of the next one.
+    "c_asked": """
+        SELECT run, place, count(*) AS n FROM (
+            SELECT run, place FROM c_feed UNION ALL SELECT run, (place + 4) % 5 FROM c_feed) GROUP BY run, place""",
     "c_first": """
         SELECT * FROM c_feed
         QUALIFY row_number() OVER (PARTITION BY run, o_custkey ORDER BY place, o_orderkey) = 1""",
@@ -64,6 +69,9 @@ CTES = {
         SELECT *, event_id // {EVENTS_PER_RUN} AS run, (props->>'k')::INTEGER AS k,
             list_position({_list(EVENT_TYPES)}, event_type) - 1 AS place,
             (value::DECIMAL(18,4) * 1000)::BIGINT AS amount FROM events""",
+    "t_asked": """
+        SELECT run, place, count(*) AS n FROM (
+            SELECT run, place FROM t_feed UNION ALL SELECT run, (place + 4) % 5 FROM t_feed) GROUP BY run, place""",
     "t_first": """
         SELECT * FROM t_feed WHERE k > 0
         QUALIFY row_number() OVER (PARTITION BY run, user_id, k ORDER BY place, event_id) = 1""",

@@ -31,7 +31,6 @@ REQUEST_TAGS = (
 
 # Paging limits of the paged source.
 RESULTS_PER_PAGE = 50
-MAX_PAGES = 5
 
 # Fixed value: request timeout quoted in the timeout message, in seconds.
 TIMEOUT_SECONDS = 30.0

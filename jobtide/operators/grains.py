@@ -65,6 +65,29 @@ def _group(grain: Grain, place: int, keys: Sequence[str], types: dict[str, T.Dat
     return reduce(lambda rest, key: F.when(F.col(key).isNotNull(), rest), grain.required, group)
 
 
+def spread_counts(
+    df: DataFrame, grains: Sequence[Grain], value: Column, low: Column, high: Column
+) -> tuple[DataFrame, list[str]]:
+    """Rows per group and distinct value (missing is one), spread over tasks by group and value bucket.
+
+    Equal values are counted in each task and again behind a shuffle by value before they are spread, so
+    that a value or a gap in ever so many rows is one row of its group. The group is a struct: it is
+    never NULL, so a plain equality joins groups with NULL keys too.
+    """
+    keys = list(dict.fromkeys(key for grain in grains for key in grain.keys))
+    plain = df.select(*keys, value.alias("_v"), low.alias("_lo"), high.alias("_hi"))
+    types = {field.name: field.dataType for field in plain.schema}
+    groups = F.array(*[_group(grain, i, keys, types) for i, grain in enumerate(grains)])
+    counted = (
+        plain.select(F.explode(groups).alias("_g"), "_v", "_lo", "_hi")
+        .where("_g is not null")
+        .groupBy("_g", "_v")
+        .agg(F.count("*").alias("_n"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+        .withColumn("_b", F.coalesce(value_bucket(F.col("_v")), F.lit(NO_VALUE_BUCKET)))
+    )
+    return counted.repartition("_g", "_b"), keys
+
+
 def multi_grain_stats(
     df: DataFrame,
     grains: Sequence[Grain],
@@ -77,28 +100,11 @@ def multi_grain_stats(
 ) -> DataFrame:
     """Row count, rounded average and exact median of ``value``, lowest ``low`` and highest ``high``.
 
-    Rows are counted per distinct value at the finest grain before anything is rolled up, so grains
-    multiply the reduced rows only. The median is found by rank: bucket counts give the buckets
-    holding the middle ranks, and only those buckets are sorted. No group is gathered anywhere.
+    The median is found by rank: bucket counts give the buckets holding the middle ranks, and only
+    those buckets are sorted. One shuffle, by group and bucket, serves the bucket totals, the join and
+    the window. No group is gathered anywhere.
     """
-    keys = list(dict.fromkeys(key for grain in grains for key in grain.keys))
-    finest = (
-        df.select(*keys, value.alias("_v"), low.alias("_lo"), high.alias("_hi"))
-        .groupBy(*keys, "_v")
-        .agg(F.count("*").alias("_n"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
-    )
-    # One shuffle, by group and bucket, serves the bucket totals, the join and the window. Equal values
-    # of different finest groups stay apart: ranks run over them alike, and merging them all would
-    # cost more than sorting them in the few buckets that are sorted.
-    # The group is a struct: it is never NULL, so a plain equality joins groups with NULL keys too.
-    types = {field.name: field.dataType for field in finest.schema}
-    groups = F.array(*[_group(grain, i, keys, types) for i, grain in enumerate(grains)])
-    counted = (
-        finest.select(F.explode(groups).alias("_g"), "_v", "_n", "_lo", "_hi")
-        .where("_g is not null")
-        .withColumn("_b", F.coalesce(value_bucket(F.col("_v")), F.lit(NO_VALUE_BUCKET)))
-        .repartition("_g", "_b")
-    )
+    counted, keys = spread_counts(df, grains, value, low, high)
 
     valued = F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(0)
     weighted = F.when(F.col("_n") == 1, F.col("_v")).otherwise(F.col("_v") * F.col("_n"))

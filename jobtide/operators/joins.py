@@ -5,18 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
 
+def dimension(dim: DataFrame, key: str) -> DataFrame:
+    """A dimension to be looked up by key. A repeated or missing key raises when the rows are read.
 
-def dimension(dim: DataFrame, key: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A dimension ready to be looked up by key: checked to be unique, broadcast only if small.
-
-    A larger one joins by shuffle, where adaptive execution splits the hot keys.
+    Whether the lookup is broadcast is left to Spark, which goes by bytes.
     """
-    counts = dim.agg(F.count("*").alias("n"), F.count_distinct(key).alias("keys")).first()
-    if counts["n"] != counts["keys"]:
-        raise ValueError(f"{key} must be unique and not null: {counts['n']} rows, {counts['keys']} keys")
-    return F.broadcast(dim) if counts["n"] <= max_rows else dim
+    repeated = F.concat(F.lit(f"{key} must be unique and not null, but has "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
+    others = [F.first(c).alias(c) for c in dim.columns if c != key]
+    once = dim.groupBy(key).agg(*others, F.count("*").alias("_n"))
+    sound = F.when((F.col("_n") == 1) & F.col(key).isNotNull(), F.col(key)).otherwise(F.raise_error(repeated).cast(dim.schema[key].dataType))
+    return once.select([sound.alias(c) if c == key else F.col(c) for c in dim.columns])
 
 
 def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:

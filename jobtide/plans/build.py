@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +14,10 @@ from pyspark.sql import functions as F
 from jobtide import fixed
 from jobtide.plans import marts, responses, suites
 from jobtide.plans.normalize import normalize
-from jobtide.plans.staging import staging
+from jobtide.plans.staging import ORDERED, refreshed_staging, staging
 from jobtide.sources.marts import Marts, read_folder, write_mart
-from jobtide.sources.raw import append_payloads, known_source, read_raw
+from jobtide.schemas import RUNS
+from jobtide.sources.raw import append_payloads, append_runs, read_raw, read_runs, stored_or_none
 from jobtide.sources.seeds import read_rates
 from jobtide.sources.workdir import written
 
@@ -28,56 +30,82 @@ MODELS = {
 }
 
 
-class SourceError(RuntimeError):
-    """Raised when no request of a source went well."""
+class RunError(RuntimeError):
+    """Raised when runs were there to land and every one of them failed."""
 
 
-class RunError(RuntimeError):
-    """Raised when no source of a run could be landed."""
-
-
-def land_source(landed: DataFrame, source: str, raw_path: str, ingested_at: dt.datetime | None = None) -> dict:
-    """Pack and append one source's responses; the first new id and the postings landed."""
-    feed = responses.FEEDS[known_source(source)]
-    requests = written(responses.outcomes(landed, feed), f"outcomes-{source}", slot=raw_path)
-    if not requests.where("ok").take(1):
-        failed = responses.run_summary(landed, [source], {source: requests}).orderBy("run_id").first()
-        raise SourceError(failed["error"] if failed else f"no responses of {source} have landed")
-    base = append_payloads(responses.payloads(landed, feed, requests), raw_path, ingested_at)
-    new = read_raw(landed.sparkSession, raw_path, source).where(F.col("raw_id") > base)
+def unlanded(landed: DataFrame, raw_path: str, settled: dt.datetime | None = None) -> DataFrame:
+    """Responses of runs that the log does not know; with ``settled``, of runs that ended before it."""
+    known = read_runs(landed.sparkSession, raw_path)
+    if known is not None:
+        landed = landed.join(known.select("source", "run_id").distinct(), ["source", "run_id"], "left_anti")
+    if settled is not None:
+        ended = landed.groupBy("source", "run_id").agg(F.max("fetched_at").alias("_ended")).where(F.col("_ended") < settled)
+        landed = landed.join(ended.drop("_ended"), ["source", "run_id"], "left_semi")
+    return landed
+
+
+def land_source(responses_: DataFrame, feed: responses.Feed, raw_path: str, work: str | None, now: dt.datetime) -> DataFrame:
+    """Append one source's payloads; a row per run, as the log keeps it.
+
+    Bodies are parsed once, into the stored classification that everything else starts from.
+    """
+    classified = written(responses.classify(responses_, feed), f"classified-{feed.source}", work=work)
+    requests = responses.outcomes(classified, feed)
+    places = written(responses.chunk_places(requests, feed), f"places-{feed.source}", work=work)
+    packed = responses.payloads(classified, feed).join(places, list(responses.CHUNK))
+    base = append_payloads(packed, raw_path, now)
     count = F.from_json("payload", "`job-count` bigint")["job-count"]
-    row = new.agg(F.min("raw_id").alias("row_id"), F.sum(count).alias("job_count")).first()
-    return {"row-id": row["row_id"], "job-count": row["job_count"]}
+    new = read_raw(packed.sparkSession, raw_path, feed.source).where(F.col("raw_id") > base)
+    stored = new.groupBy("run_id").agg(F.count("*").alias("payloads"), F.sum(count).alias("job_count"))
+    runs = responses.run_summary(classified, [feed.source], {feed.source: requests}, {feed.source: feed})
+    timed = runs.join(responses.run_times(requests), "run_id").join(stored, "run_id", "left")
+    return timed.withColumns(
+        {
+            "ingested_at": F.coalesce("ingested_at", F.lit(now)),
+            "payloads": F.coalesce("payloads", F.lit(0)),
+            "job_count": F.coalesce("job_count", F.lit(0)),
+        }
+    )
 
 
 def land(
     landed: DataFrame,
     raw_path: str,
     sources: Sequence[str] | None = None,
-    ingested_at: dt.datetime | None = None,
-    loader: Callable[[DataFrame, str, str, dt.datetime | None], dict] = land_source,
-) -> dict[str, dict]:
-    """Land every source; one that fails is recorded and the others go on. Raises if all fail."""
+    now: dt.datetime | None = None,
+    work: str | None = None,
+    feeds: Mapping[str, responses.Feed] = responses.FEEDS,
+    settled: dt.datetime | None = None,
+) -> DataFrame:
+    """Land every run that has not been landed yet, and return a row for each, failed ones included.
+
+    The same rows are added to the log beside the landing table, by which later calls skip them. A run
+    has to be complete when it is landed; ``settled`` leaves out those that still received responses at
+    that time or later. Raises if there were runs and none went well.
+    """
     names = responses.known_sources(fixed.SOURCES if sources is None else sources)
-    succeeded: dict[str, dict] = {}
-    failed: dict[str, str] = {}
-    for name in names:
-        try:
-            succeeded[name] = loader(landed, name, raw_path, ingested_at)
-        except Exception as error:  # one broken source must not take the others down
-            logger.exception("Source %r failed, continuing with the rest", name)
-            failed[name] = str(error)
-    if names and not succeeded:
-        listed = "; ".join(f"{name}: {message}" for name, message in failed.items())
-        raise RunError(fixed.ALL_SOURCES_FAILED % listed)
-    return {"succeeded": succeeded, "failed": failed}
+    now = now or dt.datetime.now(dt.UTC)
+    new = unlanded(landed.where(F.col("source").isin(names)), raw_path, settled)
+    frames = [land_source(new.where(F.col("source") == name), feeds[name], raw_path, work, now) for name in names]
+    runs = written(reduce(DataFrame.unionByName, frames).select(RUNS.fieldNames()), "runs", work=work)
+    append_runs(runs, raw_path)
+    tally = runs.agg(F.count("*").alias("n"), F.count_if(F.col("status") == "succeeded").alias("good")).first()
+    if tally["n"] and not tally["good"]:
+        worst = runs.orderBy("source", "ingested_at", "run_id").limit(len(names) * 3).collect()
+        listed = "; ".join(f"{r['source']} {r['run_id']}: {r['error']}" for r in worst)
+        raise RunError(f"none of {tally['n']} run(s) could be landed, the first being {listed}")
+    return runs
 
 
 @dataclass
 class Build:
     """The layers over one landing table. Staging and unified postings are views, marts are tables.
 
-    The unified postings are stored for the length of a build, as every mart reads them.
+    The staging views read rows stored beside the marts, brought up to date from the payloads appended
+    since whenever a build or check finds them behind, so that no payload is parsed twice. The unified
+    postings are stored for the length of a build, as every mart reads them. ``work`` is a folder that
+    all executors share; without one it is that of ``spark.checkpoint.dir``.
     """
 
     spark: SparkSession
@@ -85,6 +113,8 @@ class Build:
     mart_folder: str
     rates: DataFrame | None = None
     lenient: bool = False
+    work: str | None = None
+    _staged: dict[str, tuple[int, DataFrame]] = field(default_factory=dict, repr=False)
 
     def table(self, name: str) -> DataFrame:
         """Any table of the build by name."""
@@ -93,14 +123,31 @@ class Build:
         if name == "exchange_rates":
             return self._rates()
         if name in MODELS["staging"]:
-            source = name.split("_")[1]
-            return staging(read_raw(self.spark, self.raw_path, source), source, self.lenient)
+            return self._stage(name.split("_")[1])
         if name == "int_jobs_normalized":
             return normalize(*[self.table(stage) for stage in MODELS["staging"]], self._rates())
         if name in MODELS["marts"]:
             return self.spark.read.parquet(f"{self.mart_folder}/{name}")
         raise ValueError(f"Unknown table {name!r}")
 
+    def _stage(self, source: str) -> DataFrame:
+        """Stored staging rows up to the newest payload, in a folder for every newest payload so far."""
+        raw = read_raw(self.spark, self.raw_path, source)
+        newest = raw.agg(F.max("raw_id")).first()[0] or 0
+        if self._staged.get(source, (None,))[0] != newest:
+            folder = f"{self.mart_folder}/_staging/{source}{'-lenient' if self.lenient else ''}"
+            kept = stored_or_none(lambda: self.spark.read.parquet(folder))
+            upto = 0 if kept is None else kept.agg(F.max("upto")).first()[0] or 0
+            if kept is None or upto < newest:
+                if upto:
+                    rows = refreshed_staging(kept.where(F.col("upto") == upto).drop("upto"), raw, source, self.lenient)
+                else:
+                    rows = staging(raw, source, self.lenient, ordered=True)
+                rows.write.mode("overwrite").parquet(f"{folder}/upto={newest}")
+                kept = self.spark.read.parquet(folder)
+            self._staged[source] = newest, kept.where(F.col("upto") == newest).drop("upto", *ORDERED)
+        return self._staged[source][1]
+
     def _rates(self) -> DataFrame:
         if self.rates is None:
             self.rates = read_rates(self.spark)
@@ -124,7 +171,7 @@ class Build:
         return models
 
     def _marts(self, names: Sequence[str]) -> None:
-        jobs = written(self.table("int_jobs_normalized"), "int_jobs_normalized", slot=self.mart_folder)
+        jobs = written(self.table("int_jobs_normalized"), "int_jobs_normalized", work=self.work)
         models = {
             "mart_skills": lambda: marts.mart_skills(jobs),
             "mart_salary_ranges": lambda: marts.mart_salary_ranges(jobs),
@@ -159,12 +206,13 @@ def full_run(
     mart_folder: str,
     sources: Sequence[str] | None = None,
     now: dt.datetime | None = None,
-) -> dict[str, dict]:
-    """Land, build and check; raises if all sources or any check failed."""
-    summary = land(landed, raw_path, sources, now)
-    build = Build(landed.sparkSession, raw_path, mart_folder)
+    work: str | None = None,
+) -> DataFrame:
+    """Land, build and check; raises if all runs or any check failed. Returns the runs landed."""
+    runs = land(landed, raw_path, sources, now, work)
+    build = Build(landed.sparkSession, raw_path, mart_folder, work=work)
     build.run()
-    outcomes = build.check(now)
-    logger.info("%s", suites.format_report(outcomes))
-    suites.gate(outcomes)
-    return summary
+    done = build.check(now)
+    logger.info("%s", suites.format_report(done))
+    suites.gate(done)
+    return runs

@@ -1,7 +1,7 @@
 """Landed API responses to payloads: validate, filter, deduplicate and pack.
 
-A run's postings are packed into payloads of up to :data:`RESPONSES_PER_PAYLOAD` responses. A run of
-ordinary size is one payload; a larger one becomes several, so no row grows with the run.
+A run is landed in chunks of :data:`RESPONSES_PER_CHUNK` responses, each a payload of its own with the
+run's id and its number, so that no row grows with the run and a run can be put together again.
 """
 
 from __future__ import annotations
@@ -19,10 +19,10 @@ from jobtide.functions.text import same_text
 from jobtide.operators.dedup import first_seen
 from jobtide.operators.ranking import lookup
 
-RESPONSES_PER_PAYLOAD = 16
+RESPONSES_PER_CHUNK = 16
 # Keys within one source; each function below handles one source, so the source itself is no key.
 RUN = ("run_id",)
-PACK = (*RUN, "pack")
+CHUNK = (*RUN, "chunk")
 
 
 @dataclass(frozen=True)
@@ -72,10 +72,14 @@ def _fields(feed: Feed) -> str:
 
 
 def classify(responses: DataFrame, feed: Feed) -> DataFrame:
-    """Add the response's elements as JSON text and their fields, or the message saying why it failed.
+    """How each response went and, in ``kept``, its postings that belong to the request made.
 
-    Both come from parsing the body as a whole; a parse per element costs several times as much.
+    The body is parsed as a whole, once for the text of its elements and once for their fields; a parse
+    per element costs several times as much. Written out, the rows serve all that follows. A frame
+    classified before is returned as it is.
     """
+    if "kept" in responses.columns:
+        return responses
 
     def listed(kind: str) -> Column:
         return list_of(F.col("body"), kind, feed.list_name)
@@ -99,61 +103,60 @@ def classify(responses: DataFrame, feed: Feed) -> DataFrame:
         )
         .otherwise(F.format_string(fixed.NOT_JSON_MESSAGE, F.lit(feed.label), "url"))
     )
-    return (
-        responses.where(F.col("source") == feed.source)
-        .withColumns({"elements": listed("array<string>"), "fields": listed(_fields(feed))})
-        .withColumn("message", message)
-        .withColumn("ok", F.col("message").isNull())
-        .withColumn("pack", F.expr(f"request_ordinal div {RESPONSES_PER_PAYLOAD}"))
+    elements = F.arrays_zip(F.col("elements").alias("job"), F.col("fields").alias("f"))
+    asked = F.filter(elements, lambda element: _asked_for(element["f"], feed))
+    kept = F.transform(asked, lambda e: F.struct(e["job"].alias("job"), _posting_key(e["f"]["id"]).alias("posting_key")))
+    parsed = responses.where(F.col("source") == feed.source).withColumns(
+        {"elements": listed("array<string>"), "fields": listed(_fields(feed))}
     )
-
-
-def outcomes(responses: DataFrame, feed: Feed) -> DataFrame:
-    """One row per request: how it went and how many elements it returned."""
-    return classify(responses, feed).select(
-        *PACK,
+    return parsed.withColumn("message", message).select(
+        *RUN,
+        F.expr(f"cast(request_ordinal div {RESPONSES_PER_CHUNK} as int)").alias("chunk"),
         "request_key",
         "request_ordinal",
         "country",
-        "ok",
+        "fetched_at",
+        F.col("message").isNull().alias("ok"),
         "message",
-        F.when(F.col("ok"), F.size("elements")).alias("n_elements"),
+        F.when(F.col("message").isNull(), F.size("elements")).alias("n_elements"),
+        F.when(F.col("message").isNull(), kept).alias("kept"),
     )
 
 
+def _posting_key(posting_id: Column) -> Column:
+    """What tells postings apart: a number and a text of the same digits are different ids."""
+    is_text = F.schema_of_variant(posting_id) == "STRING"
+    key = F.struct(posting_id.cast("string").alias("text"), is_text.alias("is_text"))
+    return F.when(F.is_variant_null(posting_id) | posting_id.isNull(), None).otherwise(key)
+
+
+def outcomes(responses: DataFrame, feed: Feed) -> DataFrame:
+    """One row per request: how it went and how many elements it returned."""
+    return classify(responses, feed).drop("kept")
+
+
 def run_outcomes(requests: DataFrame, feed: Feed) -> DataFrame:
     """One row per run: requests that went well, and the first short page, after which none is used."""
     short = F.col("ok") & (F.col("n_elements") < (feed.per_page or 0))
     return requests.groupBy(*RUN).agg(
         F.count_if("ok").alias("n_ok"),
         F.min(F.when(short, F.col("request_ordinal"))).alias("stop"),
-        F.min("pack").alias("_from"),
-        F.max("pack").alias("_to"),
+        F.min("chunk").alias("_first"),
+        F.max("chunk").alias("_last"),
     )
 
 
 def postings(responses: DataFrame, feed: Feed) -> DataFrame:
     """The postings of every successful response, in order, that belong to the request made.
 
-    Elements are filtered before the explode: a filter on exploded rows would be pushed below the
-    parse and repeat it. Failed responses have no elements to explode.
+    They are filtered before the explode, and the explode is an outer one: either kind of filter after
+    it would be pushed below the parse and repeat it.
     """
-    parsed = F.when(F.col("ok"), F.arrays_zip(F.col("elements").alias("job"), F.col("fields").alias("f")))
-    kept = F.filter(parsed, lambda element: _asked_for(element["f"], feed))
     exploded = classify(responses, feed).select(
-        *PACK, "request_key", "request_ordinal", F.posexplode(kept).alias("position", "_e")
+        *CHUNK, "request_key", "request_ordinal", F.posexplode_outer("kept").alias("position", "_e")
     )
-    posting_id = F.col("_e.f.id")
-    # A number and a text of the same digits are different ids.
-    is_text = F.schema_of_variant(posting_id) == "STRING"
-    key = F.struct(posting_id.cast("string").alias("text"), is_text.alias("is_text"))
-    return exploded.select(
-        *PACK,
-        "request_key",
-        "request_ordinal",
-        "position",
-        F.col("_e.job").alias("job"),
-        F.when(F.is_variant_null(posting_id) | posting_id.isNull(), None).otherwise(key).alias("posting_key"),
+    return exploded.where(F.col("position").isNotNull()).select(
+        *CHUNK, "request_key", "request_ordinal", "position", "_e.job", "_e.posting_key"
     )
 
 
@@ -180,11 +183,11 @@ def distinct_postings(jobs: DataFrame) -> DataFrame:
 def used_only(rows: DataFrame, runs: DataFrame) -> DataFrame:
     """Requests or postings up to and including the first short page of their run.
 
-    Runs without any good request have none. Joining per pack spreads a large run over tasks.
+    Runs without any good request have none. Joining per chunk spreads a large run over tasks.
     """
-    per_pack = runs.select(*RUN, "n_ok", "stop", F.explode(F.sequence("_from", "_to")).alias("pack"))
+    per_chunk = runs.select(*RUN, "n_ok", "stop", F.explode(F.sequence("_first", "_last")).alias("chunk"))
     used = "n_ok > 0 and (stop is null or request_ordinal <= stop)"
-    return rows.join(per_pack, list(PACK)).where(used).drop("n_ok", "stop")
+    return rows.join(per_chunk, list(CHUNK)).where(used).drop("n_ok", "stop")
 
 
 def payload_text(jobs: Column, account: Column) -> Column:
@@ -203,30 +206,38 @@ def payload_text(jobs: Column, account: Column) -> Column:
 
 
 def pack_jobs(jobs: DataFrame) -> DataFrame:
-    """The postings of each pack, in order. A pack is bounded by the size of its responses."""
+    """The postings of each chunk, in order. A chunk is bounded by the size of its responses."""
     listed = F.sort_array(F.collect_list(F.struct("request_ordinal", "position", "job")))
-    return jobs.groupBy(*PACK).agg(F.transform(listed, lambda row: row["job"]).alias("jobs"))
+    return jobs.groupBy(*CHUNK).agg(F.transform(listed, lambda row: row["job"]).alias("jobs"))
+
+
+def run_times(requests: DataFrame) -> DataFrame:
+    """When each run was fetched: the time of its last response."""
+    return requests.groupBy(*RUN).agg(F.max("fetched_at").alias("ingested_at"))
 
 
-def payloads(responses: DataFrame, feed: Feed, requests: DataFrame | None = None) -> DataFrame:
+def payloads(responses: DataFrame, feed: Feed) -> DataFrame:
     """The payloads of every run of a source in which some request went well.
 
-    ``requests`` takes stored :func:`outcomes`, to spare reading the bodies again for them.
+    A key that failed more than once keeps its last message.
     """
-    requests = outcomes(responses, feed) if requests is None else requests
+    classified = classify(responses, feed)
+    requests = outcomes(classified, feed)
     runs = run_outcomes(requests, feed)
-    jobs = distinct_postings(postings(responses, feed))
+    jobs = distinct_postings(postings(classified, feed))
     packed = pack_jobs(used_only(jobs, runs) if feed.per_page else jobs)
     used = used_only(requests, runs)
     number = F.col("request_key").cast("int") if feed.per_page else F.col("request_key")
     request = F.struct("request_ordinal", number.alias("key"), "request_key", "ok", "message")
-    accounts = used.groupBy(*PACK).agg(
-        F.sort_array(F.collect_list(request)).alias("requests"), F.first("country").alias("country")
+    accounts = used.groupBy(*CHUNK).agg(
+        F.sort_array(F.collect_list(request)).alias("requests"), F.max("country").alias("country")
     )
+    accounts = accounts.join(run_times(requests), list(RUN)).withColumn("bad", F.filter("requests", lambda r: ~r["ok"]))
     fetched = F.transform(F.filter("requests", lambda r: r["ok"]), lambda r: r["key"])
-    failed = F.transform(
-        F.filter("requests", lambda r: ~r["ok"]), lambda r: F.struct(r["request_key"], r["message"])
+    last = F.filter(
+        "bad", lambda r: ~F.exists("bad", lambda o: (o["request_key"] == r["request_key"]) & (o["request_ordinal"] > r["request_ordinal"]))
     )
+    failed = F.transform(last, lambda r: F.struct(r["request_key"], r["message"]))
     account = F.to_json(
         F.struct(
             *(["country"] if feed.per_page else []),
@@ -234,14 +245,26 @@ def payloads(responses: DataFrame, feed: Feed, requests: DataFrame | None = None
             F.map_from_entries(failed).alias(f"failed-{feed.requests}"),
         )
     )
-    return accounts.join(packed, list(PACK), "left").select(
+    return accounts.join(packed, list(CHUNK), "left").select(
         F.lit(feed.source).alias("source"),
-        *PACK,
+        *CHUNK,
+        "ingested_at",
         F.coalesce(F.size("jobs"), F.lit(0)).cast("long").alias("job_count"),
         payload_text(F.col("jobs"), account).alias("payload"),
     )
 
 
+def chunk_places(requests: DataFrame, feed: Feed) -> DataFrame:
+    """Numbers of the chunks with a payload that grow with the run's time, the run and the chunk.
+
+    Only these small rows are sorted; gaps stay between the partitions of the sort.
+    """
+    used = used_only(requests, run_outcomes(requests, feed)).select(*CHUNK).distinct()
+    order = ["ingested_at", *CHUNK]
+    ranged = used.join(run_times(requests), list(RUN)).repartitionByRange(*order).sortWithinPartitions(*order)
+    return ranged.select(*CHUNK, F.monotonically_increasing_id().alias("place"))
+
+
 def all_payloads(responses: DataFrame, sources: Sequence[str] = fixed.SOURCES) -> DataFrame:
     """Payloads of the chosen sources."""
     return reduce(DataFrame.unionByName, [payloads(responses, FEEDS[name]) for name in known_sources(sources)])
@@ -258,26 +281,21 @@ def run_summary(
     responses: DataFrame,
     sources: Sequence[str] = fixed.SOURCES,
     requests_of: Mapping[str, DataFrame] | None = None,
+    feeds: Mapping[str, Feed] = FEEDS,
 ) -> DataFrame:
     """One row per run: whether any request went well, and the request counts.
 
-    A failed run carries its error; it lists the failures of the run's first pack, and
-    :func:`outcomes` has every one of them. ``requests_of`` takes stored outcomes by source.
+    A failed run carries its error, which lists every failed request in order; a run's request list
+    bounds it. ``requests_of`` takes stored outcomes by source.
     """
     frames = []
     for name in known_sources(sources):
-        feed = FEEDS[name]
+        feed = feeds[name]
         requests = (requests_of or {}).get(name)
         if requests is None:
             requests = outcomes(responses, feed)
-        listed = F.sort_array(
-            F.collect_list(
-                F.when(
-                    (F.col("pack") == 0) & ~F.col("ok"),
-                    F.struct("request_ordinal", F.concat(F.lit(feed.noun), "request_key", F.lit(": "), "message").alias("text")),
-                )
-            )
-        )
+        text = F.concat(F.lit(feed.noun), "request_key", F.lit(": "), "message")
+        listed = F.sort_array(F.collect_list(F.when(~F.col("ok"), F.struct("request_ordinal", text.alias("text")))))
         runs = requests.groupBy(*RUN).agg(
             F.count("*").alias("n_requests"),
             F.count_if("ok").alias("n_ok"),

@@ -19,7 +19,8 @@ PAYLOAD = "jobs array<string>, country string"
 def explode_jobs(raw: DataFrame) -> DataFrame:
     """One row per posting of each payload, still JSON text, with its place in the payload.
 
-    A payload whose ``jobs`` is no list gives no rows.
+    A payload whose ``jobs`` is no list gives no rows. They are dropped after an outer explode: from an
+    inner one a filter on the list is inferred, which is pushed below the parse and repeats it.
     """
     payload = raw.withColumn("_p", F.from_json("payload", PAYLOAD))
     return payload.select(
@@ -27,8 +28,8 @@ def explode_jobs(raw: DataFrame) -> DataFrame:
         "ingested_at",
         "source",
         F.col("_p.country").alias("search_country"),
-        F.posexplode("_p.jobs").alias("position", "job"),
-    )
+        F.posexplode_outer("_p.jobs").alias("position", "job"),
+    ).where(F.col("position").isNotNull())
 
 
 def _absent(kind: str) -> Column:
@@ -106,19 +107,21 @@ def parse_jobs(raw: DataFrame, source: str, lenient: bool = False) -> DataFrame:
 
 
 NEWEST = ["ingested_at", "raw_id", "position"]
+#: Columns that only order versions; stored staging rows keep them.
+ORDERED = ("position",)
 
 
-def staging(raw: DataFrame, source: str, lenient: bool = False) -> DataFrame:
-    """The newest version of each posting of one source."""
-    return latest_by_key(parse_jobs(raw, source, lenient), ["job_id"], NEWEST).drop("position")
+def staging(raw: DataFrame, source: str, lenient: bool = False, ordered: bool = False) -> DataFrame:
+    """The newest version of each posting of one source: of the latest run, and there of the latest place."""
+    newest = latest_by_key(parse_jobs(raw, source, lenient), ["job_id"], NEWEST)
+    return newest if ordered else newest.drop(*ORDERED)
 
 
 def refreshed_staging(previous: DataFrame, raw: DataFrame, source: str, lenient: bool = False) -> DataFrame:
-    """The same rows from stored staging rows and the payloads appended since.
+    """The same rows, ordered, from stored ordered staging rows and the payloads appended since.
 
     Raw ids grow, so older payloads need no second parse: the newest of the newest is the newest.
     """
     seen = previous.agg(F.max("raw_id")).first()[0] or 0
     new = parse_jobs(raw.where(F.col("raw_id") > seen), source, lenient)
-    both = previous.withColumn("position", F.lit(0)).unionByName(new)
-    return latest_by_key(both, ["job_id"], NEWEST).drop("position")
+    return latest_by_key(previous.unionByName(new), ["job_id"], NEWEST)

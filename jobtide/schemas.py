@@ -19,18 +19,37 @@ RESPONSES = T.StructType(
         T.StructField("error", T.StringType()),
         T.StructField("body", T.StringType()),
         T.StructField("country", T.StringType()),
+        T.StructField("fetched_at", T.TimestampType()),
     ]
 )
 
+# (source, run_id, chunk) is the key of a landed payload; raw ids grow with the run and the chunk.
 RAW = T.StructType(
     [
         T.StructField("raw_id", T.LongType()),
         T.StructField("ingested_at", T.TimestampType()),
+        T.StructField("run_id", T.StringType()),
+        T.StructField("chunk", T.IntegerType()),
         T.StructField("payload", T.StringType()),
         T.StructField("source", T.StringType()),
     ]
 )
 
+# How every run landed so far went, failed ones included.
+RUNS = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("n_requests", T.LongType()),
+        T.StructField("n_ok", T.LongType()),
+        T.StructField("error", T.StringType()),
+        T.StructField("ingested_at", T.TimestampType()),
+        T.StructField("payloads", T.LongType()),
+        T.StructField("job_count", T.LongType()),
+        T.StructField("source", T.StringType()),
+    ]
+)
+
 RATES = T.StructType(
     [
         T.StructField("country_code", T.StringType()),

@@ -48,7 +48,7 @@ def coerce(name: str, df: DataFrame) -> DataFrame:
     wanted = MART_TYPES[known_mart(name)]
     missing = set(wanted) - set(df.columns)
     if missing:
-        raise ValueError(f"{name} is missing expected columns: {sorted(missing)}")
+        raise ValueError(f"no column {', '.join(sorted(missing))} in {name}")
     return df.select([F.col(c).cast(wanted[c]).alias(c) if c in wanted else F.col(c) for c in df.columns])
 
 

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide.fixed import SOURCES
-from jobtide.schemas import RAW
+from jobtide.schemas import RAW, RUNS
 
 
 def known_source(source: str) -> str:
@@ -25,39 +25,61 @@ def read_raw(spark: SparkSession, path: str, source: str | None = None) -> DataF
     raw = spark.read.schema(RAW).parquet(path)
     if source is not None:
         raw = raw.where(F.col("source") == known_source(source))
-    return raw.select("raw_id", "ingested_at", "source", "payload")
+    return raw.select("raw_id", "ingested_at", "run_id", "chunk", "source", "payload")
 
 
-def last_raw_id(spark: SparkSession, path: str) -> int:
+def stored_or_none(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """A table that may not have been written yet."""
     try:
-        return read_raw(spark, path).agg(F.max("raw_id")).first()[0] or 0
+        return read()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return 0
+            return None
         raise
 
 
+def last_raw_id(spark: SparkSession, path: str) -> int:
+    raw = stored_or_none(lambda: read_raw(spark, path))
+    return 0 if raw is None else raw.agg(F.max("raw_id")).first()[0] or 0
+
+
 def append_payloads(payloads: DataFrame, path: str, ingested_at: dt.datetime | None = None) -> int:
     """Append (source, payload) rows and return the id all new ids lie above.
 
-    Ids grow from append to append and are unique, with gaps: numbering them without gaps would
-    sort the batch in one task. One append at a time.
+    Rows of runs also bring ``run_id``, ``chunk``, ``ingested_at`` and ``place``, which grows in the
+    order of runs and chunks and becomes the id. Others are numbered as they come, with gaps. Ids grow
+    from append to append. One append at a time.
     """
     spark = payloads.sparkSession
     base = last_raw_id(spark, path)
-    now = ingested_at or dt.datetime.now(dt.UTC)
-    rows = payloads.select(
-        (F.lit(base + 1) + F.monotonically_increasing_id()).alias("raw_id"),
-        F.lit(now).cast("timestamp").alias("ingested_at"),
-        F.col("payload"),
-        F.when(F.col("source").isin(list(SOURCES)), F.col("source"))
-        .otherwise(F.raise_error(F.concat(F.lit("Unknown source "), F.col("source"))))
-        .alias("source"),
-    )
+    given = set(payloads.columns)
+    now = F.lit(ingested_at or dt.datetime.now(dt.UTC)).cast("timestamp")
+    place = F.col("place") if "place" in given else F.monotonically_increasing_id()
+    columns = {
+        "raw_id": F.lit(base + 1) + place,
+        "ingested_at": F.coalesce("ingested_at", now) if "ingested_at" in given else now,
+        "run_id": F.col("run_id") if "run_id" in given else F.lit(None),
+        "chunk": F.col("chunk") if "chunk" in given else F.lit(None),
+        "payload": F.col("payload"),
+        "source": F.when(F.col("source").isin(list(SOURCES)), F.col("source")).otherwise(
+            F.raise_error(F.concat(F.lit("Unknown source "), F.col("source")))
+        ),
+    }
+    rows = payloads.select([columns[f.name].cast(f.dataType).alias(f.name) for f in RAW])
     rows.write.mode("append").partitionBy("source").parquet(path)
     return base
 
 
+def read_runs(spark: SparkSession, raw_path: str) -> DataFrame | None:
+    """The log of landed runs beside a landing table; none before the first landing."""
+    return stored_or_none(lambda: spark.read.schema(RUNS).parquet(f"{raw_path}.runs"))
+
+
+def append_runs(runs: DataFrame, raw_path: str) -> None:
+    rows = runs.select([F.col(f.name).cast(f.dataType) for f in RUNS])
+    rows.write.mode("append").partitionBy("source").parquet(f"{raw_path}.runs")
+
+
 def insert_payload(
     spark: SparkSession,
     source: str,

@@ -1,32 +1,28 @@
-"""Intermediate tables in the folder shared by all executors."""
+"""Intermediate tables in a folder that all executors share."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; where none is named, in tests, one is made and set."""
+    """The folder named in ``spark.checkpoint.dir``; a local session without one uses its warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="jobtide-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder.rstrip("/")
+    if spark.sparkContext.master.startswith("local"):
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+    raise ValueError("name a work folder shared by all executors, or set spark.checkpoint.dir")
 
 
-def written(df: DataFrame, name: str, *partition_by: str, slot: str | None = None) -> DataFrame:
+def written(df: DataFrame, name: str, *partition_by: str, work: str | None = None) -> DataFrame:
     """The frame as a Parquet table: computed once, column-pruned when read, safe from lost executors.
 
-    A slot names a place of its own that the next writer replaces, so repeated builds do not pile up
-    copies; without one every call gets a new folder.
+    Every call writes a folder of its own below ``work``, so that two builds never share one.
     """
     spark = df.sparkSession
-    place = uuid.uuid5(uuid.NAMESPACE_URL, slot) if slot else uuid.uuid4()
-    path = f"{shared_folder(spark)}/{name}-{place.hex}"
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    path = f"{work or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(df.columns)

@@ -1,45 +1,22 @@
-"""Landing responses as they arrive, with the batch transforms."""
+"""Collecting response files as they arrive. Runs are consolidated by the batch landing alone."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from jobtide import fixed
-from jobtide.plans.responses import FEEDS, payloads
-from jobtide.schemas import RAW, RESPONSES
-
-BATCHED_RAW = T.StructType([*RAW.fields, T.StructField("batch", T.LongType())])
+from jobtide.schemas import RESPONSES
 
 
-def start_landing(
-    spark: SparkSession, responses_path: str, raw_path: str, checkpoint: str, once: bool = True
+def start_collecting(
+    spark: SparkSession, incoming: str, responses_path: str, checkpoint: str, once: bool = True
 ) -> StreamingQuery:
-    """Append payloads of newly landed response files; a run must land within one batch.
+    """Append newly arrived response files to the responses table, each exactly once.
 
-    Each batch owns a folder of the raw table and overwrites it, so a batch that is run again after
-    a failure leaves no second copy. A posting that comes back in a later batch is a later
-    ingestion of it, and staging keeps the latest.
+    A run may be spread over any number of batches: ``plans.build.land`` reads the table, takes the runs
+    it has not landed yet, and gives the same payloads as if they had come at once. Its ``settled``
+    argument leaves out runs that are still being collected.
     """
-
-    def land(batch: DataFrame, number: int) -> None:
-        packed = reduce(DataFrame.unionByName, [payloads(batch, FEEDS[name]) for name in fixed.SOURCES])
-        last = 0
-        if number > 0:
-            stored = batch.sparkSession.read.schema(BATCHED_RAW).parquet(raw_path)
-            last = stored.where(F.col("batch") < number).agg(F.max("raw_id")).first()[0] or 0
-        rows = packed.select(
-            (F.lit(last + 1) + F.monotonically_increasing_id()).alias("raw_id"),
-            F.current_timestamp().alias("ingested_at"),
-            "payload",
-            "source",
-        )
-        rows.write.mode("overwrite").partitionBy("source").parquet(f"{raw_path}/batch={number}")
-
-    stream = spark.readStream.schema(RESPONSES).parquet(responses_path)
-    writer = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    stream = spark.readStream.schema(RESPONSES).parquet(incoming)
+    writer = stream.writeStream.format("parquet").option("path", responses_path).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import sys
 from pathlib import Path
@@ -22,9 +23,14 @@ def spark():
     session.stop()
 
 
+START = dt.datetime(2026, 7, 1, 6, tzinfo=dt.UTC)
+
+
 def response(source, run, key, ordinal, body, status=200, error=None, country=None):
+    """A run named by a number is fetched so many hours after the start."""
     text = body if isinstance(body, str) or body is None else json.dumps(body, ensure_ascii=False)
-    return (source, run, str(key), ordinal, f"https://{source}.example/{key}", status, error, text, country)
+    fetched = START + dt.timedelta(hours=int(run)) if run.isdigit() else START
+    return (source, run, str(key), ordinal, f"https://{source}.example/{key}", status, error, text, country, fetched)
 
 
 def category_job(id, category="Data and Analytics", **more):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from jobtide import fixed
 from jobtide.operators.dedup import first_seen, latest_by_key
-from jobtide.operators.grains import Grain, approx_grain_stats, multi_grain_stats, value_bucket
+from jobtide.operators.grains import Grain, approx_grain_stats, multi_grain_stats, spread_counts, value_bucket
 from jobtide.operators.joins import dimension
 from jobtide.operators.labels import explode_labels
 from jobtide.plans.build import Build, full_run
@@ -34,7 +34,7 @@ def raw(spark):
         rows = []
         for i, payload in enumerate(payloads):
             text = payload if isinstance(payload, str) or payload is None else json.dumps(payload)
-            rows.append((start + i, DAY + dt.timedelta(days=i), text, source))
+            rows.append((start + i, DAY + dt.timedelta(days=i), str(start + i), 0, text, source))
         return spark.createDataFrame(rows, RAW)
 
     return build
@@ -58,8 +58,8 @@ def test_refreshing_equals_staging_everything(raw):
     first = [jobs(category_job(1, title="old"), category_job(2)), jobs(category_job(3))]
     later = [jobs(category_job(1, title="new"), category_job(None)), {"jobs": []}, jobs(category_job(4))]
     frame = raw("remotive", *first, *later)
-    stored = staging(frame.where("raw_id <= 2"), "remotive")
-    refreshed, whole = refreshed_staging(stored, frame, "remotive"), staging(frame, "remotive")
+    stored = staging(frame.where("raw_id <= 2"), "remotive", ordered=True)
+    refreshed, whole = refreshed_staging(stored, frame, "remotive"), staging(frame, "remotive", ordered=True)
     assert refreshed.count() == whole.count() == 5
     assert sorted(map(str, refreshed.collect())) == sorted(map(str, whole.collect()))
     assert refreshed_staging(stored.limit(0), frame, "remotive").count() == 5
@@ -268,16 +268,23 @@ def test_approximate_median_is_close(spark):
     assert abs(row["median_value"] - 5000) <= 2 and row["row_count"] == 10001
 
 
-def test_dimension_must_be_unique(spark):
-    rates = spark.createDataFrame([("gb", 1), ("gb", 2)], "country_code string, r int")
-    with pytest.raises(ValueError, match="unique"):
-        dimension(rates, "country_code")
+@pytest.mark.parametrize("rows", [[("gb", 1), ("gb", 2)], [("gb", 1), (None, 2)]])
+def test_dimension_must_be_unique_and_not_null(spark, rows):
+    rates = spark.createDataFrame(rows, "country_code string, r int")
+    with pytest.raises(Exception, match="must be unique"):
+        dimension(rates, "country_code").collect()
 
 
-def test_dimension_is_broadcast_only_when_small(spark):
-    dim = spark.range(50).withColumnRenamed("id", "k")
-    hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
-    assert hinted(dimension(dim, "k")) and not hinted(dimension(dim, "k", max_rows=10))
+def test_a_value_shared_by_many_keys_and_missing_values_stay_even(spark):
+    df = spark.range(0, 40_000, 1, 8).selectExpr("id % 20000 as fine", "cast(if(id % 2 = 0, 5, null) as decimal(18,4)) v")
+    grains = (Grain("all", ()), Grain("fine", ("fine",)))
+    v = F.col("v")
+    result = multi_grain_stats(df, grains, v, v, v)
+    assert result.where("grouping_level = 'all'").first()[2:4] == (40_000, Decimal(5))
+    spread = spread_counts(df, grains, v, v, v)[0]
+    assert spread.where("_g._level = 0").count() == 2
+    sizes = [r["count"] for r in spread.groupBy(F.pmod(F.hash("_g", "_b"), F.lit(8))).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / len(sizes)
 
 
 def test_explode_labels_of_repeated_rows(spark):
@@ -292,8 +299,8 @@ def test_explode_labels_of_repeated_rows(spark):
 def test_full_run_and_selection(spark, three_sources, tmp_path):
     raw_path, marts = str(tmp_path / "raw"), str(tmp_path / "marts")
     now = dt.datetime(2026, 7, 8, 6, tzinfo=dt.UTC)
-    summary = full_run(three_sources, raw_path, marts, now=now)
-    assert {name: info["job-count"] for name, info in summary["succeeded"].items()} == {"remotive": 2, "remoteok": 2, "adzuna": 2}
+    runs = full_run(three_sources, raw_path, marts, now=now, work=str(tmp_path / "work"))
+    assert {r["source"]: r["job_count"] for r in runs.collect()} == {"remotive": 2, "remoteok": 2, "adzuna": 2}
     build = Build(spark, raw_path, marts)
     assert build.marts().companies.count() == 3
     assert all(r.status == "passed" for r in build.check(now))
@@ -304,13 +311,26 @@ def test_full_run_and_selection(spark, three_sources, tmp_path):
         build.run(["nosuch"])
 
 
-def test_second_ingestion_replaces_and_does_not_repeat(spark, three_sources, tmp_path):
+def test_a_second_run_refreshes_stored_staging(spark, three_sources, tmp_path):
     raw_path, marts = str(tmp_path / "raw"), str(tmp_path / "marts")
-    for day in (8, 9):
-        full_run(three_sources, raw_path, marts, now=dt.datetime(2026, 7, day, tzinfo=dt.UTC))
+    day = dt.datetime(2026, 7, 8, tzinfo=dt.UTC)
+    full_run(three_sources, raw_path, marts, now=day)
+    again = three_sources.withColumns({"run_id": F.lit("2"), "fetched_at": F.col("fetched_at") + F.expr("interval 1 hour")})
+    full_run(three_sources.unionByName(again), raw_path, marts, now=day + dt.timedelta(days=1))
     build = Build(spark, raw_path, marts)
     assert build.table("int_jobs_normalized").count() == 6
     assert build.table("raw").count() == 6
+    staged = build.table("stg_remotive_jobs")
+    whole = staging(build.table("raw"), "remotive")
+    assert staged.columns == whole.columns
+    assert staged.exceptAll(whole).count() == whole.exceptAll(staged).count() == 0
+    assert spark.read.parquet(f"{marts}/_staging/remotive").select("upto").distinct().count() == 2
+
+
+@pytest.mark.parametrize("source", fixed.SOURCES)
+def test_a_payload_is_parsed_in_one_node(raw, source):
+    plan = staging(raw(source, jobs()), source)._jdf.queryExecution().executedPlan().toString()
+    assert sum("from_json" in line and "(payload" in line or "jobs" in line and ", payload#" in line for line in plan.splitlines()) == 1
 
 
 def test_fixed_labels_cover_both_structured_kinds():

@@ -6,6 +6,7 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
+from bindings import registry
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -15,14 +16,14 @@ def con():
     return oracle.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registry.SQL))
 def test_query_matches_sql(spark, con, name):
     difference = oracle.compare(spark, con, SF_DIR, entry.queries()[name], entry.oracle_sql()[name])
     assert difference is None, difference
 
 
-def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+def test_every_query_of_the_model_has_sql():
+    assert set(registry.QUERIES) == set(registry.SQL)
 
 
 def test_entry_gives_rows(spark):

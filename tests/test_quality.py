@@ -203,11 +203,12 @@ def test_checks_run_independently_and_the_report_lists_them(spark, frame):
     results = suites.run_checks(tables, NOW, checks)
     assert [r.status for r in results] == ["passed", "error", "failed"]
     report = suites.format_report(results)
-    assert "PASSED  good (suite mart_companies, 4/4 expectations)" in report
-    assert "ERROR   no_such_table (suite mart_companies)" in report
-    assert "FAILED  bad (suite mart_companies, 3/4 expectations)" in report
-    assert "        - expect_column_values_to_be_between on job_count: 1 unexpected value(s)" in report
-    assert report.endswith("Summary: 1 passed, 1 failed, 1 error(s)")
+    lines = [line.split() for line in report.splitlines()]
+    assert lines[1][:5] == ["good", "mart_companies", "passed", "4", "4"]
+    assert lines[2][:5] == ["no_such_table", "mart_companies", "error", "0", "0"] and len(lines[2]) > 5
+    assert lines[3][:5] == ["bad", "mart_companies", "failed", "3", "4"]
+    assert lines[3][5:] == "expect_column_values_to_be_between on job_count: 1 unexpected value(s)".split()
+    assert report.endswith("passed=1, failed=1, error=1")
     with pytest.raises(suites.QualityError, match="2 of 3"):
         suites.gate(results)
     suites.gate(results[:1])

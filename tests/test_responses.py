@@ -11,6 +11,7 @@ from conftest import category_job, paged_job, response, tag_job
 
 from jobtide.plans import build
 from jobtide.plans import responses as R
+from jobtide.plans.staging import staging
 from jobtide.sources.raw import read_raw
 
 CATEGORY, TAG = R.FEEDS["remotive"], R.FEEDS["remoteok"]
@@ -18,7 +19,7 @@ PAGED = replace(R.FEEDS["adzuna"], per_page=2)
 
 
 def payloads(frame, feed):
-    rows = R.payloads(frame, feed).orderBy("run_id", "pack").collect()
+    rows = R.payloads(frame, feed).orderBy("run_id", "chunk").collect()
     return [json.loads(row["payload"]) for row in rows]
 
 
@@ -137,43 +138,75 @@ def test_unknown_source_is_refused(responses):
         R.all_payloads(responses(page(1, [1])), ["nosuch"])
 
 
-def test_landing_goes_on_past_a_failed_source(three_sources, responses, tmp_path):
-    broken = three_sources.where("source <> 'adzuna'").unionByName(responses(page(1, [], status=500)))
-    summary = build.land(broken, str(tmp_path / "raw"))
-    assert set(summary["succeeded"]) == {"remotive", "remoteok"}
-    assert summary["succeeded"]["remotive"]["job-count"] == 2
-    assert summary["failed"]["adzuna"].startswith("All pages failed during the Adzuna extraction: page 1: ")
+def test_every_failed_request_of_a_failed_run_is_listed(responses):
+    frame = responses(*[page(n, [], status=500) for n in range(1, 41)])
+    [row] = R.run_summary(frame, ["adzuna"]).collect()
+    assert row["n_requests"] == 40 and row["error"].count("HTTP 500") == 40
+    assert row["error"].index("page 2:") < row["error"].index("page 10:") < row["error"].index("page 40:")
 
 
-def test_landing_raises_when_every_source_failed(responses, tmp_path):
-    with pytest.raises(build.RunError, match="All sources failed during the pipeline run: adzuna: All pages failed"):
+def test_a_key_that_fails_again_keeps_its_last_message(responses):
+    rows = [
+        response("remotive", "1", "devops", 0, None, status=500),
+        response("remotive", "1", "qa", 1, {"jobs": []}),
+        response("remotive", "1", "devops", 2, None, status=429),
+    ]
+    [payload] = payloads(responses(*rows), CATEGORY)
+    assert payload["failed-categories"] == {"devops": "Remotive API returned HTTP 429 for https://remotive.example/devops"}
+
+
+def rows_of(runs):
+    return {(r["source"], r["run_id"]): r for r in runs.collect()}
+
+
+def test_landing_reports_every_run(three_sources, responses, tmp_path):
+    more = responses(page(1, [], "2", status=500), page(1, [7], "3"), page(1, [], "4", status=401))
+    runs = rows_of(build.land(three_sources.unionByName(more), str(tmp_path / "raw")))
+    assert {k: r["status"] for k, r in runs.items() if k[0] == "adzuna"} == {
+        ("adzuna", "1"): "succeeded", ("adzuna", "2"): "failed", ("adzuna", "3"): "succeeded", ("adzuna", "4"): "failed",
+    }
+    assert runs["remotive", "1"]["job_count"] == 2 and runs["remotive", "1"]["payloads"] == 1
+    assert runs["adzuna", "4"]["error"].startswith("All pages failed during the Adzuna extraction: page 1: ")
+
+
+def test_landing_raises_when_every_run_failed(responses, tmp_path):
+    with pytest.raises(build.RunError, match="none of 1 run"):
         build.land(responses(page(1, [], status=500)), str(tmp_path / "raw"), ["adzuna"])
 
 
-def test_landing_records_a_failing_loader(three_sources):
-    def loader(landed, source, raw_path, ingested_at):
-        if source == "remotive":
-            raise ConnectionError("no room for remotive")
-        return {"row-id": 1, "job-count": 2}
+@pytest.mark.parametrize("count", [2, 3, 5, 8, 12])
+def test_the_newest_of_many_runs_landed_at_once_wins(spark, responses, tmp_path, count):
+    path = str(tmp_path / "raw")
+    frame = responses(
+        *[response("remotive", str(n), "data", 0, {"jobs": [category_job(1, title=f"from run {n}")]}) for n in range(1, count + 1)]
+    )
+    build.land(frame.repartition(5), path)
+    raw = read_raw(spark, path, "remotive")
+    assert [r["run_id"] for r in raw.orderBy("raw_id").collect()] == [str(n) for n in range(1, count + 1)]
+    assert [r["title"] for r in staging(raw, "remotive").collect()] == [f"from run {count}"]
 
-    summary = build.land(three_sources, "unused", loader=loader)
-    assert list(summary["succeeded"]) == ["remoteok", "adzuna"]
-    assert summary["failed"] == {"remotive": "no room for remotive"}
+
+def test_runs_are_landed_once_and_a_late_older_run_does_not_win(spark, responses, tmp_path):
+    path = str(tmp_path / "raw")
+    runs = {n: response("remotive", str(n), "data", 0, {"jobs": [category_job(1, title=f"from run {n}")]}) for n in (1, 2, 3)}
+    build.land(responses(runs[1], runs[3]), path)
+    assert set(rows_of(build.land(responses(*runs.values()), path))) == {("remotive", "2")}
+    assert not build.land(responses(*runs.values()), path).collect()
+    assert read_raw(spark, path).count() == read_raw(spark, path).select("raw_id").distinct().count() == 3
+    assert [r["title"] for r in staging(read_raw(spark, path, "remotive"), "remotive").collect()] == ["from run 3"]
 
 
-def test_row_ids_grow_from_run_to_run(spark, three_sources, tmp_path):
+def test_chunks_of_a_large_run_keep_their_identity(spark, responses, tmp_path):
     path = str(tmp_path / "raw")
-    first, second = build.land(three_sources, path), build.land(three_sources, path)
-    for source in ("remotive", "remoteok", "adzuna"):
-        assert second["succeeded"][source]["row-id"] > first["succeeded"][source]["row-id"]
-    assert read_raw(spark, path).count() == 6
-    assert read_raw(spark, path).select("raw_id").distinct().count() == 6
+    build.land(responses(*[page(n, range(n * 100, n * 100 + 50)) for n in range(1, 41)]), path)
+    rows = read_raw(spark, path).orderBy("raw_id").collect()
+    assert [(r["run_id"], r["chunk"]) for r in rows] == [("1", 0), ("1", 1), ("1", 2)]
 
 
 def merged(rows, feed):
     """Plain-Python merge of one run's responses: kept jobs, good requests, failed requests."""
     jobs, seen, good, bad = [], set(), [], []
-    for _, _, key, _, _, status, error, body, _ in rows:
+    for _, _, key, _, _, status, error, body, _, _ in rows:
         try:
             content = json.loads(body) if status == 200 and error is None else None
         except ValueError:
@@ -233,7 +266,7 @@ def test_random_runs_match_a_plain_merge(responses, source):
         runs[str(run)] = rows
     frame = responses(*[row for rows in runs.values() for row in rows]).repartition(7)
     got: dict = {}
-    for row in R.payloads(frame, feed).orderBy("run_id", "pack").collect():
+    for row in R.payloads(frame, feed).orderBy("run_id", "chunk").collect():
         payload = json.loads(row["payload"])
         assert payload["job-count"] == len(payload["jobs"]) == row["job_count"]
         jobs, good, bad = got.setdefault(row["run_id"], ([], [], []))
