@@ -29,7 +29,8 @@ from jobtide.llm.common import Bounded, present
 WINDOW_DOUBLINGS = 5
 #: A cut on average every 2 to this power bytes.
 CUT_BITS = 8
-CHUNKS_KEPT = 100_000
+#: Memos of a worker, which stays alive beside those of other stages.
+CHUNKS_KEPT, UNITS_KEPT = 20_000, 300_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -88,8 +89,8 @@ class ChunkCodec:
         table |= {i: content.encode() for content, i in self.added.items()}
         self.table = [table.get(i, b"") for i in range(max(table) + 1)]
         self.fast = _byte_pairs(table, bpe.Merges(spec)) if spec["model"]["type"] == "BPE" else None
-        self.first = Bounded(self._ids, bpe.UNITS_KEPT // 10)
-        self.later = Bounded(lambda unit: self._ids(" " + unit), bpe.UNITS_KEPT)
+        self.first = Bounded(self._ids, UNITS_KEPT // 10)
+        self.later = Bounded(lambda unit: self._ids(" " + unit), UNITS_KEPT)
         self.chunk = Bounded(self._chunk, CHUNKS_KEPT)
         self.encoded = self.seen = 0
 

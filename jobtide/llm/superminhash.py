@@ -19,7 +19,7 @@ from jobtide.llm.common import Bounded
 
 PLACES = 127
 BANDS, ROWS = 25, 5
-WORDS_KEPT = 500_000
+WORDS_KEPT = 200_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 _word = Bounded(lambda word: xxhash.xxh3_64_intdigest(word), WORDS_KEPT)
