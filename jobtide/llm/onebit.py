@@ -1,16 +1,18 @@
 """Nearest neighbours by inner product, from randomly rotated one-bit codes.
 
-A vector is turned by a random rotation and kept as the signs of its components, packed to bits, with two
-numbers: the factor that makes the inner product of its signs with a turned query an unbiased estimate
-of the true one, and how far that estimate may be off. A vector is compared exactly only if its estimate
-plus that bound reaches the query's twentieth best so far. All vectors are scanned, block by block;
-blocks are dealt by id hash, so that copies of one vector do not meet in one block.
+A vector is turned by random rotations, as many as give 256 signs, and kept as these signs, packed to
+bits, with two numbers: the factor that makes the inner product of its signs with a turned query an
+unbiased estimate of the true one, and how far that estimate may be off. In a block, the vectors of the
+highest estimates are compared exactly first, which gives a score that the query's twentieth best
+reaches at least; then those whose estimate plus bound reaches that score. All vectors are scanned,
+block by block; blocks are dealt by id hash, so that copies of one vector do not meet in one block.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,27 +25,32 @@ from jobtide.llm.common import stored
 DEVIATIONS = 3.5
 SEED = 20_240_601
 BLOCK_VECTORS, LEAST_BLOCK, QUERY_BLOCK = 32_768, 1_024, 8_192
-#: The first vectors of a block are all compared exactly, to have a twentieth best to compare with.
-WARM = 512
-STEP = 2_048
+#: Signs kept of a vector, at least: the error falls with the root of their number.
+SIGNS = 256
+#: Estimates that are held at once.
 PAIRS_AT_ONCE = 1 << 20
 
 
+@lru_cache(maxsize=8)
 def rotation(dim: int) -> np.ndarray:
-    """The same random orthogonal matrix wherever it is needed."""
-    q, r = np.linalg.qr(np.random.default_rng(SEED).standard_normal((dim, dim)))
-    return q * np.sign(np.diag(r))
+    """Random orthogonal matrices side by side, the same wherever they are needed; lengths are kept on the whole."""
+    random, times = np.random.default_rng(SEED), -(-SIGNS // dim)
+    turns = []
+    for _ in range(times):
+        q, r = np.linalg.qr(random.standard_normal((dim, dim)))
+        turns.append(q * np.sign(np.diag(r)))
+    return np.hstack(turns) / math.sqrt(times)
 
 
 def codes(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Packed signs, correction factor and error scale of each row; the error is that for a unit query."""
-    dim = vectors.shape[1]
-    turned = vectors @ rotation(dim)
+    turned = vectors @ rotation(vectors.shape[1])
+    signs = turned.shape[1]
     length = np.linalg.norm(vectors, axis=1)
-    along = np.abs(turned).sum(axis=1) / (length * math.sqrt(dim))  # cosine of the vector and its signs
+    along = np.abs(turned).sum(axis=1) / (length * math.sqrt(signs))  # cosine of the vector and its signs
     along = np.clip(along, 1e-12, 1.0)
-    off = length * np.sqrt(1 - along**2) / along / math.sqrt(max(dim - 1, 1))
-    return np.packbits(turned > 0, axis=1), length / (along * math.sqrt(dim)), off
+    off = length * np.sqrt(1 - along**2) / along / math.sqrt(max(signs - 1, 1))
+    return np.packbits(turned > 0, axis=1), length / (along * math.sqrt(signs)), off
 
 
 def usable(vector: Column) -> Column:
@@ -98,37 +105,33 @@ def best_of(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> n
 
 def scan(ids, packed, factor, off, vectors, query_ids, queries, k: int):
     """Each query's k best of these vectors, none of them with the query's id: query place, id, score."""
-    dim = vectors.shape[1]
-    turned = queries @ rotation(dim)
-    lengths = np.linalg.norm(queries, axis=1)
-    signs = np.unpackbits(packed, axis=1, count=dim).astype(np.float32) * 2 - 1
+    turned = (queries @ rotation(vectors.shape[1])).astype(np.float32)
+    signs = np.unpackbits(packed, axis=1, count=turned.shape[1]).astype(np.float32).T * 2 - 1
+    signs *= factor.astype(np.float32)
+    reach = (DEVIATIONS * np.linalg.norm(queries, axis=1)).astype(np.float32)
+    off = off.astype(np.float32)
     columns, of_query = list(np.ascontiguousarray(vectors.T)), list(np.ascontiguousarray(queries.T))
-    top_query, top_id, top_score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    bar = np.full(len(queries), -np.inf)
-    edges = [0, *range(min(WARM, len(ids)), len(ids), STEP), len(ids)]
-    turned32 = turned.astype(np.float32)
-    for begin, end in zip(edges, edges[1:]):
-        if begin == end:
-            continue
-        reach = (turned32 @ signs[begin:end].T) * factor[begin:end].astype(np.float32)
-        reach += (DEVIATIONS * lengths[:, None] * off[begin:end]).astype(np.float32)
-        chosen = reach >= (bar - 1e-5 * np.abs(bar))[:, None] if begin else np.ones_like(reach, dtype=bool)
-        chosen &= ids[begin:end] != query_ids[:, None]
-        rows = max(1, PAIRS_AT_ONCE // (end - begin))
-        for first in range(0, len(queries), rows):
-            q, c = np.nonzero(chosen[first : first + rows])
-            q, c = q + first, c + begin
-            found = exact(of_query, columns, q, c)
-            good = found >= bar[q]
-            q, c, found = q[good], c[good], found[good]
-            top_query, top_id, top_score = (np.concatenate(z) for z in ((top_query, q), (top_id, ids[c]), (top_score, found)))
-        keep = best_of(top_query, top_id, top_score, k)
-        top_query, top_id, top_score = top_query[keep], top_id[keep], top_score[keep]
-        count = np.bincount(top_query, minlength=len(queries))
-        last = np.cumsum(count) - 1
-        full = count >= k
-        bar[full] = top_score[last[full]]
-    return top_query, top_id, top_score
+    kept = []
+    for first in range(0, len(queries), max(1, PAIRS_AT_ONCE // len(ids))):
+        part = slice(first, first + max(1, PAIRS_AT_ONCE // len(ids)))
+        estimate = turned[part] @ signs
+        estimate[ids == query_ids[part, None]] = -np.inf
+        rows = np.arange(len(estimate))
+        bar = np.full(len(estimate), -np.inf)
+        if len(ids) > 2 * k:
+            likely = np.argpartition(estimate, len(ids) - 2 * k, axis=1)[:, -2 * k :]
+            scores = exact(of_query, columns, np.repeat(rows + first, 2 * k), likely.ravel()).reshape(likely.shape)
+            scores[estimate[rows[:, None], likely] == -np.inf] = -np.inf
+            bar = np.partition(scores, k, axis=1)[:, k]  # the k-th best of 2k
+        estimate += reach[part, None] * off
+        bar32 = np.nextafter((bar - 1e-5 * np.abs(bar)).astype(np.float32), np.float32(-np.inf))
+        q, c = np.nonzero((estimate >= bar32[:, None]) & (estimate > -np.inf))
+        found = exact(of_query, columns, q + first, c)
+        good = found >= bar[q]
+        kept.append((q[good] + first, ids[c[good]], found[good]))
+    query, of, score = (np.concatenate(z) for z in zip(*kept))
+    best = best_of(query, of, score, k)
+    return query[best], of[best], score[best]
 
 
 def search(indexed: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
