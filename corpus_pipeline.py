@@ -20,10 +20,15 @@ from jobtide.session import pin
 ORACLE_SQL = None
 
 
+def whole(docs: DataFrame, *columns: str) -> DataFrame:
+    """The columns an operator reads, and the whole row beside them, safe from columns that it adds."""
+    return docs.select("doc_id", *columns, F.struct("*").alias("document"))
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the n-gram ratio keep. Null and empty texts go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.judge(docs, labels).where("kept").select(*docs.columns)
+    return quality.judge(whole(docs, "text"), labels).where("kept").select("document.*")
 
 
 def without_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +47,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in the order of the mixture: from file to file, and in each from row to row."""
-    return mixing.in_order(mixing.mix(docs)).select(*docs.columns)
+    return mixing.in_order(mixing.mix(whole(docs, "source"))).select("document.*")
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
