@@ -298,13 +298,13 @@ def document_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = F.to_json(F.struct(F.col("doc_id").alias("id"), F.col("text").alias("title"), "source", "lang"))
     docs = table(spark, sf_dir, "documents").select(
         F.lit("remotive").alias("run_id"),
-        F.expr("doc_id div 64").alias("pack"),
+        F.expr("doc_id div 64").alias("chunk"),
         F.lit(0).alias("request_ordinal"),
         F.col("doc_id").alias("position"),
         job.alias("job"),
     )
     raw = pack_jobs(docs).select(
-        F.col("pack").alias("raw_id"),
+        F.col("chunk").alias("raw_id"),
         F.lit(None).cast("timestamp").alias("ingested_at"),
         F.col("run_id").alias("source"),
         payload_text(F.col("jobs"), F.lit('{"fetched-categories":[]}')).alias("payload"),

@@ -336,9 +336,20 @@ MODELS = " UNION ALL ".join(
 )
 
 
-@query("dq_report_models", using("jobs_over_time", select=f"{SHORT} ({MODELS})"))
+SEEDS = expected(
+    "(SELECT *, DATE '2026-07-15' AS captured_at FROM rates)",
+    ("not_null", "country_code", "country_code IS NULL"),
+    ("unique", "country_code", repeated("rates", "country_code")),
+    ("not_null", "currency_code", "currency_code IS NULL"),
+    ("not_null", "usd_rate", "usd_rate IS NULL"),
+    ("not_null", "captured_at", "captured_at IS NULL"),
+    check_name="exchange_rates",
+)
+
+
+@query("dq_report_models", using("jobs_over_time", select=f"{SHORT} ({SEEDS} UNION ALL {MODELS})"))
 def dq_report_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _report(spark, sf_dir, [c for c in suites.MODEL_CHECKS if c.layer != "seeds"])
+    return _report(spark, sf_dir, suites.MODEL_CHECKS)
 
 
 @query(
