@@ -2,12 +2,16 @@
 
 Words and word pairs are hashed to a fixed number of buckets. Two multinomials over the buckets are
 compared: that of trusted documents and that of the whole corpus, both smoothed by the same share of
-prior mass. A document's score is the mean log ratio of its n-grams; below a fixed threshold it goes.
-Ratios are whole numbers of a small unit, so that sums do not depend on their order.
+prior mass. A document's score is the mean log ratio of its n-grams; below a threshold it goes. The
+threshold is a fixed one unless trusted documents score lower under the counts of the others: of a small
+sample, the languages and topics of the rest may not have their due share. Ratios are whole numbers of a
+small unit, so that sums do not depend on their order.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,12 +21,16 @@ BUCKETS = 1 << 17
 #: Target n-grams that each bucket is given in advance; the corpus gets the same share.
 PRIOR = 5.0
 UNIT = 1 << 20
-#: Mean log ratio per n-gram below which a document is unlike the trusted ones.
-THRESHOLD = -0.15
+#: Mean log ratio per n-gram below which a document is unlike the trusted ones. It is lowered to what all but
+#: one in a hundred trusted documents reach when their half is left out of the target, less a margin, but no
+#: further than the floor.
+THRESHOLD, FLOOR = -0.15, -0.6
+LEAST_SHARE, MARGIN = 0.01, 0.05
 #: Trusted documents that the target is fitted on, those with the smallest id hashes.
 MOST_TRUSTED = 20_000
 #: Fixed: characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
+LEAST_WORDS = 50
 PLACE_BITS = 30
 
 
@@ -40,31 +48,56 @@ def _buckets() -> Column:
 
 
 def trusted_ids(labels: DataFrame, most: int = MOST_TRUSTED) -> DataFrame:
-    """Ids labelled good and not toxic, at most ``most``: the bounded sample that the target is fitted on."""
+    """Ids labelled good and not toxic, at most ``most``, in two halves: the bounded sample for the target."""
     ids = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
-    return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    return chosen.select(F.col("doc_id").alias("of_id"), F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).alias("half"))
+
+
+def _constant(numbers: list[int]) -> Column:
+    """One number per bucket, as a constant of the plan: a subquery is not allowed inside a sum over an array."""
+    return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<bigint>")
 
 
-def bucket_ratios(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row: ``ratios``, by bucket, in units; all 0 without documents or without trusted ones.
+def _score(ratios: Column) -> Column:
+    """The mean ratio of the row's n-grams; 0 for a row without any."""
+    total = F.aggregate(_buckets(), F.lit(0).cast("long"), lambda a, b: a + F.coalesce(F.get(ratios, b), F.lit(0)))
+    return total / (F.greatest(2 * F.size("hashes").cast("long") - 1, F.lit(1).cast("long")) * UNIT)
 
-    Counts cover all documents, in one pass; the target's are those of the trusted ids among them.
+
+class Verdicts:
+    """Ratios by bucket, in units, and the threshold, fitted on a corpus and its labels.
+
+    Counts cover all documents, in one pass. Without documents or without trusted ones all ratios are 0.
     """
-    trusted = F.broadcast(trusted_ids(labels).select(F.col("doc_id").alias("of_id"), F.lit(1).alias("good")))
-    hashed = docs.select(F.col(id_column).alias("id"), _hashes(present(text_column)).alias("hashes"))
-    marked = hashed.join(trusted, F.col("id") == F.col("of_id"), "left")
-    grams = marked.select("good", F.explode(_buckets()).alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("good").alias("target"))
-    counts = stored(counts, "gram-counts")  # a row per bucket
-    sums = counts.agg(F.sum("raw").alias("all_raw"), F.sum("target").alias("all_target"))
-    expected = F.col("raw") * F.col("all_target") / F.col("all_raw")
-    ratio = F.log((F.col("target") + PRIOR) / (expected + PRIOR))
-    each = counts.join(F.broadcast(sums), F.lit(True)).where("all_target > 0")
-    each = each.select("bucket", F.round(ratio * UNIT).cast("long").alias("ratio"))
-    every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-    filled = every.join(F.broadcast(each), "bucket", "left").select("bucket", F.coalesce("ratio", F.lit(0)).alias("ratio"))
-    listed = F.array_sort(F.collect_list(F.struct("bucket", "ratio")))
-    return stored(filled.agg(F.transform(listed, lambda r: r["ratio"]).alias("ratios")), "gram-ratios")
+
+    def __init__(self, docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text"):
+        trusted = stored(trusted_ids(labels).coalesce(1), "trusted")  # of bounded size
+        hashed = docs.select(F.col(id_column).alias("id"), present(text_column).alias("text"))
+        marked = hashed.join(F.broadcast(trusted), F.col("id") == F.col("of_id"), "left").select("half", _hashes(F.col("text")).alias("hashes"))
+        grams = marked.select("half", F.explode(_buckets()).alias("bucket"))
+        targets = [F.count_if(F.col("half") == half).alias(f"half_{half}") for half in (0, 1)]
+        counts = stored(grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), *targets), "gram-counts")
+        rows = counts.collect()  # a row per bucket
+        self.ratios = self._ratios(rows, lambda r: r["half_0"] + r["half_1"])
+        self.threshold = THRESHOLD
+        if any(self.ratios):
+            others = [_constant(self._ratios(rows, lambda r, half=half: r[f"half_{half}"])) for half in (1, 0)]
+            known = hashed.join(F.broadcast(trusted), F.col("id") == F.col("of_id")).select("half", _hashes(F.col("text")).alias("hashes"))
+            long = known.where(F.size("hashes") >= LEAST_WORDS)
+            scored = long.select(F.when(F.col("half") == 0, _score(others[0])).otherwise(_score(others[1])).alias("score"))
+            least = scored.agg(F.percentile("score", LEAST_SHARE)).first()[0]
+            if least is not None:
+                self.threshold = max(FLOOR, min(THRESHOLD, least - MARGIN))
+
+    @staticmethod
+    def _ratios(rows: list, target) -> list[int]:
+        ratios = [0] * BUCKETS
+        all_raw, all_target = sum(r["raw"] for r in rows), sum(map(target, rows))
+        for r in rows if all_target else []:
+            expected = r["raw"] * all_target / all_raw
+            ratios[r["bucket"]] = round(math.log((target(r) + PRIOR) / (expected + PRIOR)) * UNIT)
+        return ratios
 
 
 def _near(array: str, i: Column, of, value: Column) -> Column:
@@ -118,27 +151,21 @@ def with_rules(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
 RULES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
 
 
-def judge(
-    docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = THRESHOLD
-) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Every row with its counts, ``base_failed``, ``score`` and ``kept``.
 
     A null or empty text has no words: it fails the base rules, and its score is 0. Without documents or
     without trusted ones all ratios are 0 and the base rules alone decide. Repeated rows and null ids
     are judged by their own text; columns named as those added here are replaced by them.
     """
-    ratios = bucket_ratios(docs, labels, id_column, text_column)
+    fitted = Verdicts(docs, labels, id_column, text_column)
     ruled = with_rules(docs.drop(*RULES), id_column, text_column)
-    # One number per bucket, as a constant of the plan: a subquery is not allowed inside the sum below.
-    table = F.split(F.lit(",".join(map(str, ratios.first()["ratios"]))), ",").cast("array<bigint>")
-    total = F.aggregate(_buckets(), F.lit(0).cast("long"), lambda a, b: a + F.coalesce(F.get(table, b), F.lit(0)))
-    grams = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    scored = ruled.select("*", failed.alias("base_failed"), (total / (grams * UNIT)).alias("score"))
+    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    scored = ruled.select("*", failed.alias("base_failed"), _score(_constant(fitted.ratios)).alias("score"))
     # Always true, but not a constant to the optimiser: a filter on the verdict then stays above the array
     # functions. Pushed below them it would repeat them once for every use of each, over and over.
     stays = F.monotonically_increasing_id() >= 0
     return scored.select(
         "row.*", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score",
-        (~F.col("base_failed") & (F.col("score") >= threshold) & stays).alias("kept"),
+        (~F.col("base_failed") & (F.col("score") >= fitted.threshold) & stays).alias("kept"),
     )
