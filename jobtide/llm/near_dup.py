@@ -23,7 +23,7 @@ from jobtide.llm.components import Union, components
 from jobtide.llm.superminhash import BANDS, bands, shared, shingles, signatures
 
 #: Members of a bucket that are compared with as many others in one task.
-BLOCK = 512
+BLOCK = 256
 SHINGLES_AT_ONCE = 400_000
 
 
