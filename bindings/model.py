@@ -119,6 +119,7 @@ def resp_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit('{"jobs":['), "props", F.lit("]}")))
         .alias("body"),
         F.lit(None).cast("string").alias("country"),
+        F.col("ts").cast("timestamp").alias("fetched_at"),
     )
     rows = responses.outcomes(landed, landing.BOUND_FEEDS["remotive"])
     return plain(rows.select("request_key", "ok", "message", "n_elements"))
