@@ -26,7 +26,7 @@ from jobtide.llm.common import stored
 BLOCK_ROWS = 32
 CYCLE = 1024
 #: Documents that are numbered in one group; a source has as many groups as it needs.
-GROUP_ROWS = 8192
+GROUP_ROWS = 2048
 
 
 @lru_cache(maxsize=4096)
