@@ -73,7 +73,7 @@ def bands(signature: np.ndarray) -> np.ndarray:
         h = np.broadcast_to(mixed(np.arange(1, BANDS + 1, dtype=np.uint64) * _STEP), (len(signature), BANDS))
         for i in range(ROWS):
             h = mixed(h * _STEP + signature[:, i : BANDS * ROWS : ROWS])
-    return h.astype(np.int64, copy=False) if h.dtype == np.int64 else h.view(np.int64)
+    return h.view(np.int64)
 
 
 def shared(a: np.ndarray, b: np.ndarray) -> int:
