@@ -26,8 +26,9 @@ UNIT = 1 << 20
 #: further than the floor.
 THRESHOLD, FLOOR = -0.15, -0.6
 LEAST_SHARE, MARGIN = 0.01, 0.05
-#: Trusted documents that the target is fitted on, those with the smallest id hashes.
-MOST_TRUSTED = 20_000
+#: Trusted documents that the target is fitted on, those with the smallest id hashes, and of these the first ones
+#: that the threshold is read from.
+MOST_TRUSTED, MOST_LEFT_OUT = 20_000, 4_000
 #: Fixed: characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
 LEAST_WORDS = 50
@@ -44,7 +45,7 @@ def _buckets() -> Column:
         F.when(F.size("hashes") > 1, F.sequence(F.lit(0), F.size("hashes") - 2)).otherwise(F.array().cast("array<int>")),
         lambda i: F.xxhash64(F.get("hashes", i), F.get("hashes", i + 1)),
     )
-    return F.transform(F.concat("hashes", pairs), lambda h: F.pmod(h, F.lit(BUCKETS)).cast("int"))
+    return F.transform(F.concat("hashes", pairs), lambda h: h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
 
 
 def trusted_ids(labels: DataFrame, most: int = MOST_TRUSTED) -> DataFrame:
@@ -61,7 +62,7 @@ def _constant(numbers: list[int]) -> Column:
 
 def _score(ratios: Column) -> Column:
     """The mean ratio of the row's n-grams; 0 for a row without any."""
-    total = F.aggregate(_buckets(), F.lit(0).cast("long"), lambda a, b: a + F.coalesce(F.get(ratios, b), F.lit(0)))
+    total = F.aggregate(_buckets(), F.lit(0).cast("long"), lambda a, b: a + F.get(ratios, b))
     return total / (F.greatest(2 * F.size("hashes").cast("long") - 1, F.lit(1).cast("long")) * UNIT)
 
 
@@ -83,7 +84,8 @@ class Verdicts:
         self.threshold = THRESHOLD
         if any(self.ratios):
             others = [_constant(self._ratios(rows, lambda r, half=half: r[f"half_{half}"])) for half in (1, 0)]
-            known = hashed.join(F.broadcast(trusted), F.col("id") == F.col("of_id")).select("half", _hashes(F.col("text")).alias("hashes"))
+            first = trusted.orderBy(F.xxhash64("of_id"), "of_id").limit(MOST_LEFT_OUT)
+            known = hashed.join(F.broadcast(first), F.col("id") == F.col("of_id")).select("half", _hashes(F.col("text")).alias("hashes"))
             long = known.where(F.size("hashes") >= LEAST_WORDS)
             scored = long.select(F.when(F.col("half") == 0, _score(others[0])).otherwise(_score(others[1])).alias("score"))
             least = scored.agg(F.percentile("score", LEAST_SHARE)).first()[0]
@@ -130,7 +132,9 @@ def with_rules(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     starts = F.when(F.size("hashes") > 2, F.sequence(F.lit(0), F.size("hashes") - 3)).otherwise(F.array().cast("array<int>"))
     low = F.sort_array(F.transform(starts, lambda i: F.shiftleft(window(i), PLACE_BITS).bitwiseOR(i.cast("long"))))
     out = out.select("*", F.size("hashes").cast("long").alias("n_words"), low.alias("low"))
-    candidates = F.filter("low", lambda x, i: _near("low", i, lambda y: F.shiftright(y, PLACE_BITS), F.shiftright(x, PLACE_BITS)))
+    nexts = F.when(F.size("low") > 1, F.sequence(F.lit(0), F.size("low") - 2)).otherwise(F.array().cast("array<int>"))
+    alike = F.filter(nexts, lambda i: F.shiftright(F.get("low", i).bitwiseXOR(F.get("low", i + 1)), PLACE_BITS) == 0)
+    candidates = F.array_distinct(F.flatten(F.transform(alike, lambda i: F.array(F.get("low", i), F.get("low", i + 1)))))
     places = F.transform(candidates, lambda x: x.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int"))
     whole = F.sort_array(F.transform(places, lambda i: F.struct(window(i).alias("h"), i.alias("i"))))
     out = out.select("*", whole.alias("whole")).drop("low")
