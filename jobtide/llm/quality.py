@@ -4,8 +4,8 @@ Words and word pairs are hashed to a fixed number of buckets. Two multinomials o
 compared: that of trusted documents and that of the whole corpus, both smoothed by the same share of
 prior mass. A document's score is the mean log ratio of its n-grams; below a threshold it goes. The
 threshold is a fixed one unless trusted documents score lower under the counts of the others: of a small
-sample, the languages and topics of the rest may not have their due share. Ratios are whole numbers of a
-small unit, so that sums do not depend on their order.
+sample, the languages and topics of the rest may not have their due share. All trusted documents count
+for the threshold. Ratios are whole numbers of a small unit, so that sums do not depend on their order.
 """
 
 from __future__ import annotations
@@ -26,9 +26,8 @@ UNIT = 1 << 20
 #: further than the floor.
 THRESHOLD, FLOOR = -0.15, -0.6
 LEAST_SHARE, MARGIN = 0.01, 0.05
-#: Trusted documents that the target is fitted on, those with the smallest id hashes, and of these the first ones
-#: that the threshold is read from.
-MOST_TRUSTED, MOST_LEFT_OUT = 20_000, 4_000
+#: Trusted documents that the target is fitted on, those with the smallest id hashes.
+MOST_TRUSTED = 20_000
 #: Fixed: characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
 LEAST_WORDS = 50
@@ -48,11 +47,19 @@ def _buckets() -> Column:
     return F.transform(F.concat("hashes", pairs), lambda h: h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
 
 
+def _half(of_id: Column) -> Column:
+    return F.pmod(F.xxhash64(of_id, F.lit(1)), F.lit(2))
+
+
+def all_trusted(labels: DataFrame) -> DataFrame:
+    """Ids labelled good and not toxic."""
+    return labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
+
+
 def trusted_ids(labels: DataFrame, most: int = MOST_TRUSTED) -> DataFrame:
-    """Ids labelled good and not toxic, at most ``most``, in two halves: the bounded sample for the target."""
-    ids = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
-    chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return chosen.select(F.col("doc_id").alias("of_id"), F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).alias("half"))
+    """Trusted ids, at most ``most``, in two halves: the bounded sample for the target."""
+    chosen = all_trusted(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    return chosen.select(F.col("doc_id").alias("of_id"), _half(F.col("doc_id")).alias("half"))
 
 
 def _constant(numbers: list[int]) -> Column:
@@ -66,6 +73,34 @@ def _score(ratios: Column) -> Column:
     return total / (F.greatest(2 * F.size("hashes").cast("long") - 1, F.lit(1).cast("long")) * UNIT)
 
 
+def _percentile(scores: DataFrame, share: float) -> float | None:
+    """The exact percentile of column ``score``, between ranks in proportion; None without rows.
+
+    Scores are counted by narrow bins; only the distinct scores of the bins that hold the ranks are sorted.
+    """
+    bins = scores.groupBy(F.floor(F.col("score") * 1000).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counts = sorted((r["bin"], r["n"]) for r in bins.collect())
+    if not counts:
+        return None
+    place = share * (sum(n for _, n in counts) - 1)
+    ranks, before, wanted = (math.floor(place), math.ceil(place)), 0, {}
+    for at, n in counts:
+        if any(before <= rank < before + n for rank in ranks):
+            wanted[at] = before
+        before += n
+    held = scores.where(F.floor(F.col("score") * 1000).isin(*wanted)).groupBy("score").agg(F.count(F.lit(1)).alias("n"))
+    values, at = [], min(wanted.values())
+    found = sorted((r["score"], r["n"]) for r in held.collect())
+    for rank in ranks:
+        upto = at
+        for value, n in found:
+            upto += n
+            if rank < upto:
+                values.append(value)
+                break
+    return values[0] + (values[1] - values[0]) * (place - ranks[0])
+
+
 class Verdicts:
     """Ratios by bucket, in units, and the threshold, fitted on a corpus and its labels.
 
@@ -84,11 +119,13 @@ class Verdicts:
         self.threshold = THRESHOLD
         if any(self.ratios):
             others = [_constant(self._ratios(rows, lambda r, half=half: r[f"half_{half}"])) for half in (1, 0)]
-            first = trusted.orderBy(F.xxhash64("of_id"), "of_id").limit(MOST_LEFT_OUT)
-            known = hashed.join(F.broadcast(first), F.col("id") == F.col("of_id")).select("half", _hashes(F.col("text")).alias("hashes"))
+            # A number a document is made before the join, so that no text is shuffled however many ids are trusted.
+            half = _half(F.col("id").cast(labels.schema["doc_id"].dataType))  # as in the target, whose ids are those of the labels
+            known = hashed.where("id is not null").select("id", half.alias("half"), _hashes(F.col("text")).alias("hashes"))
             long = known.where(F.size("hashes") >= LEAST_WORDS)
-            scored = long.select(F.when(F.col("half") == 0, _score(others[0])).otherwise(_score(others[1])).alias("score"))
-            least = scored.agg(F.percentile("score", LEAST_SHARE)).first()[0]
+            scored = long.select("id", F.when(F.col("half") == 0, _score(others[0])).otherwise(_score(others[1])).alias("score"))
+            left_out = scored.join(all_trusted(labels).withColumnRenamed("doc_id", "of_id"), F.col("id") == F.col("of_id")).select("score")
+            least = _percentile(stored(left_out, "left-out"), LEAST_SHARE)
             if least is not None:
                 self.threshold = max(FLOOR, min(THRESHOLD, least - MARGIN))
 

@@ -214,6 +214,26 @@ def test_the_threshold_follows_trusted_documents_left_out(spark):
     assert kept == set(range(400))
 
 
+def test_the_threshold_covers_all_trusted_documents(spark):
+    """The documents after the first 4,000 by id hash are of a language that the corpus has more of than the trusted."""
+    rng = random.Random(7)
+    ids = [r[0] for r in spark.range(4100).orderBy(F.xxhash64("id"), "id").collect()]
+    rows = [(i, " ".join(f"{'a' if n < 4000 else 'b'}{rng.randrange(50)}" for _ in range(55))) for n, i in enumerate(ids)]
+    rows += [(5000 + n, " ".join(f"b{rng.randrange(50)}" for _ in range(55))) for n in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in ids], "doc_id long, quality int, toxic int")
+    assert quality.Verdicts(docs, labels).threshold == quality.FLOOR
+
+
+def test_the_percentile_is_exact(spark):
+    rng = random.Random(8)
+    for scores in ([], [-0.5], [0.25] * 7, [rng.gauss(0, 1) for _ in range(501)], [rng.choice([-1.0, 0.5, 0.5004]) for _ in range(90)]):
+        frame = spark.createDataFrame([(x,) for x in scores], "score double")
+        for share in (0.01, 0.5):
+            want = frame.agg(F.percentile("score", share)).first()[0]
+            assert quality._percentile(frame, share) == (want if want is None else pytest.approx(want, abs=1e-12))
+
+
 def test_without_labels_the_base_rules_decide(spark):
     docs = spark.createDataFrame([(1, " ".join(map(str, range(60)))), (2, "few")], "doc_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
