@@ -165,6 +165,16 @@ def test_a_page_unlike_its_host_is_read_by_the_rules():
     assert wrappers.extract("<body><article><p>a<section><table><tr><td>c<td>d</table></section></article>", wrapper) == "a\n\nc\n\nd"
 
 
+def test_each_template_of_a_host_has_its_wrapper(spark):
+    """Many pages without an article do not decide for the one page with it, nor the other way round."""
+    plain = [(n, "http://h/x", f"<title>{n}</title><body><div><p>plain {n}</p></div></body>") for n in range(60)]
+    other = (100, "http://h/x", "<title>o</title><body><div>aside</div><article><header><h1>Head</h1></header><p>text</p></article></body>")
+    deep = (101, "http://h/x", "<title>d</title><body><p>no</p>" + "<div>" * 70 + "<article><p>deep</p></article></body>")
+    frame = spark.createDataFrame([*plain, other, deep], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in wrappers.main_text(frame.repartition(5)).collect()}
+    assert got == {**{n: f"plain {n}" for n in range(60)}, 100: "Head\n\ntext", 101: "deep"}
+
+
 @pytest.mark.parametrize(
     ("html", "text"),
     [
