@@ -165,6 +165,31 @@ def test_a_page_unlike_its_host_is_read_by_the_rules():
     assert wrappers.extract("<body><article><p>a<section><table><tr><td>c<td>d</table></section></article>", wrapper) == "a\n\nc\n\nd"
 
 
+def test_what_all_pages_of_a_template_say_goes():
+    """No name tells the template's blocks from the text: only the wrapper does."""
+    page = "<title>%s</title><body><article><h1>%s</h1><div>Read more from us</div><p>One %s.</p><p>Two %s.</p><div><ul><li>About<li>Terms</ul></div></article></body>"
+    pages = [page % ((name,) * 4) for name in ("a", "b", "c", "d")]
+    wrapper = wrappers.compact(wrappers.infer(pages))
+    assert [wrappers.extract(p, wrapper) for p in pages[:2]] == ["a\n\nOne a.\n\nTwo a.", "b\n\nOne b.\n\nTwo b."]
+    assert wrappers.extract(pages[0].replace("Read more", "Unlike others"), wrapper) == "a\n\nUnlike others from us\n\nOne a.\n\nTwo a."
+    copies = [pages[0].replace("One", name) for name in ("One", "1", "I")]  # of one title
+    assert wrappers.extract(copies[0], wrappers.compact(wrappers.infer(copies))) == wrappers.extract(copies[0], None)
+    same = ["<title>%d</title><body><article><p>nothing else</p></article></body>" % n for n in range(4)]
+    assert wrappers.extract(same[0], wrappers.compact(wrappers.infer(same))) == "nothing else"
+
+
+def test_ids_in_an_article_are_anchors():
+    page = '<body><div id="related">no</div><article><h2 id="related-work">Related work</h2><section id="search"><p>text</p></section></article></body>'
+    assert wrappers.extract(page, None) == "Related work\n\ntext"
+
+
+def test_blocks_of_all_pages_of_a_host_go(spark):
+    rows = [(n, "http://h/x", f"<title>{n}</title><body><div>Site</div><div><p>plain {n}</p></div></body>") for n in range(40)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for parts in (1, 5):
+        assert {r["page_id"]: r["text"] for r in wrappers.main_text(frame.repartition(parts)).collect()} == {n: f"plain {n}" for n in range(40)}
+
+
 def test_each_template_of_a_host_has_its_wrapper(spark):
     """Many pages without an article do not decide for the one page with it, nor the other way round."""
     plain = [(n, "http://h/x", f"<title>{n}</title><body><div><p>plain {n}</p></div></body>") for n in range(60)]
