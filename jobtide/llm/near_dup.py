@@ -1,6 +1,7 @@
 """Near-duplicate documents: SuperMinHash, banding, verification on full sets, union-find grouping.
 
-Documents with equal shingle sets form a class, which its smallest id stands for. Classes that share
+Documents with equal shingle sets form a class, which its smallest id stands for, with a hash of the set
+where that id has more than one text. Classes that share
 a band's bucket are candidates. In every bucket the member that shares most buckets with others is the
 centre, and the others are compared with it on their full sets: of many copies of one text that differ
 among each other, the text itself is found, and no pairs of copies are needed. What then still lies
@@ -64,21 +65,23 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
-    """``rep`` and ``elements`` (sorted 64-bit hashes) of the classes asked for, from their documents' texts."""
-    wanted = classes.select(F.col("rep").alias("doc_id"), "h1", "h2")
+    """``rep``, ``tie`` and ``elements`` (sorted 64-bit hashes) of the classes asked for, from their documents' texts."""
+    wanted = classes.select(F.col("rep").alias("doc_id"), "tie", "h1", "h2")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, sets = [], []
-            for i, (text, h1, h2) in enumerate(zip(batch.column(1).cast(pa.binary()), batch.column(2), batch.column(3))):
+            for i, (text, h1, h2) in enumerate(zip(batch.column(1).cast(pa.binary()), batch.column(3), batch.column(4))):
                 elements = shingles(text.as_buffer().to_pybytes(), words)
                 if _key(elements) == (h1.as_py(), h2.as_py()):  # another row may have the same id
                     found.append(i)
                     sets.append(elements.tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(found, pa.int64())), pa.array(sets, pa.binary())], ["rep", "elements"])
+            at = pa.array(found, pa.int64())
+            columns = [batch.column(0).take(at), batch.column(2).take(at), pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["rep", "tie", "elements"])
 
-    texts = docs.join(wanted, "doc_id").select("doc_id", "text", "h1", "h2")
-    return texts.mapInArrow(run, "rep long, elements binary").dropDuplicates(["rep"])
+    texts = docs.join(wanted, "doc_id").select("doc_id", "text", "tie", "h1", "h2")
+    return texts.mapInArrow(run, "rep long, tie long, elements binary").dropDuplicates(["rep", "tie"])
 
 
 def _elements(data) -> np.ndarray:
@@ -93,16 +96,16 @@ def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def verified(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The edges (a, b) whose sets are alike."""
+    """The edges (a, b), between classes (a, a_tie) and (b, b_tie), whose sets are alike."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = [alike(_elements(x), _elements(y), percent) for x, y in zip(batch.column(2), batch.column(3))]
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    of_a = sets.select(F.col("rep").alias("a"), F.col("elements").alias("of_a"))
-    of_b = sets.select(F.col("rep").alias("b"), F.col("elements").alias("of_b"))
-    return edges.join(of_a, "a").join(of_b, "b").select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long")
+    of_a = sets.select(F.col("rep").alias("a"), F.col("tie").alias("a_tie"), F.col("elements").alias("of_a"))
+    of_b = sets.select(F.col("rep").alias("b"), F.col("tie").alias("b_tie"), F.col("elements").alias("of_b"))
+    return edges.join(of_a, ["a", "a_tie"]).join(of_b, ["b", "b_tie"]).select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long")
 
 
 def _pairs(table: pa.Table, percent: int) -> np.ndarray:
@@ -126,16 +129,18 @@ def _pairs(table: pa.Table, percent: int) -> np.ndarray:
 def remaining(members: DataFrame, classes: DataFrame, groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between members of one bucket that are not in one component yet."""
     placed = members.join(groups, members["rep"] == groups["node"], "left").select(
-        "bucket", "rep", F.coalesce("component", "rep").alias("component")
+        "bucket", "rep", "tie", F.coalesce("component", "rep").alias("component")
     )
     spread = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"))
     spread = spread.where("lo < hi").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    blocked = placed.join(spread, "bucket").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+    blocked = placed.join(spread, "bucket").withColumn("block", F.pmod(F.xxhash64("rep", "tie"), "blocks").cast("int"))
     blocked = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "bucket", "rep", "component", "block", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second")
+        "bucket", "rep", "tie", "component", "block", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second")
     )
     key = ["bucket", "first", "second"]
-    described = blocked.join(classes.select("rep", "n_shingles", "bands"), "rep").select(*key, "rep", "block", "component", "n_shingles", "bands")
+    of_class = ["rep", "tie"]
+    described = blocked.join(classes.select(*of_class, "n_shingles", "bands"), of_class)
+    described = described.select(*key, *of_class, "block", "component", "n_shingles", "bands")
 
     def needed(table: pa.Table) -> pa.Table:
         return table.take(pa.array(np.unique(_pairs(table, percent))))
@@ -151,9 +156,9 @@ def remaining(members: DataFrame, classes: DataFrame, groups: DataFrame, sets: D
         return pa.table({"a": links[:, 0], "b": links[:, 1]})
 
     # Sets travel only to where a pair needs them.
-    schema = "bucket long, first int, second int, rep long, block int, component long, n_shingles long, bands array<long>"
+    schema = "bucket long, first int, second int, rep long, tie long, block int, component long, n_shingles long, bands array<long>"
     due = stored(described.groupBy(*key).applyInArrow(needed, schema), "due")
-    return due.join(sets, "rep").groupBy(*key).applyInArrow(compare, "a long, b long")
+    return due.join(sets, of_class).groupBy(*key).applyInArrow(compare, "a long, b long")
 
 
 def near_duplicates(
@@ -163,27 +168,38 @@ def near_duplicates(
 
     Texts are linked if their sets of word runs share at least ``percent`` of a hundred of their union. A
     text shorter than a run is one element; one without words (null, empty, blanks) is linked with
-    nothing and kept. Rows with equal ids are one node; a row with a null id cannot be linked, has no
+    nothing and kept. Rows with equal ids are one node,
+    also if their texts differ; a row with a null id cannot be linked, has no
     component and is kept. An empty table gives none. Other columns are not read.
     """
     docs = docs.select(F.col(id_column).cast("long").alias("doc_id"), present(text_column).alias("text"))
     rows = stored(signed(docs, words), "signatures")
-    classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy("h1", "h2").agg(
+    some = rows.where("n_shingles > 0 and doc_id is not null")
+    of_id = some.groupBy("doc_id").agg(F.min(F.struct("h1", "h2")).alias("lo"), F.max(F.struct("h1", "h2")).alias("hi"))
+    several = stored(of_id.where("lo <> hi").select("doc_id"), "several")  # ids of more than one set
+    classes = some.groupBy("h1", "h2").agg(
         F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.min_by("bands", "doc_id").alias("bands")
     )
-    classes = stored(classes, "classes")
+    classes = classes.join(several, F.col("rep") == F.col("doc_id"), "left").withColumn(
+        "tie", F.when(F.col("doc_id").isNotNull(), F.xxhash64("h1", "h2")).otherwise(F.lit(0).cast("long"))
+    )
+    classes = stored(classes.drop("doc_id"), "classes")
+    of_class = ["rep", "tie"]
+    same = some.join(several, "doc_id").select("doc_id", "h1", "h2").join(classes.select("h1", "h2", "rep"), ["h1", "h2"])
+    same = same.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
 
-    buckets = classes.select("rep", F.explode("bands").alias("bucket"))
+    buckets = classes.select(*of_class, F.explode("bands").alias("bucket"))
     sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = stored(buckets.join(sizes, "bucket").select("bucket", "rep", "size"), "members")
-    known = members.groupBy("rep").agg(F.sum("size").alias("score"))
-    centres = members.join(known, "rep").groupBy("bucket").agg(F.max(F.struct("score", (-F.col("rep")).alias("minus"))).alias("best"))
-    centres = centres.select("bucket", (-F.col("best.minus")).alias("b"))
-    edges = members.join(centres, "bucket").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
-
-    candidates = classes.join(known.select("rep"), "rep", "left_semi")
+    members = stored(buckets.join(sizes, "bucket").select("bucket", *of_class, "size"), "members")
+    known = members.groupBy(*of_class).agg(F.sum("size").alias("score"))
+    best = F.max(F.struct("score", (-F.col("rep")).alias("minus"), "tie")).alias("best")
+    centres = members.join(known, of_class).groupBy("bucket").agg(best)
+    centres = centres.select("bucket", (-F.col("best.minus")).alias("b"), F.col("best.tie").alias("b_tie"))
+    edges = members.join(centres, "bucket").where("rep <> b").select(F.col("rep").alias("a"), F.col("tie").alias("a_tie"), "b", "b_tie").distinct()
+
+    candidates = classes.join(known.select(*of_class), of_class, "left_semi")
     sets = stored(full_sets(docs, candidates, words), "sets")
-    links = stored(verified(edges, sets, percent), "verified")
+    links = stored(verified(edges, sets, percent).unionByName(same), "verified")
     groups = components(links)
     more = stored(remaining(members, candidates, groups, sets, percent), "verified")
     if not more.isEmpty():

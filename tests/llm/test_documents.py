@@ -152,6 +152,21 @@ def test_near_duplicates_of_odd_rows(spark):
     assert near_dup.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_near_duplicates_of_one_id_over_different_texts(spark):
+    """An id with two texts links the near copies of both, whichever stands for a class."""
+    def text(name, change=""):
+        return " ".join([f"{name}{n}" for n in range(60)] + [change])
+
+    rows, want = [], {}
+    for k in range(0, 400, 10):
+        rows += [(k, text(f"x{k}_")), (k, text(f"y{k}_")), (k + 1, text(f"x{k}_", "more")), (k + 2, text(f"y{k}_", "other"))]
+        rows += [(k + 4, text(f"z{k}_")), (k + 5, text(f"z{k}_")), (k + 5, text(f"y{k}_")), (k + 6, text(f"u{k}_"))]
+        want |= {k + n: k for n in (0, 1, 2, 4, 5)} | {k + 6: k + 6}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = near_dup.near_duplicates(docs).select("doc_id", "component_id").collect()
+    assert len(got) == len(rows) and {tuple(r) for r in got} == set(want.items())
+
+
 def test_components_of_a_long_chain(spark):
     rng = random.Random(4)
     links = [(n, n + 1) for n in range(200)] + [(1000 + n, 1000) for n in range(1, 300)] + [(5000, 4000)]
