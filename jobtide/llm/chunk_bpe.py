@@ -2,7 +2,8 @@
 
 A rolling hash over the last 32 bytes cuts texts where the content says so, hence copies and shared
 passages are cut alike wherever they stand. Documents are first brought together by their smallest
-chunk hash; a worker then encodes each distinct chunk once and reuses it for every document holding it.
+chunk hash; a worker then reuses the ids of the chunks that it met last (:data:`CHUNKS_KEPT` at most) and
+encodes all others anew.
 
 A chunk encoded alone can be wrong at its ends only: up to its first unit start and from its last one
 (see :mod:`jobtide.llm.bpe`). Between two chunks, the end of the one and the head of the other are
