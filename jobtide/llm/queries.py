@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from jobtide.llm import chunk_bpe, huffman, line_dedup, mixing, near_dup, onebit, quality, warc, wrappers
+from jobtide.llm import chunk_bpe, huffman, line_dedup, mixing, near_dup, ngram_join, onebit, quality, warc, wrappers
 from jobtide.llm.token_count import token_counts
 from jobtide.session import pin
 
@@ -161,6 +161,31 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return onebit.search(indexed, indexed.where("vec_id % 20 = 0"))
 
 
+@query(
+    "op13_ngram_join",
+    """
+    WITH RECURSIVE w AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+        FROM documents),
+    s AS (
+        SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+            ELSE list_transform(range(len(w) - 3), lambda i: w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4]) END) AS g
+        FROM w WHERE len(w) > 0),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+    l AS (SELECT x, y FROM p JOIN n a ON x = a.doc_id JOIN n b ON y = b.doc_id WHERE 100 * c >= 85 * (a.n + b.n - c)),
+    e AS (SELECT x AS u, y AS v FROM l UNION ALL SELECT y, x FROM l),
+    r AS (SELECT doc_id AS node, doc_id AS root FROM documents UNION SELECT e.v, r.root FROM r JOIN e ON r.node = e.u),
+    c AS (SELECT node AS doc_id, min(root) AS component_id FROM r GROUP BY node)
+    SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+    FROM documents d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_join(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
