@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from jobtide.llm import chunk_bpe, huffman, line_dedup, mixing, near_dup, ngram_join, onebit, quality, warc, wrappers
+from jobtide.llm import chunk_bpe, huffman, line_dedup, mixing, near_dup, ngram_join, onebit, phrases, quality, warc, wrappers
 from jobtide.llm.token_count import token_counts
 from jobtide.session import pin
 
@@ -161,6 +161,40 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return onebit.search(indexed, indexed.where("vec_id % 20 = 0"))
 
 
+@query(
+    "op12_phrases",
+    """
+    WITH t AS (
+        SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang,
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+    p AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM t),
+    w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM p),
+    g AS (
+        SELECT lang, k, unnest(list_transform(range(len(w) - k + 1), lambda i: array_to_string(w[i + 1 : i + k], ' '))) AS phrase
+        FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k),
+    f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+    n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+    often AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE f >= 30),
+    cuts AS (SELECT lang, k, phrase, f, w, unnest(range(1, k)) AS cut FROM often WHERE k > 1),
+    scores AS (
+        SELECT c.lang, c.k, c.phrase, c.f, c.w, cut, l.f AS l, r.f AS r, (2000000::HUGEINT * c.f) // (l.f + r.f) AS score
+        FROM cuts c JOIN often l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:cut], ' ')
+        JOIN often r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[cut + 1:], ' ')),
+    c AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+    subs AS (
+        SELECT lang, f, unnest(flatten(list_transform(range(2, k), lambda s: list_transform(range(1, k - s + 2), lambda i: array_to_string(w[i : i + s - 1], ' '))))) AS phrase
+        FROM c WHERE k > 2),
+    around AS (SELECT lang, phrase, max(f) AS most FROM subs GROUP BY ALL),
+    ranked AS (
+        SELECT c.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, encode(phrase)) AS rank
+        FROM c LEFT JOIN around USING (lang, phrase) WHERE most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * f)
+    SELECT lang, rank, phrase, f AS a, l, r, n, score::BIGINT AS score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op13_ngram_join",
     """
