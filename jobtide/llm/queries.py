@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from jobtide.llm import chunk_bpe, huffman, line_dedup, mixing, near_dup, ngram_join, onebit, phrases, quality, warc, wrappers
+from jobtide.llm import alignment, chunk_bpe, huffman, line_dedup, mixing, near_dup, ngram_join, onebit, phrases, quality, warc, wrappers
 from jobtide.llm.token_count import token_counts
 from jobtide.session import pin
 
@@ -161,6 +161,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return onebit.search(indexed, indexed.where("vec_id % 20 = 0"))
 
 
+@query("op11_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.align(table(spark, sf_dir, "documents"), *paths)
+
+
 @query(
     "op12_phrases",
     """
