@@ -33,6 +33,8 @@ from jobtide.llm.superminhash import shared
 BLOCK = 256
 #: Cells of the table of word counts, and how many of them travel in one row.
 CELL_BITS, SLICE_BITS = 22, 16
+#: Bits of the filters by which rows without a partner are left out before a shuffle.
+FILTER = 1 << 23
 BLANK = grams.table(BLANKS.encode())
 LEVEL_SHIFT = np.uint64(56)
 
@@ -134,23 +136,52 @@ def signed(docs: DataFrame, width: int, percent: int, levels: bytes) -> DataFram
     return docs.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, keys array<long>")
 
 
+def filter_of(df: DataFrame, column: str) -> np.ndarray:
+    """A bit for each value of a whole-number column by its low bits: of fixed size. Others may share it."""
+    found = df.select(F.col(column).bitwiseAND(F.lit(FILTER - 1)).cast("int").alias("cell")).distinct().toArrow()
+    bits = np.zeros(FILTER, dtype=bool)
+    bits[found["cell"].to_numpy()] = True
+    return np.packbits(bits)
+
+
+def passing(packed: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values & (FILTER - 1)
+    return packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1 == 1
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``rep``, ``tie`` and ``elements`` (sorted 64-bit hashes) of the classes asked for, from their texts."""
+    """``rep``, ``tie`` and ``elements`` (sorted 64-bit hashes) of the classes asked for, from their texts.
+
+    Sets are made where the texts are read, of ids that pass a filter of the ids asked for.
+    """
+    ids = docs.sparkSession.sparkContext.broadcast(filter_of(wanted, "rep"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            asked = zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())
-            rows, sets = [], []
-            for i, ((elements, _), key) in enumerate(zip(sets_of(_texts(batch.column(1)), width), asked)):
-                if _key(elements) == key:  # another row may have the same id
-                    rows.append(i)
-                    sets.append(elements.tobytes())
-            at = pa.array(rows, pa.int64())
-            columns = [batch.column(0).take(at), batch.column(2).take(at), pa.array(sets, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["rep", "tie", "elements"])
+            batch = batch.filter(pa.array(passing(ids.value, batch.column(0).to_numpy())))
+            sets = [elements for elements, _ in sets_of(_texts(batch.column(1)), width)]
+            keys = [_key(elements) for elements in sets]
+            columns = [batch.column(0), *(pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1)), pa.array([e.tobytes() for e in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["rep", "h1", "h2", "elements"])
+
+    made = docs.where("doc_id is not null").mapInArrow(run, "rep long, h1 long, h2 long, elements binary")
+    return made.join(wanted.select("rep", "tie", "h1", "h2"), ["rep", "h1", "h2"]).select("rep", "tie", "elements").dropDuplicates(["rep", "tie"])
 
-    texts = docs.join(wanted.select(F.col("rep").alias("doc_id"), "tie", "h1", "h2"), "doc_id").select("doc_id", "text", "tie", "h1", "h2")
-    return texts.mapInArrow(run, "rep long, tie long, elements binary").dropDuplicates(["rep", "tie"])
+
+def entries_of(classes: DataFrame, keys: np.ndarray) -> DataFrame:
+    """A row for each class and short list of it that passes a filter of the lists with several members."""
+    held = classes.sparkSession.sparkContext.broadcast(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(3)
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            owner = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+            some = passing(held.value, flat)
+            at = pa.array(owner[some])
+            yield pa.RecordBatch.from_arrays([pa.array(flat[some]), *(batch.column(i).take(at) for i in range(3))], ["key", "rep", "tie", "n"])
+
+    return classes.select("rep", "tie", "n_shingles", "keys").mapInArrow(run, "key long, rep long, tie long, n long")
 
 
 def _elements(data) -> np.ndarray:
@@ -221,7 +252,9 @@ def _search(table: pa.Table, percent: int) -> list[tuple[int, int]]:
     return found
 
 
-def remaining(members: DataFrame, centres: DataFrame, classes: DataFrame, groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def remaining(
+    docs: DataFrame, members: DataFrame, centres: DataFrame, classes: DataFrame, groups: DataFrame, width: int, percent: int
+) -> DataFrame:
     """Links between members of one short list, other than its centre, that are not in one component yet.
 
     Those outside the largest component of a list, the outsiders, are compared with all its members: blocks
@@ -256,6 +289,7 @@ def remaining(members: DataFrame, centres: DataFrame, classes: DataFrame, groups
     # Sets travel only to where a pair needs them.
     schema = "key long, asker int, block int, rep long, tie long, component long, asks boolean"
     due = stored(by_group(described.select(*row, "n_shingles", "keys"), at, needed, schema), "due")
+    sets = stored(full_sets(docs, due.select(*of_class).distinct().join(classes, of_class), width), "sets")
     return by_group(due.join(sets, of_class).select(*row, "elements"), at, search, "a long, b long")
 
 
@@ -283,20 +317,22 @@ def jaccard_join(
     same = some.join(several, "doc_id").select("doc_id", "h1", "h2").join(classes.select("h1", "h2", "rep"), ["h1", "h2"])
     same = same.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
 
-    entries = classes.select(*of_class, F.explode("keys").alias("key"))
-    sizes = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = stored(entries.join(sizes, "key").select("key", *of_class, "size"), "members")
+    lists = stored(classes.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "lists")
+    entries = entries_of(classes, filter_of(lists, "key"))
+    members = stored(entries.join(lists, "key").select("key", *of_class, "n", "size"), "members")
     known = members.groupBy(*of_class).agg(F.sum("size").alias("score"))
-    best = F.max(F.struct("score", (-F.col("rep")).alias("minus"), "tie")).alias("best")
+    best = F.max(F.struct("score", (-F.col("rep")).alias("minus"), "tie", "n")).alias("best")
     centres = members.join(known, of_class).groupBy("key").agg(best)
-    centres = stored(centres.select("key", (-F.col("best.minus")).alias("b"), F.col("best.tie").alias("b_tie")), "centres")
-    edges = members.join(centres, "key").where("rep <> b").select(F.col("rep").alias("a"), F.col("tie").alias("a_tie"), "b", "b_tie").distinct()
+    centres = stored(centres.select("key", (-F.col("best.minus")).alias("b"), F.col("best.tie").alias("b_tie"), F.col("best.n").alias("b_n")), "centres")
+    fits = (F.col("rep") != F.col("b")) & (100 * F.least("n", "b_n") >= percent * F.greatest("n", "b_n"))
+    pairs = members.join(centres, "key").where(fits)
+    edges = stored(pairs.select(F.col("rep").alias("a"), F.col("tie").alias("a_tie"), "b", "b_tie").distinct(), "edges")
 
-    candidates = classes.join(known.select(*of_class), of_class, "left_semi")
-    sets = stored(full_sets(docs, candidates, words), "sets")
+    ends = edges.select(F.col("a").alias("rep"), F.col("a_tie").alias("tie")).union(edges.select("b", "b_tie")).distinct()
+    sets = stored(full_sets(docs, ends.join(classes.drop("keys"), of_class), words), "sets")
     links = stored(verified(edges, sets, percent).unionByName(same), "verified")
     groups = components(links)
-    more = stored(remaining(members, centres, candidates, groups, sets, percent), "verified")
+    more = stored(remaining(docs, members, centres, classes, groups, words, percent), "verified")
     if not more.isEmpty():
         groups = components(links.unionByName(more))
 
