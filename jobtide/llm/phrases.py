@@ -39,8 +39,8 @@ GATHERED = 1 << 20
 ROW = "k int, began int, lang string, word string, head long, last long, n long"
 
 
-def _cells(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+def _cells(hashes: np.ndarray, cells: int) -> np.ndarray:
+    return (hashes >> np.uint64(65 - cells.bit_length())).astype(np.int64)
 
 
 class _Scan:
@@ -48,7 +48,7 @@ class _Scan:
 
     def __init__(self, step: int, shards: int, longest: int, marks: bytes):
         self.step, self.shards, self.longest = step, shards, longest
-        self.marks = np.frombuffer(marks, dtype=np.uint8).reshape(-1, 1 << CELL_BITS)
+        self.marks = np.frombuffer(marks, dtype=np.uint8).reshape(longest - 1, -1)
         self.held: dict[int, list] = {}
         self.size = 0
 
@@ -69,7 +69,7 @@ class _Scan:
             piece = np.cumsum(np.frombuffer(data, dtype=np.uint8) == ord("."), dtype=np.int32)[starts]
             part = w
             for k in range(2, min(self.longest, len(w)) + 1):
-                mark = self.marks[k - 2][_cells(part)]
+                mark = self.marks[k - 2][_cells(part, self.marks.shape[1])]
                 began = np.maximum(mark[:-1], mark[1:]).astype(np.int16) + 1
                 active = (began <= self.step) & (self.step < began + self.shards) & (piece[: len(began)] == piece[k - 1 :])
                 at = np.flatnonzero(active)
@@ -126,7 +126,7 @@ def hashed(rows: DataFrame) -> DataFrame:
 
 def _mark(marks: np.ndarray, reached: DataFrame, step: int) -> None:
     """Note the scan in the cells of phrases; at most a row for each cell comes to the driver."""
-    cell = F.shiftrightunsigned("phrase_hash", 64 - CELL_BITS).cast("int")
+    cell = F.shiftrightunsigned("phrase_hash", 65 - marks.shape[1].bit_length()).cast("int")
     found = reached.where(F.col("k") <= len(marks)).select("k", cell.alias("cell")).distinct().toArrow()
     for k, cells in zip(found["k"].chunks, found["cell"].chunks):
         at = (k.to_numpy() - 1, cells.to_numpy())
@@ -150,7 +150,7 @@ def phrase_counts(docs: DataFrame, threshold: int, longest: int, shards: int) ->
         return int(known.max()) if len(known) else -1
 
     step = 0
-    while step < shards or step <= latest() + shards:
+    while step <= shards or step <= latest() + shards:
         scans.append(_scan(corpus.where(F.col("shard") == step % shards).select("lang", "text"), step, shards, longest, marks))
         done = step - shards + 1  # phrases that became active for this scan have been counted in every shard
         if done == 0:
@@ -161,9 +161,11 @@ def phrase_counts(docs: DataFrame, threshold: int, longest: int, shards: int) ->
             summed = rows(done, step).where((F.col("k") > 1) & (F.col("began") == done)).groupBy("k", "head", "last").agg(F.sum("n").alias("n"))
             frequent.append(stored(hashed(summed.where(F.col("n") >= threshold)), "frequent"))
             _mark(marks, frequent[-1], step)
-        seen = rows(max(done + 1, 0), step).where((F.col("n") > 1) & ((F.col("began") > max(done, 0)) | (F.col("k") == 1) & F.lit(done < 0)))
-        so_far = seen.where(F.col("k") < longest).groupBy("k", "head", "last").agg(F.sum("n").alias("n")).where(F.col("n") >= threshold)
-        _mark(marks, hashed(so_far.select("k", "head", "last")), step)
+        if done < step:  # others are not complete yet, but may have reached the threshold
+            active = (F.col("began") > max(done, 0)) | (F.col("k") == 1) & F.lit(done < 0)
+            seen = rows(max(done + 1, 0), step).where((F.col("k") < longest) & (F.col("n") > 1) & active)
+            so_far = seen.groupBy("k", "head", "last").agg(F.sum("n").alias("n")).where(F.col("n") >= threshold)
+            _mark(marks, hashed(so_far.select("k", "head", "last")), step)
         step += 1
     return words, reduce(DataFrame.unionByName, frequent)
 
