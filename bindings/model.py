@@ -14,7 +14,7 @@ from bindings.registry import query
 from bindings.sql import CATEGORY_KEYS, TAG_LIST, text, using
 from jobtide.plans import build, marts, normalize, responses, staging
 from jobtide.schemas import RESPONSES
-from jobtide.sources.raw import read_raw, with_counts
+from jobtide.sources.raw import read_raw, read_runs, with_counts
 from jobtide.sources.seeds import read_rates
 from jobtide.sources.workdir import shared_folder, written
 
@@ -351,6 +351,35 @@ def land_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return land_all(spark, landed.where("cast(run_id as long) % 2 = 1"), landed)
 
 
+LANDED_COUNTS = " UNION ALL ".join(
+    f"""SELECT '{source}' AS source, run::VARCHAR AS run_id, count(*) AS job_count_declared, count(*) AS job_count_actual,
+        count(*) AS job_count_logged, 'succeeded' AS status FROM {first} GROUP BY run"""
+    for source, first in (("remotive", "c_first"), ("remoteok", "t_first"), ("adzuna", "p_first"))
+)
+
+
+@query(
+    "land_recovered",
+    using(
+        "p_first",
+        select=f"""{LANDED_COUNTS}
+        UNION ALL SELECT 'adzuna', run::VARCHAR, NULL, NULL, 0, 'failed' FROM p_runs WHERE n_ok = 0""",
+    ),
+)
+def land_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every run landed, after a landing that broke off before its commit and two that did not."""
+    landed = responses_table(spark, sf_dir)
+    work = f"{shared_folder(spark)}/land-{uuid.uuid4().hex}"
+    path, options = f"{work}/raw", {"work": work, "feeds": landing.BOUND_FEEDS}
+    build.land(landed.where("cast(run_id as long) % 2 = 1"), path, **options)
+    build.stage_landing(landed, path, **options)  # and the driver is lost
+    build.land(landed, path, **options)
+    sums = [F.sum(f"job_count_{c}").alias(f"job_count_{c}") for c in ("declared", "actual")]
+    counted = with_counts(read_raw(spark, path)).groupBy("source", "run_id").agg(*sums)
+    runs = read_runs(spark, path).select("source", "run_id", F.col("job_count").alias("job_count_logged"), "status")
+    return runs.join(counted, ["source", "run_id"], "left")
+
+
 # Raw and staging -------------------------------------------------------------------------------
 
 RAW_COUNTS = " UNION ALL ".join(

@@ -16,8 +16,8 @@ from jobtide.plans import marts, responses, suites
 from jobtide.plans.normalize import normalize
 from jobtide.plans.staging import ORDERED, refreshed_staging, staging
 from jobtide.sources.marts import Marts, read_folder, write_mart
-from jobtide.schemas import RUNS
-from jobtide.sources.raw import append_payloads, append_runs, read_raw, read_runs, stored_or_none
+from jobtide.schemas import FAILURES, RAW, RUNS
+from jobtide.sources.raw import Landing, as_raw, read_raw, read_runs, stored_or_none
 from jobtide.sources.seeds import read_rates
 from jobtide.sources.workdir import written
 
@@ -30,6 +30,10 @@ MODELS = {
 }
 
 
+#: Failed runs named in the error of a landing; the log names all.
+RUNS_NAMED = 100
+
+
 class RunError(RuntimeError):
     """Raised when runs were there to land and every one of them failed."""
 
@@ -45,28 +49,48 @@ def unlanded(landed: DataFrame, raw_path: str, settled: dt.datetime | None = Non
     return landed
 
 
-def land_source(responses_: DataFrame, feed: responses.Feed, raw_path: str, work: str | None, now: dt.datetime) -> DataFrame:
-    """Append one source's payloads; a row per run, as the log keeps it.
+def stage_landing(
+    landed: DataFrame,
+    raw_path: str,
+    sources: Sequence[str] | None = None,
+    now: dt.datetime | None = None,
+    work: str | None = None,
+    feeds: Mapping[str, responses.Feed] = responses.FEEDS,
+    settled: dt.datetime | None = None,
+) -> tuple[Landing, DataFrame, DataFrame]:
+    """Write what there is to land, without committing it: the landing, its payloads and its runs.
 
-    Bodies are parsed once, into the stored classification that everything else starts from.
+    Bodies are parsed once, into the stored classification that everything else starts from. The payloads
+    of all sources are written together; what a run landed is counted from the columns of the rows written.
     """
-    classified = written(responses.classify(responses_, feed), f"classified-{feed.source}", work=work)
-    requests = responses.outcomes(classified, feed)
-    places = written(responses.chunk_places(requests, feed), f"places-{feed.source}", work=work)
-    packed = responses.payloads(classified, feed).join(places, list(responses.CHUNK))
-    base = append_payloads(packed, raw_path, now)
-    count = F.from_json("payload", "`job-count` bigint")["job-count"]
-    new = read_raw(packed.sparkSession, raw_path, feed.source).where(F.col("raw_id") > base)
-    stored = new.groupBy("run_id").agg(F.count("*").alias("payloads"), F.sum(count).alias("job_count"))
-    runs = responses.run_summary(classified, [feed.source], {feed.source: requests}, {feed.source: feed})
-    timed = runs.join(responses.run_times(requests), "run_id").join(stored, "run_id", "left")
-    return timed.withColumns(
-        {
-            "ingested_at": F.coalesce("ingested_at", F.lit(now)),
-            "payloads": F.coalesce("payloads", F.lit(0)),
-            "job_count": F.coalesce("job_count", F.lit(0)),
-        }
-    )
+    names = responses.known_sources(fixed.SOURCES if sources is None else sources)
+    now = now or dt.datetime.now(dt.UTC)
+    new = unlanded(landed.where(F.col("source").isin(names)), raw_path, settled)
+    landing = Landing.begin(landed.sparkSession, raw_path)
+    packed, logged, failed = [], [], []
+    for number, name in enumerate(names):
+        feed = feeds[name]
+        classified = written(responses.classify(new.where(F.col("source") == name), feed), f"classified-{name}", work=work)
+        requests = responses.outcomes(classified, feed)
+        places = written(responses.chunk_places(requests, feed), f"places-{name}", work=work)
+        place = F.col("place") * len(names) + number  # ids of one source do not meet those of another
+        packed.append(responses.payloads(classified, feed).join(places, list(responses.CHUNK)).withColumn("place", place))
+        counts = responses.run_counts(requests, feed)
+        failed.append(responses.failures(requests, counts, feed))
+        logged.append(counts.join(responses.run_times(requests), "run_id"))
+    union = DataFrame.unionByName
+    payloads = landing.write(as_raw(reduce(union, packed), landing.base, now), RAW)
+    failures = landing.write(reduce(union, failed), FAILURES, ".failures")
+    errors = [responses.error_texts(failures.where(F.col("source") == n), feeds[n]).withColumn("source", F.lit(n)) for n in names]
+    key = ["source", "run_id"]
+    stored = payloads.groupBy(*key).agg(F.count("*").alias("payloads"), F.sum("job_count").alias("job_count"))
+    runs = reduce(union, logged).join(stored, key, "left").join(reduce(union, errors), key, "left")
+    filled = {
+        "ingested_at": F.coalesce("ingested_at", F.lit(now)),
+        "payloads": F.coalesce("payloads", F.lit(0)),
+        "job_count": F.coalesce("job_count", F.lit(0)),
+    }
+    return landing, payloads, landing.write(runs.withColumns(filled), RUNS, ".runs")
 
 
 def land(
@@ -80,21 +104,22 @@ def land(
 ) -> DataFrame:
     """Land every run that has not been landed yet, and return a row for each, failed ones included.
 
-    The same rows are added to the log beside the landing table, by which later calls skip them. A run
-    has to be complete when it is landed; ``settled`` leaves out those that still received responses at
-    that time or later. Raises if there were runs and none went well.
+    The same rows are the log beside the landing table, by which later calls skip them; payloads and log
+    are committed together, so that a call that broke off is as if it had not been. A run has to be complete
+    when it is landed; ``settled`` leaves out those that still received responses at that time or later.
+    Raises, after the commit, if there were runs and none went well.
     """
-    names = responses.known_sources(fixed.SOURCES if sources is None else sources)
-    now = now or dt.datetime.now(dt.UTC)
-    new = unlanded(landed.where(F.col("source").isin(names)), raw_path, settled)
-    frames = [land_source(new.where(F.col("source") == name), feeds[name], raw_path, work, now) for name in names]
-    runs = written(reduce(DataFrame.unionByName, frames).select(RUNS.fieldNames()), "runs", work=work)
-    append_runs(runs, raw_path)
-    tally = runs.agg(F.count("*").alias("n"), F.count_if(F.col("status") == "succeeded").alias("good")).first()
-    if tally["n"] and not tally["good"]:
-        worst = runs.orderBy("source", "ingested_at", "run_id").limit(len(names) * 3).collect()
+    landing, payloads, runs = stage_landing(landed, raw_path, sources, now, work, feeds, settled)
+    tally = runs.groupBy("source").agg(F.count("*").alias("n"), F.count_if(F.col("status") == "succeeded").alias("good")).collect()
+    total = sum(r["n"] for r in tally)
+    if not total:
+        return runs
+    landing.commit(payloads, total, now)
+    if not any(r["good"] for r in tally):
+        worst = runs.orderBy("source", "ingested_at", "run_id").limit(RUNS_NAMED).collect()
         listed = "; ".join(f"{r['source']} {r['run_id']}: {r['error']}" for r in worst)
-        raise RunError(f"none of {tally['n']} run(s) could be landed, the first being {listed}")
+        by_source = ", ".join(f"{r['source']} {r['n']}" for r in sorted(tally))
+        raise RunError(f"none of {total} run(s) could be landed ({by_source}; all are listed in {raw_path}.runs): {listed}")
     return runs
 
 

@@ -277,16 +277,41 @@ def known_sources(sources: Sequence[str]) -> list[str]:
     return list(sources)
 
 
+def run_counts(requests: DataFrame, feed: Feed) -> DataFrame:
+    """One row per run: whether any request went well, and the request counts."""
+    counted = requests.groupBy(*RUN).agg(F.count("*").alias("n_requests"), F.count_if("ok").alias("n_ok"))
+    status = F.when(F.col("n_ok") > 0, "succeeded").otherwise("failed")
+    return counted.select(F.lit(feed.source).alias("source"), *RUN, status.alias("status"), "n_requests", "n_ok")
+
+
+def failures(requests: DataFrame, counts: DataFrame, feed: Feed) -> DataFrame:
+    """Every request of the runs in which none went well, as a row of its own."""
+    failed = counts.where(F.col("n_ok") == 0).select(*RUN)
+    rows = requests.join(failed, list(RUN), "left_semi")
+    return rows.select(F.lit(feed.source).alias("source"), *CHUNK, "request_ordinal", "request_key", "message")
+
+
+def error_texts(failed: DataFrame, feed: Feed) -> DataFrame:
+    """The failures of each run joined to one text, in order, chunk by chunk."""
+    listed = F.sort_array(
+        F.collect_list(F.struct("request_ordinal", F.concat(F.lit(feed.noun), "request_key", F.lit(": "), "message").alias("text")))
+    )
+    chunks = failed.groupBy(*CHUNK).agg(F.array_join(F.transform(listed, lambda r: r["text"]), "; ").alias("text"))
+    parts = F.sort_array(F.collect_list(F.struct("chunk", "text")))
+    text = F.array_join(F.transform(parts, lambda r: r["text"]), "; ")
+    return chunks.groupBy(*RUN).agg(F.format_string(fixed.ALL_REQUESTS_FAILED, F.lit(feed.requests), F.lit(feed.label), text).alias("error"))
+
+
 def run_summary(
     responses: DataFrame,
     sources: Sequence[str] = fixed.SOURCES,
     requests_of: Mapping[str, DataFrame] | None = None,
     feeds: Mapping[str, Feed] = FEEDS,
 ) -> DataFrame:
-    """One row per run: whether any request went well, and the request counts.
+    """One row per run with its counts; that of a failed run carries its error, which lists every request.
 
-    A failed run carries its error, which lists every failed request in order; a run's request list
-    bounds it. ``requests_of`` takes stored outcomes by source.
+    Nothing is gathered of runs in which some request went well, however many failed. ``requests_of``
+    takes stored outcomes by source.
     """
     frames = []
     for name in known_sources(sources):
@@ -294,24 +319,7 @@ def run_summary(
         requests = (requests_of or {}).get(name)
         if requests is None:
             requests = outcomes(responses, feed)
-        text = F.concat(F.lit(feed.noun), "request_key", F.lit(": "), "message")
-        listed = F.sort_array(F.collect_list(F.when(~F.col("ok"), F.struct("request_ordinal", text.alias("text")))))
-        runs = requests.groupBy(*RUN).agg(
-            F.count("*").alias("n_requests"),
-            F.count_if("ok").alias("n_ok"),
-            F.array_join(F.transform(listed, lambda r: r["text"]), "; ").alias("_failures"),
-        )
-        error = F.format_string(
-            fixed.ALL_REQUESTS_FAILED, F.lit(feed.requests), F.lit(feed.label), "_failures"
-        )
-        frames.append(
-            runs.select(
-                F.lit(name).alias("source"),
-                *RUN,
-                F.when(F.col("n_ok") > 0, "succeeded").otherwise("failed").alias("status"),
-                "n_requests",
-                "n_ok",
-                F.when(F.col("n_ok") == 0, error).alias("error"),
-            )
-        )
-    return reduce(DataFrame.unionByName, frames)
+        counts = run_counts(requests, feed)
+        frames.append(counts.join(error_texts(failures(requests, counts, feed), feed), list(RUN), "left"))
+    columns = ["source", *RUN, "status", "n_requests", "n_ok", "error"]
+    return reduce(DataFrame.unionByName, [frame.select(columns) for frame in frames])

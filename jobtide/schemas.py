@@ -31,6 +31,30 @@ RAW = T.StructType(
         T.StructField("run_id", T.StringType()),
         T.StructField("chunk", T.IntegerType()),
         T.StructField("payload", T.StringType()),
+        T.StructField("job_count", T.LongType()),
+        T.StructField("source", T.StringType()),
+    ]
+)
+
+# One row for each landing, written last: only the payloads and runs of committed landings are there for readers.
+COMMITS = T.StructType(
+    [
+        T.StructField("landing", T.StringType()),
+        T.StructField("committed_at", T.TimestampType()),
+        T.StructField("last_raw_id", T.LongType()),
+        T.StructField("runs", T.LongType()),
+        T.StructField("payloads", T.LongType()),
+    ]
+)
+
+# Every failed request of a run in which none went well, in order of chunk and ordinal.
+FAILURES = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("chunk", T.IntegerType()),
+        T.StructField("request_ordinal", T.IntegerType()),
+        T.StructField("request_key", T.StringType()),
+        T.StructField("message", T.StringType()),
         T.StructField("source", T.StringType()),
     ]
 )

@@ -12,7 +12,7 @@ from conftest import category_job, paged_job, response, tag_job
 from jobtide.plans import build
 from jobtide.plans import responses as R
 from jobtide.plans.staging import staging
-from jobtide.sources.raw import read_raw
+from jobtide.sources.raw import Landing, read_failures, read_raw, read_runs
 
 CATEGORY, TAG = R.FEEDS["remotive"], R.FEEDS["remoteok"]
 PAGED = replace(R.FEEDS["adzuna"], per_page=2)
@@ -174,6 +174,60 @@ def test_landing_raises_when_every_run_failed(responses, tmp_path):
         build.land(responses(page(1, [], status=500)), str(tmp_path / "raw"), ["adzuna"])
 
 
+def test_every_failed_run_is_in_the_error_and_in_the_log(spark, responses, tmp_path):
+    path = str(tmp_path / "raw")
+    frame = responses(*[page(n, [], str(run), status=500) for run in range(9) for n in (1, 2)])
+    with pytest.raises(build.RunError) as raised:
+        build.land(frame, path, ["adzuna"])
+    assert "none of 9 run(s)" in str(raised.value) and "adzuna 9" in str(raised.value) and f"{path}.runs" in str(raised.value)
+    assert all(f"adzuna {run}: All pages failed" in str(raised.value) for run in range(9))
+    assert read_runs(spark, path).where("status = 'failed' and error is not null").count() == 9
+    rows = read_failures(spark, path).where("run_id = '4'").orderBy("chunk", "request_ordinal").collect()
+    assert [r["request_key"] for r in rows] == ["1", "2"] and all("HTTP 500" in r["message"] for r in rows)
+    assert not build.land(frame, path, ["adzuna"]).collect()
+
+
+def test_nothing_is_gathered_of_a_run_that_went_well(responses):
+    frame = responses(page(1, [1]), *[page(n, [], status=500) for n in range(2, 400)], page(1, [], "2", status=500))
+    requests = R.outcomes(frame, PAGED)
+    counts = R.run_counts(requests, PAGED)
+    assert [r["run_id"] for r in R.failures(requests, counts, PAGED).collect()] == ["2"]
+
+
+def everything(spark, path):
+    raw = sorted((r["source"], r["run_id"], r["chunk"], r["payload"]) for r in read_raw(spark, path).collect())
+    return raw, sorted(map(tuple, read_runs(spark, path).drop("ingested_at").collect()))
+
+
+@pytest.mark.parametrize("lost", ["payloads", "failures", "runs", "commit"])
+def test_a_landing_that_broke_off_leaves_nothing(spark, three_sources, responses, tmp_path, monkeypatch, lost):
+    """Wherever the driver is lost, the next landing gives what one landing gives."""
+    path, whole = str(tmp_path / "raw"), str(tmp_path / "whole")
+    first = responses(page(1, [], "0", status=500), page(1, [5], "9"))
+    for to in (path, whole):
+        build.land(first, to)
+    build.land(three_sources, whole)
+    write, after = Landing.write, {"payloads": "", "failures": ".failures", "runs": ".runs"}.get(lost)
+
+    def breaking(self, rows, schema, suffix=""):
+        out = write(self, rows, schema, suffix)
+        if suffix == after:
+            raise KeyboardInterrupt
+        return out
+
+    with monkeypatch.context() as patched:
+        patched.setattr(Landing, "write", breaking)
+        if lost == "commit":
+            patched.setattr(Landing, "commit", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            build.land(three_sources, path)
+    assert read_raw(spark, path).count() == 1 and read_runs(spark, path).count() == 2
+    build.land(three_sources, path)
+    assert everything(spark, path) == everything(spark, whole)
+    ids = [r["raw_id"] for r in read_raw(spark, path).collect()]
+    assert len(set(ids)) == len(ids)
+
+
 @pytest.mark.parametrize("count", [2, 3, 5, 8, 12])
 def test_the_newest_of_many_runs_landed_at_once_wins(spark, responses, tmp_path, count):
     path = str(tmp_path / "raw")
