@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobtide.llm import bpe
-from jobtide.llm.chunk_bpe import mixed
-from jobtide.llm.common import Bounded, by_group, present, stored
-from jobtide.llm.fragments import Fragment, fragment, group_pairs, group_text
+from jobtide.llm.chunk_bpe import byte_pairs, mixed
+from jobtide.llm.common import by_group, present, stored
+from jobtide.llm.fragments import Fragment, fragment
 
 #: Characters of a text that one task aligns as a whole; the ranges of longer texts have as many.
 LONG = 1 << 15
@@ -35,7 +37,7 @@ LONG = 1 << 15
 FAN = 8
 #: Distinct (document, pair) entries of a block, and bytes of text for each part of the pairs.
 BLOCK, PART_BYTES = 1 << 20, 1 << 24
-UNITS_KEPT, LONGEST_KEPT = 150_000, 64
+UNITS_KEPT = 250_000
 #: How far from the edge of a range the end of a unit is looked for, before the edge is moved.
 REACH = 1024
 #: Where a text can be cut for both tokenizers: their pieces hold spaces in front only.
@@ -55,64 +57,80 @@ class Aligner:
         self.library.tokenizer.encode_special_tokens = True
         letters = {letter: byte for byte, letter in bpe.byte_letters().items()}
         known = {i: bytes(map(letters.__getitem__, token)) for token, i in spec["model"]["vocab"].items() if all(c in letters for c in token)}
-        self.a_bytes = [known.get(i, b"") for i in range(max(known) + 1)]
+        self.fast = byte_pairs(known, bpe.Merges(spec))
+        a_bytes = [known.get(i, b"") for i in range(max(known) + 1)]
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=paths[1])
-        self.b_bytes = [
+        b_bytes = [
             bytes([int(piece[3:5], 16)]) if self.pieces.is_byte(i) else piece.replace(SPACE, " ").encode()
             for i, piece in enumerate(map(self.pieces.id_to_piece, range(self.pieces.get_piece_size())))
         ]
-        self.unit = Bounded(self._unit, UNITS_KEPT)
-
-    def tokens(self, rest: str) -> tuple[list[int], list[int], list[int], list[int]] | None:
-        """Ids of both and where they end in the unit's bytes; none if either does not give the text."""
-        text = f" {rest}".encode()
-        a, b = self.library.ids(f" {rest}"), self.pieces.encode(rest)
-        a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_parts) != text or b"".join(b_parts) != text:
-            return None
-        return a, np.cumsum([len(p) for p in a_parts]).tolist(), b, np.cumsum([len(p) for p in b_parts]).tolist()
-
-    def _unit(self, rest: str) -> tuple[int, int, int, bytes, bytes] | None:
-        found = self.tokens(rest)
-        if found is None:
-            return None
-        a, a_ends, b, b_ends = found
-        if len(a) == len(b) == 1:
-            return 1, 1, 1, group_text(a, b), np.array(group_pairs(a, b), dtype=np.uint64).tobytes()
-        groups, pairs, i, j, from_a, from_b = [], [], 0, 0, 0, 0
-        while i < len(a):
-            if a_ends[i] == b_ends[j]:
-                i, j = i + 1, j + 1
-                groups.append(group_text(a[from_a:i], b[from_b:j]))
-                pairs += group_pairs(a[from_a:i], b[from_b:j])
-                from_a, from_b = i, j
-            elif a_ends[i] < b_ends[j]:
-                i += 1
-            else:
-                j += 1
-        return len(a), len(b), len(groups), b";".join(groups), np.array(pairs, dtype=np.uint64).tobytes()
+        self.bytes = a_bytes, b_bytes
+        self.sizes = [len(x) for x in a_bytes], [len(x) for x in b_bytes]
+        self.names = [str(i) for i in range(len(a_bytes))], [str(i) for i in range(len(b_bytes))]
+        self.memo: dict[str, tuple[int, int, int, bytes, bytes] | None] = {}
+
+    def tokens(self, units: list[str]) -> Iterator[tuple[list[int], list[int]] | None]:
+        """Ids of both for each unit; none if either does not give the unit back."""
+        a_of, b_of = (part.__getitem__ for part in self.bytes)
+        for unit, b in zip(units, self.pieces.encode(units, num_threads=1)):
+            text = " " + unit
+            a = self.fast.encode_ordinary(text) if self.fast is not None and bpe.KNOWN.match(text) else self.library.ids(text)
+            data = text.encode()
+            yield (a, b) if b"".join(map(b_of, b)) == data and b"".join(map(a_of, a)) == data else None
+
+    def ends(self, ids: list[int], side: int) -> Iterator[int]:
+        return accumulate(map(self.sizes[side].__getitem__, ids))
+
+    def _aligned(self, a: list[int], b: list[int]) -> tuple[int, int, int, bytes, bytes]:
+        of_a, of_b = self.sizes
+        name_a, name_b = self.names
+        groups, pairs, n_groups = [], [], 0
+        rest = iter(b)
+        lead, left, right = 0, [], []  # how far A is ahead of B, and the tokens of the open group
+        for x in a:
+            left.append(x)
+            lead += of_a[x]
+            while lead > 0:
+                y = next(rest)
+                right.append(y)
+                lead -= of_b[y]
+            if not lead:
+                groups.append(f"{name_a[left[0]] if len(left) == 1 else ','.join([name_a[i] for i in left])}|{name_b[right[0]] if len(right) == 1 else ','.join([name_b[i] for i in right])}")
+                pairs += [i << 32 | j for i in left for j in right]
+                n_groups += 1
+                left, right = [], []
+        return len(a), len(b), n_groups, ";".join(groups).encode(), array("Q", pairs).tobytes()
 
     def text(self, text: str) -> tuple[int, int, int, bytes, np.ndarray] | None:
         """Of a whole text: tokens of both, groups and their text, pairs with repeats."""
         if not text:
             return None
-        first, *rest = CUT.split(f" {text}")
-        found = [self.unit[u] if len(u) <= LONGEST_KEPT else self._unit(u) for u in (first[1:], *rest)]
-        if None in found:
+        units = CUT.split(f" {text}")
+        units[0] = units[0][1:]
+        memo, distinct = self.memo, set(units)
+        missing = [u for u in distinct if u not in memo]
+        if missing and len(memo) > UNITS_KEPT:
+            memo.clear()
+            missing = list(distinct)
+        if missing:
+            for unit, found in zip(missing, self.tokens(missing)):
+                memo[unit] = found and self._aligned(*found)
+        rows = list(map(memo.__getitem__, units))
+        if None in rows:
             return None
-        n_a, n_b, n_groups, groups, pairs = zip(*found)
+        n_a, n_b, n_groups, groups, pairs = zip(*rows)
         return sum(n_a), sum(n_b), sum(n_groups), b";".join(groups), np.frombuffer(b"".join(pairs), dtype=np.uint64)
 
     def range(self, text: str, skip: int, keep: int) -> Fragment | None:
         """The fragment of a range of a text: of the tokens that end after ``skip`` bytes and up to ``keep``."""
         a, a_ends, b, b_ends, at = [], [], [], [], 0
         first, *rest = CUT.split(text)
-        for unit in (first[1:], *rest):
-            found = self.tokens(unit)
+        units = [first[1:], *rest]
+        for unit, found in zip(units, self.tokens(units)):
             if found is None:
                 return None
-            for ids, ends, part, to in ((found[0], found[1], a, a_ends), (found[2], found[3], b, b_ends)):
-                chosen = [(i, at + end) for i, end in zip(ids, ends) if skip < at + end <= keep]
+            for side, (part, to) in enumerate(((a, a_ends), (b, b_ends))):
+                chosen = [(i, at + end) for i, end in zip(found[side], self.ends(found[side], side)) if skip < at + end <= keep]
                 part += [i for i, _ in chosen]
                 to += [end for _, end in chosen]
             at += 1 + len(unit.encode())
