@@ -62,11 +62,6 @@ def trusted_ids(labels: DataFrame, most: int = MOST_TRUSTED) -> DataFrame:
     return chosen.select(F.col("doc_id").alias("of_id"), _half(F.col("doc_id")).alias("half"))
 
 
-def _constant(numbers: list[int]) -> Column:
-    """One number per bucket, as a constant of the plan: a subquery is not allowed inside a sum over an array."""
-    return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<bigint>")
-
-
 def _score(ratios: Column) -> Column:
     """The mean ratio of the row's n-grams; 0 for a row without any."""
     total = F.aggregate(_buckets(), F.lit(0).cast("long"), lambda a, b: a + F.get(ratios, b))
@@ -101,42 +96,64 @@ def _percentile(scores: DataFrame, share: float) -> float | None:
     return values[0] + (values[1] - values[0]) * (place - ranks[0])
 
 
-class Verdicts:
-    """Ratios by bucket, in units, and the threshold, fitted on a corpus and its labels.
+def gram_counts(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """Per bucket its n-grams in all documents, and in each half of the target."""
+    trusted = stored(trusted_ids(labels).coalesce(1), "trusted")  # of bounded size
+    hashed = docs.select(F.col(id_column).alias("id"), present(text_column).alias("text"))
+    marked = hashed.join(F.broadcast(trusted), F.col("id") == F.col("of_id"), "left").select("half", _hashes(F.col("text")).alias("hashes"))
+    grams = marked.select("half", F.explode(_buckets()).alias("bucket"))
+    targets = [F.count_if(F.col("half") == half).alias(f"half_{half}") for half in (0, 1)]
+    return stored(grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), *targets), "gram-counts")
+
 
-    Counts cover all documents, in one pass. Without documents or without trusted ones all ratios are 0.
+def log_ratios(counts: DataFrame) -> DataFrame:
+    """One row: an array of the log ratio of every bucket, in units, for the target and for it without each half.
+
+    It is a table, which plans refer to, as constants of its size would make each plan megabytes long.
     """
+    sums = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("raw", "half_0", "half_1")]).first()
+    whole = counts.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left").na.fill(0)
+
+    def ratio(target: Column, of_all: int) -> Column:
+        expected = F.col("raw") * F.lit(float(of_all)) / F.lit(float(max(sums["raw"], 1)))
+        return F.round(F.log((target + PRIOR) / (expected + PRIOR)) * UNIT).cast("int") if of_all else F.lit(0)
 
-    def __init__(self, docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text"):
-        trusted = stored(trusted_ids(labels).coalesce(1), "trusted")  # of bounded size
-        hashed = docs.select(F.col(id_column).alias("id"), present(text_column).alias("text"))
-        marked = hashed.join(F.broadcast(trusted), F.col("id") == F.col("of_id"), "left").select("half", _hashes(F.col("text")).alias("hashes"))
-        grams = marked.select("half", F.explode(_buckets()).alias("bucket"))
-        targets = [F.count_if(F.col("half") == half).alias(f"half_{half}") for half in (0, 1)]
-        counts = stored(grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), *targets), "gram-counts")
-        rows = counts.collect()  # a row per bucket
-        self.ratios = self._ratios(rows, lambda r: r["half_0"] + r["half_1"])
-        self.threshold = THRESHOLD
-        if any(self.ratios):
-            others = [_constant(self._ratios(rows, lambda r, half=half: r[f"half_{half}"])) for half in (1, 0)]
-            # A number a document is made before the join, so that no text is shuffled however many ids are trusted.
-            half = _half(F.col("id").cast(labels.schema["doc_id"].dataType))  # as in the target, whose ids are those of the labels
-            known = hashed.where("id is not null").select("id", half.alias("half"), _hashes(F.col("text")).alias("hashes"))
-            long = known.where(F.size("hashes") >= LEAST_WORDS)
-            scored = long.select("id", F.when(F.col("half") == 0, _score(others[0])).otherwise(_score(others[1])).alias("score"))
-            left_out = scored.join(all_trusted(labels).withColumnRenamed("doc_id", "of_id"), F.col("id") == F.col("of_id")).select("score")
-            least = _percentile(stored(left_out, "left-out"), LEAST_SHARE)
-            if least is not None:
-                self.threshold = max(FLOOR, min(THRESHOLD, least - MARGIN))
-
-    @staticmethod
-    def _ratios(rows: list, target) -> list[int]:
-        ratios = [0] * BUCKETS
-        all_raw, all_target = sum(r["raw"] for r in rows), sum(map(target, rows))
-        for r in rows if all_target else []:
-            expected = r["raw"] * all_target / all_raw
-            ratios[r["bucket"]] = round(math.log((target(r) + PRIOR) / (expected + PRIOR)) * UNIT)
-        return ratios
+    all_of = {"both": ("half_0", "half_1"), "without_0": ("half_1",), "without_1": ("half_0",)}
+    columns = [ratio(sum(map(F.col, names[1:]), F.col(names[0])), sum(sums[n] for n in names)).alias(name) for name, names in all_of.items()]
+    placed = F.array_sort(F.collect_list(F.struct("bucket", *columns)))
+    held = whole.agg(placed.alias("rows"))
+    return stored(held.select(*[F.col(f"rows.{name}").alias(name) for name in all_of]).coalesce(1), "ratios")
+
+
+def scored(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep_text: bool = True) -> DataFrame:
+    """Every row (in ``row``) with its counts, its score, and its score without its half of the target; stored.
+
+    Texts are read twice, once for the counts of the corpus and once here.
+    """
+    ratios = log_ratios(gram_counts(docs, labels, id_column, text_column))
+    ruled = with_rules(docs.drop(*RULES), id_column, text_column)
+    ruled = ruled.select("*", *[ratios.select(name).scalar().alias(f"ratios_{name}") for name in ratios.columns])
+    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    half = _half(F.col(f"row.`{id_column}`").cast(labels.schema["doc_id"].dataType))  # as in the target, whose ids are those of the labels
+    others = [F.when(half == n, _score(F.col(f"ratios_without_{n}"))) for n in (0, 1)]
+    row = F.col("row") if keep_text else F.col("row").dropFields(text_column)
+    numbers = [c for c in RULES if c not in ("base_failed", "score", "kept")]
+    return stored(
+        ruled.select(
+            row.alias("row"), F.col(f"row.`{id_column}`").alias("of_id"), *numbers, failed.alias("base_failed"),
+            _score(F.col("ratios_both")).alias("score"), F.coalesce(*others).alias("left_out"),
+        ),
+        "scored",
+    )
+
+
+def threshold_of(scores: DataFrame, labels: DataFrame) -> float:
+    """The threshold, fitted to what all trusted documents score without their half of the target."""
+    known = scores.where(F.col("n_words") >= LEAST_WORDS).select("of_id", F.col("left_out").alias("score"))
+    trusted = all_trusted(labels).withColumnRenamed("doc_id", "trusted")
+    left_out = known.join(trusted, F.col("of_id") == F.col("trusted")).select("score")
+    least = _percentile(stored(left_out, "left-out"), LEAST_SHARE)
+    return THRESHOLD if least is None else max(FLOOR, min(THRESHOLD, least - MARGIN))
 
 
 def _near(array: str, i: Column, of, value: Column) -> Column:
@@ -192,21 +209,13 @@ def with_rules(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
 RULES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
 
 
-def judge(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Every row with its counts, ``base_failed``, ``score`` and ``kept``.
+def judge(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep_text: bool = True) -> DataFrame:
+    """Every row with its counts, ``base_failed``, ``score`` and ``kept``; without its text if ``keep_text`` is off.
 
     A null or empty text has no words: it fails the base rules, and its score is 0. Without documents or
     without trusted ones all ratios are 0 and the base rules alone decide. Repeated rows and null ids
     are judged by their own text; columns named as those added here are replaced by them.
     """
-    fitted = Verdicts(docs, labels, id_column, text_column)
-    ruled = with_rules(docs.drop(*RULES), id_column, text_column)
-    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    scored = ruled.select("*", failed.alias("base_failed"), _score(_constant(fitted.ratios)).alias("score"))
-    # Always true, but not a constant to the optimiser: a filter on the verdict then stays above the array
-    # functions. Pushed below them it would repeat them once for every use of each, over and over.
-    stays = F.monotonically_increasing_id() >= 0
-    return scored.select(
-        "row.*", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score",
-        (~F.col("base_failed") & (F.col("score") >= fitted.threshold) & stays).alias("kept"),
-    )
+    scores = scored(docs, labels, id_column, text_column, keep_text)
+    kept = ~F.col("base_failed") & (F.col("score") >= threshold_of(scores, labels))
+    return scores.select("row.*", *RULES[:-1], kept.alias("kept"))

@@ -139,7 +139,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_quality")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality.judge(docs, table(spark, sf_dir, "labels")).drop("text")
+    return quality.judge(docs, table(spark, sf_dir, "labels"), keep_text=False)
 
 
 @query(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import math
 import random
 import re
 
@@ -223,8 +224,7 @@ def test_the_threshold_follows_trusted_documents_left_out(spark):
     rows += [(1000 + i, " ".join(w + "!!" for w in rng.choices(languages[0], k=80))) for i in range(80)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, 1, 0) for i in range(400) if i % 2 == 0 and i < 80 or i % 8 == 1], "doc_id long, quality int, toxic int")
-    fitted = quality.Verdicts(docs, labels)
-    assert quality.FLOOR <= fitted.threshold <= quality.THRESHOLD
+    assert quality.FLOOR <= quality.threshold_of(quality.scored(docs, labels), labels) <= quality.THRESHOLD
     kept = {r["doc_id"] for r in quality.judge(docs, labels).where("kept").collect()}
     assert kept == set(range(400))
 
@@ -237,7 +237,38 @@ def test_the_threshold_covers_all_trusted_documents(spark):
     rows += [(5000 + n, " ".join(f"b{rng.randrange(50)}" for _ in range(55))) for n in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, 1, 0) for i in ids], "doc_id long, quality int, toxic int")
-    assert quality.Verdicts(docs, labels).threshold == quality.FLOOR
+    assert quality.threshold_of(quality.scored(docs, labels), labels) == quality.FLOOR
+
+
+def test_scores_are_log_likelihood_ratios(spark):
+    """Every score, with and without the document's half of the target, by plain Python over the same buckets."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    words = [(r["doc_id"], WORD.findall(r["text"] or "")) for r in docs.collect()]
+    grams = spark.createDataFrame([(i, n, w, nxt) for i, ws in words for n, (w, nxt) in enumerate(zip(ws, [*ws[1:], None]))], "i long, n int, w string, x string")
+    of = F.xxhash64("w"), F.xxhash64(F.xxhash64("w"), F.xxhash64("x"))
+    held = collections.defaultdict(list)
+    for r in grams.select("i", *[h.bitwiseAND(F.lit(quality.BUCKETS - 1)) for h in of], F.col("x").isNotNull().alias("pair")).collect():
+        held[r[0]] += [r[1], r[2]] if r["pair"] else [r[1]]
+    halves = {r["of_id"]: r["half"] for r in quality.trusted_ids(labels).collect()}
+    half_of = {r[0]: r[1] for r in docs.select("doc_id", quality._half(F.col("doc_id"))).collect()}
+    raw, targets = collections.Counter(), [collections.Counter(), collections.Counter()]
+    for i, buckets in held.items():
+        raw.update(buckets)
+        if i in halves:
+            targets[halves[i]].update(buckets)
+
+    def score(buckets, parts):
+        target = sum(parts, collections.Counter())
+        share = target.total() / raw.total()
+        logs = [round(math.log((target[b] + quality.PRIOR) / (raw[b] * share + quality.PRIOR)) * quality.UNIT) for b in buckets]
+        return sum(logs) / max(len(buckets), 1) / quality.UNIT
+
+    rows = quality.scored(docs, labels).select("of_id", "score", "left_out").collect()
+    assert len(rows) == len(words) and targets[0] and targets[1]
+    for i, whole, left_out in rows:
+        assert whole == pytest.approx(score(held[i], targets), abs=1e-5)
+        assert left_out == pytest.approx(score(held[i], [targets[1 - half_of[i]]]), abs=1e-5)
 
 
 def test_the_percentile_is_exact(spark):
