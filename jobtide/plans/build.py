@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +16,11 @@ from pyspark.sql import functions as F
 from jobtide import fixed
 from jobtide.plans import marts, responses, suites
 from jobtide.plans.normalize import normalize
-from jobtide.plans.staging import ORDERED, refreshed_staging, staging
+from jobtide.plans.staging import StoredStaging
+from jobtide.sources import versions
 from jobtide.sources.marts import Marts, read_folder, write_mart
 from jobtide.schemas import FAILURES, RAW, RUNS
-from jobtide.sources.raw import Landing, as_raw, read_raw, read_runs, stored_or_none
+from jobtide.sources.raw import Landing, as_raw, landings, read_raw, read_runs
 from jobtide.sources.seeds import read_rates
 from jobtide.sources.workdir import written
 
@@ -34,6 +37,17 @@ MODELS = {
 RUNS_NAMED = 100
 
 
+#: What each model is made from.
+DEPENDS = {
+    **{f"stg_{source}_jobs": (f"raw_{source}_jobs",) for source in fixed.SOURCES},
+    "int_jobs_normalized": (*MODELS["staging"], "exchange_rates"),
+    "mart_skills": ("int_jobs_normalized",),
+    "mart_salary_ranges": ("int_jobs_normalized",),
+    "mart_companies": ("int_jobs_normalized",),
+    "mart_jobs_over_time": ("int_jobs_normalized", "mart_skills"),
+}
+
+
 class RunError(RuntimeError):
     """Raised when runs were there to land and every one of them failed."""
 
@@ -123,14 +137,19 @@ def land(
     return runs
 
 
+def _digest(*parts: object) -> str:
+    return hashlib.sha256(repr(parts).encode()).hexdigest()
+
+
 @dataclass
 class Build:
     """The layers over one landing table. Staging and unified postings are views, marts are tables.
 
-    The staging views read rows stored beside the marts, brought up to date from the payloads appended
-    since whenever a build or check finds them behind, so that no payload is parsed twice. The unified
-    postings are stored for the length of a build, as every mart reads them. ``work`` is a folder that
-    all executors share; without one it is that of ``spark.checkpoint.dir``.
+    Every model names what it is made from (:data:`DEPENDS`), and its fingerprint follows from those of
+    its inputs: the landings committed, and the rates. Stored staging rows and marts carry the fingerprint they
+    were made at, and are left alone where it still holds. The unified postings are stored for the
+    length of a build, if a mart is to be made from them. ``work`` is a folder that all executors share; without
+    one it is that of ``spark.checkpoint.dir``.
     """
 
     spark: SparkSession
@@ -139,7 +158,9 @@ class Build:
     rates: DataFrame | None = None
     lenient: bool = False
     work: str | None = None
-    _staged: dict[str, tuple[int, DataFrame]] = field(default_factory=dict, repr=False)
+    #: The marts that the last run wrote.
+    written: list[str] = field(default_factory=list)
+    _staged: dict[str, tuple[str, DataFrame]] = field(default_factory=dict, repr=False)
 
     def table(self, name: str) -> DataFrame:
         """Any table of the build by name."""
@@ -148,29 +169,33 @@ class Build:
         if name == "exchange_rates":
             return self._rates()
         if name in MODELS["staging"]:
-            return self._stage(name.split("_")[1])
+            return self._stage(name)
         if name == "int_jobs_normalized":
             return normalize(*[self.table(stage) for stage in MODELS["staging"]], self._rates())
         if name in MODELS["marts"]:
-            return self.spark.read.parquet(f"{self.mart_folder}/{name}")
+            return versions.read(self.spark, f"{self.mart_folder}/{name}")
         raise ValueError(f"Unknown table {name!r}")
 
-    def _stage(self, source: str) -> DataFrame:
-        """Stored staging rows up to the newest payload, in a folder for every newest payload so far."""
-        raw = read_raw(self.spark, self.raw_path, source)
-        newest = raw.agg(F.max("raw_id")).first()[0] or 0
-        if self._staged.get(source, (None,))[0] != newest:
-            folder = f"{self.mart_folder}/_staging/{source}{'-lenient' if self.lenient else ''}"
-            kept = stored_or_none(lambda: self.spark.read.parquet(folder))
-            upto = 0 if kept is None else kept.agg(F.max("upto")).first()[0] or 0
-            if kept is None or upto < newest:
-                if upto:
-                    rows = refreshed_staging(kept.where(F.col("upto") == upto).drop("upto"), raw, source, self.lenient)
-                else:
-                    rows = staging(raw, source, self.lenient, ordered=True)
-                rows.write.mode("overwrite").parquet(f"{folder}/upto={newest}")
-                kept = self.spark.read.parquet(folder)
-            self._staged[source] = newest, kept.where(F.col("upto") == newest).drop("upto", *ORDERED)
+    def fingerprints(self) -> dict[str, str]:
+        """What each model follows from, inputs first."""
+        rows = self._rates()
+        hashed = rows.agg(F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)")), F.count("*")).first()
+        known = {"exchange_rates": _digest(*hashed)}
+        for source in fixed.SOURCES:
+            known[f"raw_{source}_jobs"] = _digest(landings(self.spark, self.raw_path, source))
+        for name in TopologicalSorter(DEPENDS).static_order():
+            if name in DEPENDS:
+                known[name] = _digest(name, self.lenient, [known[i] for i in DEPENDS[name]])
+        return known
+
+    def _stage(self, name: str) -> DataFrame:
+        """Stored staging rows, brought up to date where landings were committed since."""
+        source = name.split("_")[1]
+        fingerprint = _digest(name, self.lenient, landings(self.spark, self.raw_path, source))
+        if self._staged.get(source, (None,))[0] != fingerprint:
+            path = f"{self.mart_folder}/staging/{name}{'-lenient' if self.lenient else ''}"
+            stored = StoredStaging(read_raw(self.spark, self.raw_path, source), path, source, self.lenient)
+            self._staged[source] = fingerprint, stored.rows(stored.refresh(fingerprint))
         return self._staged[source][1]
 
     def _rates(self) -> DataFrame:
@@ -178,37 +203,47 @@ class Build:
             self.rates = read_rates(self.spark)
         return self.rates
 
-    def run(self, select: Sequence[str] | None = None) -> list[str]:
-        """Build the chosen layers or models, all by default, and return the models built."""
+    def run(self, select: Sequence[str] | None = None, full_refresh: bool = False) -> list[str]:
+        """Bring the chosen layers or models up to date, all by default, and return their names.
+
+        A mart whose inputs did not change is not written again, unless a full refresh is asked for;
+        ``written`` names those that were.
+        """
         chosen = list(MODELS) if select is None else list(select)
         wanted = [name for item in chosen for name in MODELS.get(item, (item,))]
         every = [name for names in MODELS.values() for name in names]
         unknown = [name for name in wanted if name not in every]
         if unknown:
             raise ValueError(f"Unknown layer(s) or model(s) {unknown}; expected {list(MODELS)} or {every}")
-        models = [name for name in every if name in wanted]
+        models = [name for name in TopologicalSorter(DEPENDS).static_order() if name in wanted]
         for name in models:
             if name not in MODELS["marts"]:
                 self.table(name).createOrReplaceTempView(name)
-        todo = [name for name in models if name in MODELS["marts"]]
-        if todo:
-            self._marts(todo)
+        known = self.fingerprints()
+        self.written = [name for name in models if name in MODELS["marts"] and (full_refresh or self._stored(name) != known[name])]
+        if self.written:
+            self._marts(self.written, known)
         return models
 
-    def _marts(self, names: Sequence[str]) -> None:
+    def _stored(self, name: str) -> str | None:
+        """The fingerprint a mart was made at."""
+        version = versions.current(self.spark, f"{self.mart_folder}/{name}")
+        return version and version.fingerprint
+
+    def _marts(self, names: Sequence[str], known: Mapping[str, str]) -> None:
         jobs = written(self.table("int_jobs_normalized"), "int_jobs_normalized", work=self.work)
         models = {
             "mart_skills": lambda: marts.mart_skills(jobs),
             "mart_salary_ranges": lambda: marts.mart_salary_ranges(jobs),
             "mart_companies": lambda: marts.mart_companies(jobs),
-            "mart_jobs_over_time": lambda: marts.mart_jobs_over_time(jobs, self._skills(jobs, names)),
+            "mart_jobs_over_time": lambda: marts.mart_jobs_over_time(jobs, self._skills(jobs, known)),
         }
         for name in names:
-            write_mart(name, models[name](), folder=self.mart_folder)
+            write_mart(name, models[name](), folder=self.mart_folder, fingerprint=known[name])
 
-    def _skills(self, jobs: DataFrame, names: Sequence[str]) -> DataFrame:
-        """The skills mart just written, or its rows where it is not part of this build."""
-        return self.table("mart_skills") if "mart_skills" in names else marts.mart_skills(jobs)
+    def _skills(self, jobs: DataFrame, known: Mapping[str, str]) -> DataFrame:
+        """The skills mart where it is up to date, or its rows where it is not part of this build."""
+        return self.table("mart_skills") if self._stored("mart_skills") == known["mart_skills"] else marts.mart_skills(jobs)
 
     def check(
         self, now: dt.datetime | None = None, checks: Sequence[suites.Check] = suites.CHECKS

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,7 @@ from jobtide.functions.text import flag, null_if
 from jobtide.functions.time import convert, utc_from_naive
 from jobtide.operators.dedup import latest_by_key
 from jobtide.schemas import ADZUNA_JOB, AMOUNT, REMOTEOK_JOB, REMOTIVE_JOB
+from jobtide.sources import versions
 
 AMOUNT_TYPE = AMOUNT.simpleString()
 PAYLOAD = "jobs array<string>, country string"
@@ -117,11 +119,62 @@ def staging(raw: DataFrame, source: str, lenient: bool = False, ordered: bool =
     return newest if ordered else newest.drop(*ORDERED)
 
 
-def refreshed_staging(previous: DataFrame, raw: DataFrame, source: str, lenient: bool = False) -> DataFrame:
-    """The same rows, ordered, from stored ordered staging rows and the payloads appended since.
+#: Buckets of stored staging rows by posting, and parts of a bucket on one level that are merged into the next.
+BUCKETS, MERGED = 32, 4
 
-    Raw ids grow, so older payloads need no second parse: the newest of the newest is the newest.
+
+def bucket_of(job_id: Column) -> Column:
+    return F.pmod(F.xxhash64(job_id), F.lit(BUCKETS)).cast("int")
+
+
+class StoredStaging:
+    """The newest version of each posting of one source, stored in parts that are merged on reading.
+
+    Payloads appended since are parsed alone (raw ids grow) and become a part of each bucket that they touch;
+    no other is written. A bucket with :data:`MERGED` parts on one level has them merged into one of the next
+    level, so that a posting is rewritten once a level and a bucket is read from few parts. Rows of one part
+    need no merging.
     """
-    seen = previous.agg(F.max("raw_id")).first()[0] or 0
-    new = parse_jobs(raw.where(F.col("raw_id") > seen), source, lenient)
-    return latest_by_key(previous.unionByName(new), ["job_id"], NEWEST)
+
+    def __init__(self, raw: DataFrame, path: str, source: str, lenient: bool = False):
+        self.spark, self.raw, self.path, self.source, self.lenient = raw.sparkSession, raw, path, source, lenient
+        self.schema = parse_jobs(raw, source, lenient).schema
+
+    def refresh(self, fingerprint: str) -> versions.Version:
+        """Bring the stored rows up to the payloads there are; nothing is written if the fingerprint is that stored."""
+        last = versions.current(self.spark, self.path)
+        if last is not None and last.fingerprint == fingerprint:
+            return last
+        seen, parts = (last.upto, list(last.parts)) if last else (0, [])
+        upto = self.raw.agg(F.max("raw_id")).first()[0] or 0
+        new = parse_jobs(self.raw.where((F.col("raw_id") > seen) & (F.col("raw_id") <= upto)), self.source, self.lenient)
+        parts += self._write(latest_by_key(new, ["job_id"], NEWEST), 0)
+        level = 0
+        while any(p.level >= level for p in parts):
+            on_level: dict[int, list[versions.Part]] = {}
+            for p in parts:
+                if p.level == level:
+                    on_level.setdefault(p.bucket, []).append(p)
+            full = [p for of_bucket in on_level.values() if len(of_bucket) >= MERGED for p in of_bucket]
+            if full:
+                parts = [p for p in parts if p not in full] + self._write(self._merged(full), level + 1)
+            level += 1
+        return versions.publish(self.spark, self.path, parts, fingerprint, upto)
+
+    def _write(self, rows: DataFrame, level: int) -> list[versions.Part]:
+        folder = versions.new_folder()
+        rows.withColumn("bucket", bucket_of(F.col("job_id"))).repartition("bucket").write.partitionBy("bucket").parquet(f"{self.path}/{folder}")
+        written = self.spark.read.schema("bucket int").parquet(f"{self.path}/{folder}").select("bucket").distinct().collect()
+        return [versions.Part(folder, r["bucket"], level) for r in written]
+
+    def _merged(self, parts: list[versions.Part]) -> DataFrame:
+        return latest_by_key(versions.read_buckets(self.spark, self.path, parts, self.schema).drop("bucket"), ["job_id"], NEWEST)
+
+    def rows(self, version: versions.Version) -> DataFrame:
+        """The staging view, as of a version."""
+        several = {b for b, n in Counter(p.bucket for p in version.parts).items() if n > 1}
+        alone = [p for p in version.parts if p.bucket not in several]
+        out = versions.read_buckets(self.spark, self.path, alone, self.schema).drop("bucket")
+        if several:
+            out = out.unionByName(self._merged([p for p in version.parts if p.bucket in several]))
+        return out.drop(*ORDERED)

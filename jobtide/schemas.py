@@ -44,6 +44,7 @@ COMMITS = T.StructType(
         T.StructField("last_raw_id", T.LongType()),
         T.StructField("runs", T.LongType()),
         T.StructField("payloads", T.LongType()),
+        T.StructField("sources", T.ArrayType(T.StringType())),
     ]
 )
 

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from jobtide.functions.time import csv_timestamp
 from jobtide.schemas import MART_TABLES, MART_TYPES
+from jobtide.sources import versions
 
 SAMPLE_DIR = Path(__file__).parent.parent / "data" / "sample_marts"
 DEFAULT_SCHEMA = "analytics"
@@ -65,8 +66,8 @@ def read_tables(spark: SparkSession, schema: str | None = None) -> Marts:
 
 
 def read_folder(spark: SparkSession, folder: str) -> Marts:
-    """The four marts written as Parquet under a folder."""
-    return bundle({name: spark.read.parquet(f"{folder}/{name}") for name in MART_TABLES})
+    """The four marts as last written under a folder."""
+    return bundle({name: versions.read(spark, f"{folder}/{name}") for name in MART_TABLES})
 
 
 def read_csv(spark: SparkSession, folder: str) -> Marts:
@@ -103,22 +104,40 @@ def load(
         return replace(sample(spark), demo_reason=f"could not read the marts ({type(error).__name__})")
 
 
-def write_mart(name: str, df: DataFrame, *, folder: str | None = None, schema: str | None = None) -> DataFrame:
-    """Replace a mart and return the stored table."""
+def write_mart(
+    name: str, df: DataFrame, *, folder: str | None = None, schema: str | None = None, fingerprint: str = ""
+) -> DataFrame:
+    """Replace a mart and return the stored table.
+
+    The new rows are written beside those being served, which readers leave by one step: in a folder by the
+    pointer to its version, in a catalog by the view that has the mart's name.
+    """
     known_mart(name)
     if (folder is None) == (schema is None):
         raise ValueError("give exactly one of folder and schema")
     typed = coerce(name, df)
     spark = df.sparkSession
     if folder is not None:
-        path = f"{folder}/{name}"
-        typed.write.mode("overwrite").parquet(path)
-        return spark.read.schema(typed.schema).parquet(path)
+        return versions.replace(typed, f"{folder}/{name}", fingerprint)
     spark.sql(f"create schema if not exists `{schema}`")
-    typed.write.mode("overwrite").format("parquet").saveAsTable(f"`{schema}`.{name}")
+    stored = f"{name}__{versions.new_folder()}"
+    typed.write.format("parquet").saveAsTable(f"`{schema}`.{stored}")
+    before = [r["tableName"] for r in spark.sql(f"show tables in `{schema}`").collect() if r["tableName"].startswith(f"{name}__") and r["tableName"] != stored]
+    served = _served(spark, schema, name)
+    spark.sql(f"create or replace view `{schema}`.{name} tblproperties ('stored' = '{stored}') as select * from `{schema}`.{stored}")
+    for old in before:
+        if old != served:  # the version before stays for those still reading it
+            spark.sql(f"drop table `{schema}`.{old}")
     return spark.table(f"`{schema}`.{name}")
 
 
+def _served(spark: SparkSession, schema: str, name: str) -> str | None:
+    """The table that the view of a mart shows."""
+    if not spark.catalog.tableExists(f"`{schema}`.{name}"):
+        return None
+    return next((r["value"] for r in spark.sql(f"show tblproperties `{schema}`.{name}").collect() if r["key"] == "stored"), None)
+
+
 def csv_rows(name: str, df: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
     """A mart in its CSV order with timestamps as UTC text."""
     keys = [

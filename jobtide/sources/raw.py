@@ -50,6 +50,14 @@ def last_raw_id(spark: SparkSession, path: str) -> int:
     return 0 if commits is None else commits.agg(F.max("last_raw_id")).first()[0] or 0
 
 
+def landings(spark: SparkSession, path: str, source: str) -> list[str]:
+    """The committed landings that brought payloads of a source: what its rows follow from."""
+    commits = read_commits(spark, path)
+    if commits is None:
+        return []
+    return sorted(r["landing"] for r in commits.where(F.array_contains("sources", source)).select("landing").distinct().collect())
+
+
 def _committed(spark: SparkSession, folder: str, path: str, schema: T.StructType) -> DataFrame:
     """The rows of committed landings. Their names are constants of the plan, so that other folders are not listed."""
     rows = spark.read.schema(T.StructType([*schema.fields, LANDING])).parquet(folder)
@@ -97,8 +105,8 @@ class Landing:
 
     def commit(self, payloads: DataFrame, runs: int = 0, at: dt.datetime | None = None) -> None:
         """Make all that was written visible, by one row in one file."""
-        written = payloads.agg(F.count("*").alias("n"), F.max("raw_id").alias("last")).first()
-        row = (self.name, at or dt.datetime.now(dt.UTC), written["last"] or self.base, runs, written["n"])
+        written = payloads.agg(F.count("*").alias("n"), F.max("raw_id").alias("last"), F.collect_set("source").alias("sources")).first()
+        row = (self.name, at or dt.datetime.now(dt.UTC), written["last"] or self.base, runs, written["n"], sorted(written["sources"]))
         self.spark.createDataFrame([row], COMMITS).coalesce(1).write.mode("append").parquet(f"{self.path}.commits")
 
 

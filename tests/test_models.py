@@ -9,7 +9,7 @@ import statistics
 from decimal import Decimal
 
 import pytest
-from conftest import category_job, paged_job, tag_job
+from conftest import category_job, paged_job, response, tag_job
 from pyspark.sql import functions as F
 
 from jobtide import fixed
@@ -17,10 +17,12 @@ from jobtide.operators.dedup import first_seen, latest_by_key
 from jobtide.operators.grains import Grain, approx_grain_stats, multi_grain_stats, spread_counts, value_bucket
 from jobtide.operators.joins import dimension
 from jobtide.operators.labels import explode_labels
-from jobtide.plans.build import Build, full_run
+from jobtide.plans.build import MODELS, Build, full_run, land
 from jobtide.plans.marts import mart_companies, mart_jobs_over_time, mart_salary_ranges, mart_skills
 from jobtide.plans.normalize import normalize
-from jobtide.plans.staging import refreshed_staging, staging
+from jobtide.plans.staging import StoredStaging, staging
+from jobtide.sources import versions
+from jobtide.sources.marts import write_mart
 from jobtide.schemas import RAW
 from jobtide.sources.raw import with_counts
 from jobtide.sources.seeds import read_rates
@@ -34,7 +36,7 @@ def raw(spark):
         rows = []
         for i, payload in enumerate(payloads):
             text = payload if isinstance(payload, str) or payload is None else json.dumps(payload)
-            rows.append((start + i, DAY + dt.timedelta(days=i), str(start + i), 0, text, source))
+            rows.append((start + i, DAY + dt.timedelta(days=i), str(start + i), 0, text, None, source))
         return spark.createDataFrame(rows, RAW)
 
     return build
@@ -54,15 +56,41 @@ def test_staging_keeps_the_newest_version(raw):
     assert rows["2"]["raw_id"] == 1
 
 
-def test_refreshing_equals_staging_everything(raw):
-    first = [jobs(category_job(1, title="old"), category_job(2)), jobs(category_job(3))]
-    later = [jobs(category_job(1, title="new"), category_job(None)), {"jobs": []}, jobs(category_job(4))]
-    frame = raw("remotive", *first, *later)
-    stored = staging(frame.where("raw_id <= 2"), "remotive", ordered=True)
-    refreshed, whole = refreshed_staging(stored, frame, "remotive"), staging(frame, "remotive", ordered=True)
-    assert refreshed.count() == whole.count() == 5
-    assert sorted(map(str, refreshed.collect())) == sorted(map(str, whole.collect()))
-    assert refreshed_staging(stored.limit(0), frame, "remotive").count() == 5
+def stored_parts(spark, path):
+    return sorted((p.bucket, p.level) for p in versions.current(spark, path).parts)
+
+
+def test_stored_staging_equals_staging_everything(spark, raw, tmp_path, monkeypatch):
+    monkeypatch.setattr("jobtide.plans.staging.MERGED", 3)
+    goes = [
+        [jobs(*[category_job(n, title=f"first {n}") for n in range(200)]), jobs(category_job(3))],
+        [jobs(category_job(1, title="new"), category_job(None)), {"jobs": []}],
+        [jobs(category_job(1, title="newer"), category_job(4))],
+        [jobs(category_job(1, title="newest"))],
+        [{"jobs": []}],
+    ]
+    frame, path, upto = raw("remotive", *[p for go in goes for p in go]), str(tmp_path / "stg"), 0
+    for number, go in enumerate(goes):
+        upto += len(go)
+        landed = frame.where(F.col("raw_id") <= upto)
+        stored = StoredStaging(landed, path, "remotive")
+        before = versions.current(spark, path)
+        version = stored.refresh(f"after {number}")
+        got, whole = stored.rows(version), staging(landed, "remotive")
+        assert got.columns == whole.columns and got.exceptAll(whole).isEmpty() and whole.exceptAll(got).isEmpty()
+        if before:
+            kept, touched = set(before.parts) & set(version.parts), {p.bucket for p in set(version.parts) - set(before.parts)}
+            assert len(touched) <= 2 and {p.bucket for p in set(before.parts) - kept} <= touched
+        assert stored.refresh(f"after {number}") == version
+    levels = {level for _, level in stored_parts(spark, path)}
+    assert levels == {0, 1} and len(stored_parts(spark, path)) < 40
+    folders = {f.name for f in (tmp_path / "stg").iterdir()}
+    assert {p.folder for v in versions.versions(spark, path) for p in v.parts} == folders
+
+
+def test_stored_staging_of_nothing(spark, raw, tmp_path):
+    stored = StoredStaging(raw("remotive", {"jobs": []}), str(tmp_path / "stg"), "remotive")
+    assert stored.rows(stored.refresh("none")).count() == 0
 
 
 def test_newest_ties_go_to_the_higher_raw_id_then_the_later_place(spark, raw):
@@ -324,7 +352,53 @@ def test_a_second_run_refreshes_stored_staging(spark, three_sources, tmp_path):
     whole = staging(build.table("raw"), "remotive")
     assert staged.columns == whole.columns
     assert staged.exceptAll(whole).count() == whole.exceptAll(staged).count() == 0
-    assert spark.read.parquet(f"{marts}/_staging/remotive").select("upto").distinct().count() == 2
+    assert {level for _, level in stored_parts(spark, f"{marts}/staging/stg_remotive_jobs")} == {0}
+
+
+def test_only_what_changed_is_built_again(spark, three_sources, responses, tmp_path):
+    raw_path, marts = str(tmp_path / "raw"), str(tmp_path / "marts")
+    land(three_sources, raw_path)
+    build = Build(spark, raw_path, marts)
+    build.run()
+    assert build.written == list(MODELS["marts"])
+    files = {f: f.stat().st_mtime_ns for f in (tmp_path / "marts").rglob("*")}
+    for again in (build, Build(spark, raw_path, marts)):
+        assert len(again.run()) == 8 and again.written == []
+    assert {f: f.stat().st_mtime_ns for f in (tmp_path / "marts").rglob("*")} == files
+    assert build.run(["mart_skills"], full_refresh=True) == build.written == ["mart_skills"]
+
+    staged = {s: versions.current(spark, f"{marts}/staging/stg_{s}_jobs").version for s in fixed.SOURCES}
+    rates = build.table("exchange_rates").withColumn("usd_rate", (F.col("usd_rate") * 2).cast("decimal(18,6)"))
+    dearer = Build(spark, raw_path, marts, rates=rates)
+    dearer.run()
+    assert dearer.written == list(MODELS["marts"])
+    assert {s: versions.current(spark, f"{marts}/staging/stg_{s}_jobs").version for s in fixed.SOURCES} == staged
+
+    land(responses(response("remoteok", "2", "dev", 0, [tag_job("77")])), raw_path)
+    dearer.run(["marts"])
+    after = {s: versions.current(spark, f"{marts}/staging/stg_{s}_jobs").version for s in fixed.SOURCES}
+    assert after == {**staged, "remoteok": staged["remoteok"] + 1}
+    assert dearer.marts().skills.where("job_key = 'remoteok:77'").count() > 0
+
+
+@pytest.mark.parametrize("lost", ["write", "publish"])
+def test_a_broken_write_leaves_the_old_mart(spark, three_sources, tmp_path, monkeypatch, lost):
+    raw_path, marts = str(tmp_path / "raw"), str(tmp_path / "marts")
+    land(three_sources, raw_path)
+    build = Build(spark, raw_path, marts)
+    build.run()
+    before = sorted(map(tuple, build.marts().companies.collect()))
+    half = build.marts().companies.withColumn("job_count", F.raise_error(F.lit("lost")).cast("long"))
+    with monkeypatch.context() as patched:
+        if lost == "publish":
+            patched.setattr(versions, "publish", lambda *_, **__: (_ for _ in ()).throw(KeyboardInterrupt))
+            half = build.marts().companies.limit(1)
+        with pytest.raises((Exception, KeyboardInterrupt)):
+            write_mart("mart_companies", half, folder=marts)
+    assert sorted(map(tuple, build.marts().companies.collect())) == before
+    build.run(["mart_companies"], full_refresh=True)
+    assert sorted(map(tuple, build.marts().companies.collect())) == before
+    assert len(list((tmp_path / "marts" / "mart_companies").iterdir())) == 2
 
 
 @pytest.mark.parametrize("source", fixed.SOURCES)
