@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide import fixed
+from jobtide.functions.json import document
 from jobtide.plans.responses import FEEDS, Feed, payloads
 from jobtide.schemas import RESPONSES
 
@@ -200,4 +201,5 @@ def raw(responses: DataFrame) -> DataFrame:
         "ingested_at",
         "source",
         "payload",
+        document(F.col("payload")).alias("document"),
     )

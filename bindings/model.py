@@ -392,7 +392,7 @@ RAW_COUNTS = " UNION ALL ".join(
 
 @query("raw_counts", using("p_first", select=RAW_COUNTS))
 def raw_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(with_counts(raw_table(spark, sf_dir)).drop("payload"))
+    return plain(with_counts(raw_table(spark, sf_dir)).drop("payload", "document"))
 
 
 EXPLODED = " UNION ALL ".join(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bindings.landing import table
@@ -12,7 +12,7 @@ from bindings.model import plain
 from bindings.registry import query
 from bindings.sql import CTES, text
 from jobtide.functions import salary, time
-from jobtide.functions.text import flag, null_if, same_text
+from jobtide.functions.text import flag, fold, null_if, same_text
 from jobtide.operators.currency import convert_bounds
 from jobtide.operators.dedup import first_seen, latest_by_key
 from jobtide.operators.grains import Grain, multi_grain_stats, weekly_counts
@@ -65,6 +65,31 @@ def coerce_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(coerce("mart_companies", texts))
 
 
+def _folded(text: str) -> str:
+    return f"replace(replace(replace(replace(lower({text}), 'ß', 'ss'), 'ς', 'σ'), 'ﬁ', 'fi'), 'ŉ', 'ʼn')"
+
+
+FOLDED = ("STRASSE", "Straße", "ΟΔΟΣ", "οδος", "İstanbul", "i̇STANBUL", "ﬁrst", "FIRST", "ŉ", "İ")
+
+
+@query(
+    "fold_match",
+    f"""WITH w AS (SELECT c_custkey AS k, c_mktsegment || ' ' || {list(FOLDED)}[c_custkey % {len(FOLDED)} + 1] AS mine,
+            lower(c_mktsegment) || ' ' || {list(FOLDED)}[c_nationkey % {len(FOLDED)} + 1] AS other FROM customer)
+        SELECT k, {_folded("mine")} AS folded, ({_folded("mine")} = {_folded("other")})::INTEGER AS same FROM w""",
+)
+def fold_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts whose case folding is not their lower case."""
+    words = F.array(*[F.lit(word) for word in FOLDED])
+
+    def one(number: str) -> Column:
+        return F.concat(F.lit(" "), F.element_at(words, (F.col(number) % len(FOLDED) + 1).cast("int")))
+
+    mine, other = F.concat("c_mktsegment", one("c_custkey")), F.concat(F.lower("c_mktsegment"), one("c_nationkey"))
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), mine.alias("mine"), other.alias("other"))
+    return rows.select("k", fold(F.col("mine")).alias("folded"), same_text(F.col("mine"), F.col("other")).cast("int").alias("same"))
+
+
 @query(
     "stg_latest",
     """SELECT user_id, event_id, event_type, value FROM events
@@ -309,7 +334,7 @@ def document_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("run_id").alias("source"),
         payload_text(F.col("jobs"), F.lit('{"fetched-categories":[]}')).alias("payload"),
     )
-    parsed = explode_jobs(raw).select(F.from_json("job", "title string, source string, lang string").alias("j"))
+    parsed = explode_jobs(raw).select(F.try_variant_get("job", "$", "struct<title: string, source: string, lang: string>").alias("j"))
     return parsed.groupBy("j.source", "j.lang").agg(
         F.count("*").alias("postings"),
         F.sum(F.length("j.title")).alias("characters"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -11,6 +11,18 @@ def list_of(text: Column, kind: str, field: str | None = None) -> Column:
     return F.from_json(text, kind) if field is None else F.from_json(text, f"`{field}` {kind}")[field]
 
 
+def document(payload: Column) -> Column:
+    """JSON text as a variant, NULL where it is no JSON. One that is too large for a variant raises."""
+    parsed = F.try_parse_json(payload)
+    lost = parsed.isNull() & (is_object(payload) | F.json_array_length(payload).isNotNull())
+    return F.when(lost, F.raise_error(F.lit("a payload is too large for a variant")).cast("variant")).otherwise(parsed)
+
+
+def document_of(df: DataFrame) -> Column:
+    """The stored document of a raw row; a frame without any is parsed."""
+    return F.col("document") if "document" in df.columns else document(F.col("payload"))
+
+
 def is_object(text: Column) -> Column:
     return F.json_object_keys(text).isNotNull()
 

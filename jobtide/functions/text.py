@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,9 +14,23 @@ def label_key(text: Column) -> Column:
     return F.lower(F.trim(text))
 
 
+@cache
+def _folds() -> dict[str, str]:
+    """Characters whose case folding is not their lower case, by the Unicode rules that Python has."""
+    return {c: c.casefold() for c in map(chr, range(0x80, sys.maxunicode + 1)) if c.casefold() != c.lower()}
+
+
+def fold(text: Column) -> Column:
+    """Full Unicode case folding, which may lengthen a text (ß is ss); ASCII text takes the short way."""
+    table = F.create_map(*[F.lit(part) for pair in _folds().items() for part in pair])
+    characters = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+    folded = F.transform(characters, lambda c: F.coalesce(F.try_element_at(table, c), F.lower(c)))
+    return F.when(text.rlike(r"\A\p{ASCII}*\z"), F.lower(text)).otherwise(F.array_join(folded, ""))
+
+
 def same_text(left: Column, right: Column) -> Column:
     """Equality that ignores case."""
-    return F.lower(left) == F.lower(right)
+    return fold(left) == fold(right)
 
 
 def null_if(text: Column, value: str) -> Column:

@@ -8,29 +8,30 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobtide.functions.json import document_of
 from jobtide.functions.text import flag, null_if
 from jobtide.functions.time import convert, utc_from_naive
 from jobtide.operators.dedup import latest_by_key
-from jobtide.schemas import ADZUNA_JOB, AMOUNT, REMOTEOK_JOB, REMOTIVE_JOB
+from jobtide.schemas import AMOUNT
 from jobtide.sources import versions
 
 AMOUNT_TYPE = AMOUNT.simpleString()
-PAYLOAD = "jobs array<string>, country string"
 
 
 def explode_jobs(raw: DataFrame) -> DataFrame:
-    """One row per posting of each payload, still JSON text, with its place in the payload.
+    """One row per posting of each payload, a variant, with its place in the payload.
 
-    A payload whose ``jobs`` is no list gives no rows. They are dropped after an outer explode: from an
-    inner one a filter on the list is inferred, which is pushed below the parse and repeats it.
+    Landing has parsed the payload; here only what is asked for is taken out of it. A payload whose
+    ``jobs`` is no list gives no rows. They are dropped after an outer explode: from an inner one a
+    filter on the list is inferred, which takes the list out once more.
     """
-    payload = raw.withColumn("_p", F.from_json("payload", PAYLOAD))
+    payload = raw.withColumn("_d", document_of(raw))
     return payload.select(
         "raw_id",
         "ingested_at",
         "source",
-        F.col("_p.country").alias("search_country"),
-        F.posexplode_outer("_p.jobs").alias("position", "job"),
+        F.try_variant_get("_d", "$.country", "string").alias("search_country"),
+        F.posexplode_outer(F.try_variant_get("_d", "$.jobs", "array<variant>")).alias("position", "job"),
     ).where(F.col("position").isNotNull())
 
 
@@ -86,20 +87,20 @@ def _adzuna(job: Callable[[str], Column], lenient: bool) -> dict[str, Column]:
     }
 
 
-FIELDS = {
-    "remotive": (REMOTIVE_JOB, _remotive),
-    "remoteok": (REMOTEOK_JOB, _remoteok),
-    "adzuna": (ADZUNA_JOB, _adzuna),
-}
+FIELDS = {"remotive": _remotive, "remoteok": _remoteok, "adzuna": _adzuna}
+
+
+def _field(name: str) -> Column:
+    """A field of a posting as text, or its list of texts; casts happen later, where a bad value can be told apart."""
+    return F.try_variant_get("job", f"$.{name}", "array<string>" if name == "tags" else "string")
 
 
 def parse_jobs(raw: DataFrame, source: str, lenient: bool = False) -> DataFrame:
     """Every posting of every payload of one source, typed; bad numbers and dates raise unless lenient."""
-    schema, fields = FIELDS[source]
-    jobs = explode_jobs(raw.where(F.col("source") == source)).withColumn("_j", F.from_json("job", schema))
-    columns = fields(lambda name: F.col(f"_j.{name}"), lenient)
+    jobs = explode_jobs(raw.where(F.col("source") == source))
+    columns = FIELDS[source](_field, lenient)
     return jobs.select(
-        F.col("_j.id").alias("job_id"),
+        _field("id").alias("job_id"),
         "source",
         *[column.alias(name) for name, column in columns.items()],
         "ingested_at",

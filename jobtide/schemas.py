@@ -31,6 +31,7 @@ RAW = T.StructType(
         T.StructField("run_id", T.StringType()),
         T.StructField("chunk", T.IntegerType()),
         T.StructField("payload", T.StringType()),
+        T.StructField("document", T.VariantType()),
         T.StructField("job_count", T.LongType()),
         T.StructField("source", T.StringType()),
     ]
@@ -84,21 +85,6 @@ RATES = T.StructType(
     ]
 )
 
-# JSON schemas of one posting, text first: casts happen in staging, where a bad value can be told apart.
-REMOTIVE_JOB = (
-    "id string, title string, company_name string, category string, tags array<string>, "
-    "candidate_required_location string, salary string, publication_date string, url string"
-)
-REMOTEOK_JOB = (
-    "id string, position string, company string, tags array<string>, location string, "
-    "salary_min string, salary_max string, date string, url string"
-)
-ADZUNA_JOB = (
-    "id string, title string, company struct<display_name: string>, category struct<label: string>, "
-    "location struct<display_name: string>, salary_min string, salary_max string, "
-    "salary_is_predicted string, created string, redirect_url string"
-)
-
 MART_TYPES = {
     "mart_skills": {
         "job_key": T.StringType(),

@@ -8,6 +8,8 @@ from pyspark.sql import SparkSession
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # As in JSON text columns, the last of equal keys counts; else one such posting would cost its whole payload.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 CLUSTER_CONF = {

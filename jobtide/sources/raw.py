@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobtide.fixed import SOURCES
+from jobtide.functions.json import document, document_of
 from jobtide.schemas import COMMITS, FAILURES, RAW, RUNS
 
 LANDING = T.StructField("landing", T.StringType())
@@ -118,19 +119,21 @@ def as_raw(payloads: DataFrame, base: int, ingested_at: dt.datetime | None = Non
     """
     given = set(payloads.columns)
     now = F.lit(ingested_at or dt.datetime.now(dt.UTC)).cast("timestamp")
-    declared = F.try_variant_get(F.try_parse_json("payload"), "$['job-count']", "bigint")
+    declared = F.try_variant_get("document", "$['job-count']", "bigint")
     columns = {
         "raw_id": F.lit(base + 1) + (F.col("place") if "place" in given else F.monotonically_increasing_id()),
         "ingested_at": F.coalesce("ingested_at", now) if "ingested_at" in given else now,
         "run_id": F.col("run_id") if "run_id" in given else F.lit(None),
         "chunk": F.col("chunk") if "chunk" in given else F.lit(None),
         "payload": F.col("payload"),
+        "document": F.col("document"),
         "job_count": F.col("job_count") if "job_count" in given else declared,
         "source": F.when(F.col("source").isin(list(SOURCES)), F.col("source")).otherwise(
             F.raise_error(F.concat(F.lit("Unknown source "), F.col("source")))
         ),
     }
-    return payloads.select([columns[f.name].cast(f.dataType).alias(f.name) for f in RAW])
+    parsed = payloads.withColumn("document", document(F.col("payload")))
+    return parsed.select([columns[f.name].cast(f.dataType).alias(f.name) for f in RAW])
 
 
 def append_payloads(payloads: DataFrame, path: str, ingested_at: dt.datetime | None = None) -> int:
@@ -156,9 +159,9 @@ def insert_payload(
 
 def with_counts(raw: DataFrame) -> DataFrame:
     """Raw rows with the declared job count and the real one, NULL where ``jobs`` is no list."""
-    counted = raw.withColumn("_p", F.from_json("payload", "`job-count` string, jobs array<string>"))
+    counted = raw.withColumn("_d", document_of(raw))
     return counted.select(
         *raw.columns,
-        F.col("_p.job-count").cast("int").alias("job_count_declared"),
-        F.size("_p.jobs").alias("job_count_actual"),
+        F.try_variant_get("_d", "$['job-count']", "string").cast("int").alias("job_count_declared"),
+        F.size(F.try_variant_get("_d", "$.jobs", "array<variant>")).alias("job_count_actual"),
     )

@@ -74,7 +74,7 @@ def test_raw_jobs(frame, change, check):
         {**r, "payload": r["payload"] if r["payload"] is None else json.dumps(r["payload"])}
         for r in cells(*RAW_ROWS, **change)
     ]
-    assert failed(with_counts(frame(rows, {f.name: f.dataType for f in RAW})), suites.raw_jobs(NOW)) == check
+    assert failed(with_counts(frame(rows, {f.name: f.dataType for f in RAW if f.name != "document"})), suites.raw_jobs(NOW)) == check
 
 
 STAGING_TYPES = {"job_id": "string", "title": "string", "published_at": "timestamp"}
