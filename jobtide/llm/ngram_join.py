@@ -165,7 +165,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["rep", "h1", "h2", "elements"])
 
     made = docs.where("doc_id is not null").mapInArrow(run, "rep long, h1 long, h2 long, elements binary")
-    return made.join(wanted.select("rep", "tie", "h1", "h2"), ["rep", "h1", "h2"]).select("rep", "tie", "elements").dropDuplicates(["rep", "tie"])
+    found = made.join(wanted.select("rep", "tie", "h1", "h2"), ["rep", "h1", "h2"])
+    return found.dropDuplicates(["rep", "h1", "h2"]).select("rep", "tie", "elements")  # as they are partitioned for the join
 
 
 def entries_of(classes: DataFrame, keys: np.ndarray) -> DataFrame:
@@ -262,12 +263,12 @@ def remaining(
     """
     tried = centres.select("key", F.col("b").alias("rep"), F.col("b_tie").alias("tie"))
     others = members.join(tried, ["key", "rep", "tie"], "left_anti")
-    placed = others.join(groups, others["rep"] == groups["node"], "left").select("key", "rep", "tie", F.coalesce("component", "rep").alias("component"))
+    placed = others.join(groups, others["rep"] == groups["node"], "left").select("key", "rep", "tie", "n", F.coalesce("component", "rep").alias("component"))
     shares = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     lists = shares.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"))
-    lists = lists.where("all > top.n").select("key", F.col("top.component").alias("largest"), F.col("all").alias("n"), (F.col("all") - F.col("top.n")).alias("out"))
-    blocks = [F.ceil(F.col(n) / BLOCK).cast("int").alias(name) for n, name in (("n", "blocks"), ("out", "out_blocks"))]
-    held = placed.join(lists.select("key", "largest", *blocks), "key")
+    lists = lists.where("all > top.n").select("key", F.col("top.component").alias("largest"), "all", (F.col("all") - F.col("top.n")).alias("out"))
+    blocks = [F.ceil(F.col(n) / BLOCK).cast("int").alias(name) for n, name in (("all", "blocks"), ("out", "out_blocks"))]
+    held = stored(placed.join(lists.select("key", "largest", *blocks), "key"), "apart")
     number = F.xxhash64("rep", "tie")
     outsiders = held.where("component <> largest").withColumns(
         {"asker": F.pmod(number, "out_blocks").cast("int"), "block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "asks": F.lit(True)}
@@ -277,7 +278,9 @@ def remaining(
     )
     at, of_class = ["key", "asker", "block"], ["rep", "tie"]
     row = [*at, *of_class, "component", "asks"]
-    described = outsiders.select(row).unionByName(asked.select(row)).join(classes.select(*of_class, "n_shingles", "keys"), of_class)
+    # A pair meets in every list left that holds both; the first of them is enough to tell.
+    lists_of = held.groupBy(*of_class).agg(F.array_sort(F.collect_list("key")).alias("keys"), F.first("n").alias("n_shingles"))
+    described = outsiders.select(row).unionByName(asked.select(row)).join(lists_of, of_class)
 
     def needed(table: pa.Table) -> pa.Table:
         return table.drop_columns(["n_shingles", "keys"]).take(pa.array(_due(table, percent)))
