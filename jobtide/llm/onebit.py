@@ -105,11 +105,17 @@ def best_of(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> n
 
 def scan(ids, packed, factor, off, vectors, query_ids, queries, k: int):
     """Each query's k best of these vectors, none of them with the query's id: query place, id, score."""
-    turned = (queries @ rotation(vectors.shape[1])).astype(np.float32)
-    signs = np.unpackbits(packed, axis=1, count=turned.shape[1]).astype(np.float32).T * 2 - 1
-    signs *= factor.astype(np.float32)
-    reach = (DEVIATIONS * np.linalg.norm(queries, axis=1)).astype(np.float32)
-    off = off.astype(np.float32)
+    # Powers of two take lengths near 1, so that estimates of any finite vectors fit; vectors whose lengths differ
+    # by more than single precision holds are estimated in double.
+    kind = np.float32 if factor.min() > 1e-30 * factor.max() else np.float64
+    scale = 2.0 ** np.floor(np.log2(factor.max()))
+    of_each = 2.0 ** np.floor(np.log2(np.abs(queries).max(axis=1)))
+    scaled = queries / of_each[:, None]
+    turned = (scaled @ rotation(vectors.shape[1])).astype(kind)
+    signs = np.unpackbits(packed, axis=1, count=turned.shape[1]).astype(kind).T * 2 - 1
+    signs *= (factor / scale).astype(kind)
+    reach = (DEVIATIONS * np.linalg.norm(scaled, axis=1)).astype(kind)
+    off = (off / scale).astype(kind)
     columns, of_query = list(np.ascontiguousarray(vectors.T)), list(np.ascontiguousarray(queries.T))
     kept = []
     for first in range(0, len(queries), max(1, PAIRS_AT_ONCE // len(ids))):
@@ -124,8 +130,8 @@ def scan(ids, packed, factor, off, vectors, query_ids, queries, k: int):
             scores[estimate[rows[:, None], likely] == -np.inf] = -np.inf
             bar = np.partition(scores, k, axis=1)[:, k]  # the k-th best of 2k
         estimate += reach[part, None] * off
-        bar32 = np.nextafter((bar - 1e-5 * np.abs(bar)).astype(np.float32), np.float32(-np.inf))
-        q, c = np.nonzero((estimate >= bar32[:, None]) & (estimate > -np.inf))
+        low = (bar - 1e-5 * np.abs(bar)) / of_each[part] / scale
+        q, c = np.nonzero((estimate >= np.nextafter(low.astype(kind), kind(-np.inf))[:, None]) & (estimate > -np.inf))
         found = exact(of_query, columns, q + first, c)
         good = found >= bar[q]
         kept.append((q[good] + first, ids[c[good]], found[good]))

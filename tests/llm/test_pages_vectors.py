@@ -287,3 +287,18 @@ def test_odd_vectors_take_no_part(spark):
     assert got == {0: [(20, 2.0), (21, 2.0), (22, -1.0)], 20: [(21, 5.0), (0, 2.0), (22, -2.0)]}
     nothing = onebit.index(frame.limit(0))
     assert onebit.search(nothing, nothing).count() == 0
+
+
+@pytest.mark.parametrize("scale", [1e-38, 1e-25, 1.0, 1e20, 1e37, None])
+def test_neighbours_of_any_finite_vectors(scale):
+    """Also of very short, very long, and (None) both kinds of vectors in one block."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((300, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x = (x * (10.0 ** rng.uniform(-37, 37, 300)[:, None] if scale is None else scale)).astype(np.float32).astype(np.float64)
+    ids = np.arange(300)
+    query, of, _ = onebit.scan(ids, *onebit.codes(x), x, ids[::5], x[::5], 20)
+    for n, i in enumerate(ids[::5]):
+        scores = onebit.exact(list(x.T), list(x.T), np.full(300, i), ids)
+        scores[i] = -np.inf
+        assert of[query == n].tolist() == np.lexsort((ids, -scores))[:20].tolist()
