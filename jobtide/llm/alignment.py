@@ -37,7 +37,7 @@ LONG = 1 << 15
 FAN = 8
 #: Distinct (document, pair) entries of a block, and bytes of text for each part of the pairs.
 BLOCK, PART_BYTES = 1 << 20, 1 << 24
-UNITS_KEPT = 250_000
+UNITS_KEPT = 120_000
 #: How far from the edge of a range the end of a unit is looked for, before the edge is moved.
 REACH = 1024
 #: Where a text can be cut for both tokenizers: their pieces hold spaces in front only.
@@ -68,6 +68,7 @@ class Aligner:
         self.sizes = [len(x) for x in a_bytes], [len(x) for x in b_bytes]
         self.names = [str(i) for i in range(len(a_bytes))], [str(i) for i in range(len(b_bytes))]
         self.memo: dict[str, tuple[int, int, int, bytes, bytes] | None] = {}
+        self.older = self.memo
 
     def tokens(self, units: list[str]) -> Iterator[tuple[list[int], list[int]] | None]:
         """Ids of both for each unit; none if either does not give the unit back."""
@@ -107,15 +108,18 @@ class Aligner:
             return None
         units = CUT.split(f" {text}")
         units[0] = units[0][1:]
-        memo, distinct = self.memo, set(units)
-        missing = [u for u in distinct if u not in memo]
-        if missing and len(memo) > UNITS_KEPT:
-            memo.clear()
-            missing = list(distinct)
-        if missing:
-            for unit, found in zip(missing, self.tokens(missing)):
-                memo[unit] = found and self._aligned(*found)
+        memo, older, missing = self.memo, self.older, []
+        for unit in set(units):
+            if unit not in memo:
+                if unit in older:
+                    memo[unit] = older[unit]
+                else:
+                    missing.append(unit)
+        for unit, found in zip(missing, self.tokens(missing) if missing else ()):
+            memo[unit] = found and self._aligned(*found)
         rows = list(map(memo.__getitem__, units))
+        if len(memo) > UNITS_KEPT:  # what is met again moves on; the rest goes with the generation after this
+            self.memo, self.older = {}, memo
         if None in rows:
             return None
         n_a, n_b, n_groups, groups, pairs = zip(*rows)
