@@ -66,7 +66,7 @@ def coerce_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _folded(text: str) -> str:
-    return f"replace(replace(replace(replace(lower({text}), 'ß', 'ss'), 'ς', 'σ'), 'ﬁ', 'fi'), 'ŉ', 'ʼn')"
+    return f"replace(replace(replace(replace(lower(replace({text}, 'İ', 'i̇')), 'ß', 'ss'), 'ς', 'σ'), 'ﬁ', 'fi'), 'ŉ', 'ʼn')"
 
 
 FOLDED = ("STRASSE", "Straße", "ΟΔΟΣ", "οδος", "İstanbul", "i̇STANBUL", "ﬁrst", "FIRST", "ŉ", "İ")
