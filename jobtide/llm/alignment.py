@@ -102,12 +102,8 @@ class Aligner:
                 left, right = [], []
         return len(a), len(b), n_groups, ";".join(groups).encode(), array("Q", pairs).tobytes()
 
-    def text(self, text: str) -> tuple[int, int, int, bytes, np.ndarray] | None:
-        """Of a whole text: tokens of both, groups and their text, pairs with repeats."""
-        if not text:
-            return None
-        units = CUT.split(f" {text}")
-        units[0] = units[0][1:]
+    def units(self, units: list[str]) -> list[tuple[int, int, int, bytes, bytes] | None]:
+        """Of each unit: tokens of both, groups and their text, pairs with repeats; none if it is not given back."""
         memo, older, missing = self.memo, self.older, []
         for unit in set(units):
             if unit not in memo:
@@ -120,25 +116,60 @@ class Aligner:
         rows = list(map(memo.__getitem__, units))
         if len(memo) > UNITS_KEPT:  # what is met again moves on; the rest goes with the generation after this
             self.memo, self.older = {}, memo
-        if None in rows:
+        return rows
+
+    def text(self, text: str) -> tuple[int, int, int, bytes, np.ndarray] | None:
+        """Of a whole text: the same, summed up."""
+        if not text:
             return None
-        n_a, n_b, n_groups, groups, pairs = zip(*rows)
-        return sum(n_a), sum(n_b), sum(n_groups), b";".join(groups), np.frombuffer(b"".join(pairs), dtype=np.uint64)
+        units = CUT.split(f" {text}")
+        units[0] = units[0][1:]
+        return _joined(self.units(units))
 
-    def range(self, text: str, skip: int, keep: int) -> Fragment | None:
-        """The fragment of a range of a text: of the tokens that end after ``skip`` bytes and up to ``keep``."""
-        a, a_ends, b, b_ends, at = [], [], [], [], 0
+    def range(self, text: str, skip: int, keep: int) -> tuple[Fragment, int, int] | None:
+        """The fragment of a range of a text, and its tokens: those that end after ``skip`` bytes and up to ``keep``.
+
+        Only the units that the range cuts are looked at token by token.
+        """
         first, *rest = CUT.split(text)
-        units = [first[1:], *rest]
-        for unit, found in zip(units, self.tokens(units)):
-            if found is None:
-                return None
-            for side, (part, to) in enumerate(((a, a_ends), (b, b_ends))):
-                chosen = [(i, at + end) for i, end in zip(found[side], self.ends(found[side], side)) if skip < at + end <= keep]
-                part += [i for i, _ in chosen]
-                to += [end for _, end in chosen]
-            at += 1 + len(unit.encode())
-        return fragment(a, a_ends, b, b_ends)
+        units, ends = [first[1:], *rest], [0]
+        for unit in units:
+            ends.append(ends[-1] + 1 + len(unit.encode()))
+        inside = [n for n in range(len(units)) if skip <= ends[n] and ends[n + 1] <= keep]
+        out, n_a, n_b = Fragment(), 0, 0
+        for n in [*range(inside[0] if inside else len(units)), -1, *range(inside[-1] + 1 if inside else len(units), len(units))]:
+            if n >= 0:
+                part = self._part(units[n], skip - ends[n], keep - ends[n])
+                if part is None:
+                    return None
+                n_a, n_b = n_a + part[1], n_b + part[2]
+                out = out + part[0]
+            elif inside:
+                row = _joined(self.units([units[k] for k in inside]))
+                if row is None:
+                    return None
+                n_a, n_b = n_a + row[0], n_b + row[1]
+                pairs, counts = np.unique(row[4], return_counts=True)
+                out = out + Fragment(closed=True, groups=[row[3]], n_groups=row[2], pairs=pairs, counts=counts)
+        return out, n_a, n_b
+
+    def _part(self, unit: str, skip: int, keep: int) -> tuple[Fragment, int, int] | None:
+        """Of a unit, the tokens that end in a range of its bytes."""
+        found = next(self.tokens([unit]))
+        if found is None:
+            return None
+        held = []
+        for side in (0, 1):
+            chosen = [(i, end) for i, end in zip(found[side], self.ends(found[side], side)) if skip < end <= keep]
+            held += [[i for i, _ in chosen], [end for _, end in chosen]]
+        return fragment(*held), len(held[0]), len(held[2])
+
+
+def _joined(rows: list[tuple[int, int, int, bytes, bytes] | None]) -> tuple[int, int, int, bytes, np.ndarray] | None:
+    if None in rows:
+        return None
+    n_a, n_b, n_groups, groups, pairs = zip(*rows)
+    return sum(n_a), sum(n_b), sum(n_groups), b";".join(groups), np.frombuffer(b"".join(pairs), dtype=np.uint64)
 
 
 def ranges(text: str, size: int) -> Iterator[tuple[str, int, int]]:
@@ -207,8 +238,7 @@ def long_fragments(docs: DataFrame, paths: tuple[str, str], size: int) -> DataFr
             rows = []
             for r in batch.to_pylist():
                 found = aligner.range(r["piece"], r["skip"], r["keep"])
-                inside = [sum(map(len, (f.prefix[i], f.suffix[i]))) + _tokens(f.groups, i) for f in [found or Fragment()] for i in (0, 1)]
-                rows.append(_packed(r["row"], r["part"], r["doc_id"], found, *inside))
+                rows.append(_packed(r["row"], r["part"], r["doc_id"], *(found or (None, 0, 0))))
             yield from _table(rows).combine_chunks().to_batches()
 
     def compose(table: pa.Table) -> pa.Table:
@@ -232,10 +262,6 @@ def long_fragments(docs: DataFrame, paths: tuple[str, str], size: int) -> DataFr
     return parts
 
 
-def _tokens(groups: list[bytes], side: int) -> int:
-    return sum(g.split(b"|")[side].count(b",") + 1 for g in groups)
-
-
 BLOCKS = "block long, part int, pairs binary, docs binary, payload binary, head binary"
 _ZIP = zstandard.ZstdCompressor(level=1)
 _UNZIP = zstandard.ZstdDecompressor()

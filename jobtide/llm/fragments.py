@@ -56,8 +56,9 @@ class Fragment:
         between = np.array(group_pairs(a, b), dtype=np.uint64)
         pairs = np.concatenate([self.pairs, between, other.pairs])
         counts = np.concatenate([self.counts, np.ones(len(between), dtype=np.int64), other.counts])
-        groups = [*self.groups, group_text(a, b), *other.groups]
-        return Fragment(self.prefix, True, groups, self.n_groups + 1 + other.n_groups, *summed(pairs, counts), other.suffix)
+        middle = [group_text(a, b)] if a or b else []  # nothing is open where both end at a common end
+        groups = [*self.groups, *middle, *other.groups]
+        return Fragment(self.prefix, True, groups, self.n_groups + len(middle) + other.n_groups, *summed(pairs, counts), other.suffix)
 
     def whole(self) -> Fragment:
         """As that of a whole text, where the prefix is the first group."""
