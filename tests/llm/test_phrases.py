@@ -106,7 +106,7 @@ def passages():
     return rows
 
 
-@pytest.mark.parametrize(("words", "percent"), [(4, 85), (5, 80), (4, 70)])
+@pytest.mark.parametrize(("words", "percent"), [(4, 85), (5, 70)])
 def test_jaccard_join(spark, monkeypatch, words, percent):
     monkeypatch.setattr(ngram_join, "BLOCK", 4)
     rows = [*near_rows(), *passages()]
