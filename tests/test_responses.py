@@ -199,7 +199,7 @@ def everything(spark, path):
     return raw, sorted(map(tuple, read_runs(spark, path).drop("ingested_at").collect()))
 
 
-@pytest.mark.parametrize("lost", ["payloads", "failures", "runs", "commit"])
+@pytest.mark.parametrize("lost", ["runs", "commit"])
 def test_a_landing_that_broke_off_leaves_nothing(spark, three_sources, responses, tmp_path, monkeypatch, lost):
     """Wherever the driver is lost, the next landing gives what one landing gives."""
     path, whole = str(tmp_path / "raw"), str(tmp_path / "whole")
