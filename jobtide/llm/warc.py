@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +36,8 @@ NEEDED = ("WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length", "WARC-Pa
 SAMPLE_PAGES = 256
 SAMPLE_BYTES = 16_384
 DICTIONARY_BYTES = 65_536
+#: An archive is closed by the record that takes its frames to this many bytes; the next begins with the dictionary.
+ARCHIVE_BYTES = 1 << 26
 
 
 def digest(payload: bytes) -> str:
@@ -163,13 +166,14 @@ def train_dictionary(pages: DataFrame) -> bytes:
         return b""
 
 
-def write(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
+def write(pages: DataFrame, path: str, min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> None:
     """One record per row with ``page_id``, ``url`` and ``html``; null html is an empty payload.
 
     Of rows with equal payloads of at least ``min_bytes``, the largest page id is the response and rows
     with another id revisit it; rows that repeat the response's id are responses too, and so are all
-    rows of a payload that has no id but null. An empty table gives archives without records. Further
-    columns are not read. The pages are shuffled once, by id, which no group of copies makes uneven;
+    rows of a payload that has no id but null. An empty table gives no archive. Further columns are not
+    read. A task writes its records into as many archives as they need, each a folder with one file that
+    exceeds ``archive_bytes`` by less than a record: readers hold one archive at a time. The pages are shuffled once, by id, which no group of copies makes uneven;
     groups are found on digests alone, counted in each task before they are shuffled.
     """
     plain = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), present("html").alias("html"))
@@ -186,16 +190,25 @@ def write(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trained = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         encoder = zstandard.ZstdCompressor(level=3, dict_data=trained, write_content_size=True)
-        first = [skippable(DICTIONARY_MAGIC, zstandard.ZstdCompressor().compress(dictionary))] if dictionary else []
+        first = skippable(DICTIONARY_MAGIC, zstandard.ZstdCompressor().compress(dictionary)) if dictionary else None
+        task, number, place, size = TaskContext.get().partitionId(), 0, 0, 0
         for batch in batches:
-            out = first
+            archives, places, parts = [], [], []
             for page_id, url, html, response in zip(*(c.to_pylist() for c in batch.columns)):
-                out.append(encoder.compress(record(page_id, url, html.encode(), response, response is not None)))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
-            first = []
-
-    as_text = rows.mapInArrow(run, "frame binary").select(F.col("frame").cast("string").alias("value"))
-    as_text.write.option("lineSep", EMPTY_SKIPPABLE).option("compression", "none").text(path)
+                if size >= archive_bytes:
+                    number, size = number + 1, 0
+                frame = encoder.compress(record(page_id, url, html.encode(), response, response is not None))
+                for part in (frame,) if size or first is None else (first, frame):
+                    archives.append(f"task{task}-{number}")
+                    places.append(place)
+                    parts.append(part)
+                    place, size = place + 1, size + len(part)
+            columns = [pa.array(archives, pa.string()), pa.array(places, pa.int64()), pa.array(parts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["archive", "place", "frame"])
+
+    ordered = rows.mapInArrow(run, "archive string, place long, frame binary").sortWithinPartitions("archive", "place")
+    as_text = ordered.select("archive", F.col("frame").cast("string").alias("value"))
+    as_text.write.partitionBy("archive").option("lineSep", EMPTY_SKIPPABLE).option("compression", "none").text(path)
 
 
 PARSED = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"

@@ -67,6 +67,23 @@ def test_small_payloads_are_all_responses(spark, tmp_path):
     assert rows == {1: ("response", None), 2: ("response", None), 3: ("revisit", 4), 4: ("response", None)}
 
 
+@pytest.mark.parametrize("bytes_each", [1, 2_000, 1 << 26])
+def test_archives_are_bounded_and_each_has_its_dictionary(spark, tmp_path, bytes_each):
+    given = spark.read.parquet(f"{SF_DIR}/pages.parquet").coalesce(1)
+    warc.write(given, str(tmp_path / "warc"), archive_bytes=bytes_each)
+    files = [f.read_bytes() for f in (tmp_path / "warc").rglob("*.txt")]
+    skipped = len(warc.EMPTY_SKIPPABLE.encode())
+    counts = [len(list(warc.frames(data))) for data in files]
+    assert sum(counts) == given.count()
+    assert {int.from_bytes(data[:4], "little") for data in files} == {warc.DICTIONARY_MAGIC}
+    for data, n in zip(files, counts):
+        head = 8 + int.from_bytes(data[4:8], "little")
+        assert n == 1 or len(data) - skipped * (n + 1) < bytes_each + 20_000 + head
+    assert (max(counts) == 1) == (bytes_each <= 2_000)  # the dictionary alone fills the small ones
+    back = warc.read(spark, str(tmp_path / "warc")).select("page_id", "payload_bytes")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, given.selectExpr("page_id", "octet_length(coalesce(html, ''))").collect()))
+
+
 def test_an_empty_table_gives_no_record(pages):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
