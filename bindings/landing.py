@@ -6,8 +6,8 @@ Bodies hold a bounded block of keys each; all rows are used.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import replace
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,48 +44,51 @@ def _place(value: str, values) -> Column:
     return (F.array_position(_array(values), F.col(value)) - 1).cast("int")
 
 
-def _money(value: str) -> Column:
-    return F.col(value).cast("decimal(18,4)")
+def _money(value: Column) -> Column:
+    return value.cast("decimal(18,4)")
 
 
-def _bodies(rows: DataFrame, *by: str, order: str, job: Column) -> DataFrame:
-    # JSON is written after the shuffle: there it is spread over tasks whatever the file layout.
-    listed = F.sort_array(F.collect_list(F.struct(F.col(order).alias("at"), job.alias("job"))))
-    return rows.groupBy(*by).agg(
-        F.array_join(F.transform(listed, lambda r: F.to_json(r["job"])), ",").alias("list"),
-        F.max("size_ok").alias("size_ok"),
-    )
+def _bodies(rows: DataFrame, *by: str, order: str, job: Callable[[Column], Column]) -> DataFrame:
+    # Postings and their JSON are made after the shuffle: only the columns they are made of travel, and the
+    # work is spread over tasks whatever the file layout.
+    plain = F.struct(*[c for c in rows.columns if c not in (*by, "size_ok")])
+    gathered = rows.groupBy(*by).agg(F.collect_list(plain).alias("rows"), F.max("size_ok").alias("size_ok"))
+    listed = F.sort_array(F.transform("rows", lambda r: F.struct(r[order].alias("at"), job(r).alias("job"))))
+    return gathered.select(*by, F.array_join(F.transform(listed, lambda r: F.to_json(r["job"])), ",").alias("list"), "size_ok")
 
 
 def category_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run per 1000 order keys, a request per priority; each body also holds the next priority's orders."""
     slugs, names = list(fixed.CATEGORY_NAMES)[:5], list(fixed.CATEGORY_NAMES.values())[:5]
-    rows = table(spark, sf_dir, "orders").withColumns(
-        {
-            "run_id": F.expr(f"o_orderkey div {ORDERS_PER_RUN}"),
-            "place": _place("o_orderpriority", PRIORITIES),
-            "size_ok": F.lit(True),
-        }
-    )
-    name = F.element_at(_array(names), F.col("place") + 1)
-    job = F.struct(
-        F.col("o_custkey").alias("id"),
-        F.concat(F.lit("Order "), "o_orderkey").alias("title"),
-        F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("BUYER "), F.expr("o_custkey div 10")))
-        .otherwise(F.concat(F.lit("  Buyer "), F.expr("o_custkey div 10"), F.lit(" ")))
-        .alias("company_name"),
-        F.when(F.col("o_orderstatus") == "F", F.upper(name)).otherwise(name).alias("category"),
-        F.array(
-            F.col("o_orderpriority"),
-            F.concat(F.lit(" "), F.lower("o_orderpriority")),
-            F.col("o_orderstatus"),
-            F.lit(" "),
-        ).alias("tags"),
-        F.col("o_orderstatus").alias("candidate_required_location"),
-        F.when(F.col("o_orderstatus") == "P", "").otherwise(F.concat(F.lit("$"), _money("o_totalprice"))).alias("salary"),
-        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("publication_date"),
-        F.concat(F.lit("https://jobs.example/c/"), "o_orderkey").alias("url"),
+    rows = table(spark, sf_dir, "orders").select(
+        *["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+        F.expr(f"o_orderkey div {ORDERS_PER_RUN}").alias("run_id"),
+        _place("o_orderpriority", PRIORITIES).alias("place"),
+        F.lit(True).alias("size_ok"),
     )
+
+    def job(r: Column) -> Column:
+        name = F.element_at(_array(names), r["place"] + 1)
+        buyer = F.call_function("div", r["o_custkey"], F.lit(10))
+        return F.struct(
+            r["o_custkey"].alias("id"),
+            F.concat(F.lit("Order "), r["o_orderkey"]).alias("title"),
+            F.when(r["o_orderstatus"] == "F", F.concat(F.lit("BUYER "), buyer))
+            .otherwise(F.concat(F.lit("  Buyer "), buyer, F.lit(" ")))
+            .alias("company_name"),
+            F.when(r["o_orderstatus"] == "F", F.upper(name)).otherwise(name).alias("category"),
+            F.array(
+                r["o_orderpriority"],
+                F.concat(F.lit(" "), F.lower(r["o_orderpriority"])),
+                r["o_orderstatus"],
+                F.lit(" "),
+            ).alias("tags"),
+            r["o_orderstatus"].alias("candidate_required_location"),
+            F.when(r["o_orderstatus"] == "P", "").otherwise(F.concat(F.lit("$"), _money(r["o_totalprice"]))).alias("salary"),
+            F.date_format(r["o_orderdate"], "yyyy-MM-dd'T'HH:mm:ss").alias("publication_date"),
+            F.concat(F.lit("https://jobs.example/c/"), r["o_orderkey"]).alias("url"),
+        )
+
     asked = rows.withColumn(
         "request_ordinal", F.explode(F.array(F.col("place"), F.pmod(F.col("place") + 4, F.lit(5))))
     )
@@ -101,33 +104,35 @@ def category_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tag_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run per 1000 event ids, a request per event type; each body also holds the next type's events."""
     tags = fixed.REQUEST_TAGS[:5]
-    rows = table(spark, sf_dir, "events").withColumns(
-        {
-            "run_id": F.expr(f"event_id div {EVENTS_PER_RUN}"),
-            "place": _place("event_type", EVENT_TYPES),
-            "k": F.from_json("props", "k int")["k"],
-            "size_ok": F.lit(True),
-        }
-    )
-    salary = (_money("value") * 1000).cast("long")
-    job = F.struct(
-        F.concat("user_id", F.lit("-"), "k").alias("id"),
-        F.col("event_type").alias("position"),
-        F.concat(F.when(F.col("k") < 50, "Buyer ").otherwise("Team "), F.expr("user_id div 10")).alias("company"),
-        F.when(
-            F.col("k") > 0,
-            F.array(
-                F.upper(F.element_at(_array(tags), F.col("place") + 1)),
-                F.concat(F.lit("k"), F.expr("k div 10")),
-                F.lit(" Remote"),
-            ),
-        ).alias("tags"),
-        F.when(F.col("event_type") == "error", "").otherwise(F.col("event_type")).alias("location"),
-        F.when(F.col("event_type").isin("view", "signup"), "0").otherwise(salary.cast("string")).alias("salary_min"),
-        F.when(F.col("event_type") == "signup", "0").otherwise((salary + F.col("k") * 100).cast("string")).alias("salary_max"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("date"),
-        F.concat(F.lit("https://jobs.example/t/"), "event_id").alias("url"),
+    rows = table(spark, sf_dir, "events").select(
+        *["event_id", "ts", "user_id", "event_type", "value"],
+        F.expr(f"event_id div {EVENTS_PER_RUN}").alias("run_id"),
+        _place("event_type", EVENT_TYPES).alias("place"),
+        F.from_json("props", "k int")["k"].alias("k"),
+        F.lit(True).alias("size_ok"),
     )
+
+    def job(r: Column) -> Column:
+        salary = (_money(r["value"]) * 1000).cast("long")
+        return F.struct(
+            F.concat(r["user_id"], F.lit("-"), r["k"]).alias("id"),
+            r["event_type"].alias("position"),
+            F.concat(F.when(r["k"] < 50, "Buyer ").otherwise("Team "), F.call_function("div", r["user_id"], F.lit(10))).alias("company"),
+            F.when(
+                r["k"] > 0,
+                F.array(
+                    F.upper(F.element_at(_array(tags), r["place"] + 1)),
+                    F.concat(F.lit("k"), F.call_function("div", r["k"], F.lit(10))),
+                    F.lit(" Remote"),
+                ),
+            ).alias("tags"),
+            F.when(r["event_type"] == "error", "").otherwise(r["event_type"]).alias("location"),
+            F.when(r["event_type"].isin("view", "signup"), "0").otherwise(salary.cast("string")).alias("salary_min"),
+            F.when(r["event_type"] == "signup", "0").otherwise((salary + r["k"] * 100).cast("string")).alias("salary_max"),
+            F.date_format(r["ts"], "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("date"),
+            F.concat(F.lit("https://jobs.example/t/"), r["event_id"]).alias("url"),
+        )
+
     asked = rows.withColumn(
         "request_ordinal", F.explode(F.array(F.col("place"), F.pmod(F.col("place") + 4, F.lit(5))))
     )
@@ -142,25 +147,28 @@ def tag_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def paged_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run per 200 part keys, paged by key and size; a page without small parts failed."""
-    rows = table(spark, sf_dir, "part").withColumns(
-        {
-            "run_id": F.expr(f"p_partkey div {PARTS_PER_RUN}"),
-            "request_ordinal": F.expr(f"cast((p_partkey % {PARTS_PER_RUN} + p_size) div {PAGE_SPAN} as int)"),
-            "size_ok": F.col("p_size") <= 2,
-        }
-    )
-    job = F.struct(
-        F.concat("p_name", F.lit("|"), "p_brand").alias("id"),
-        F.col("p_name").alias("title"),
-        F.struct(F.concat(F.lit("Buyer "), "p_size").alias("display_name")).alias("company"),
-        F.struct(F.concat("p_type", F.lit(" Jobs")).alias("label")).alias("category"),
-        F.struct(F.col("p_brand").alias("display_name")).alias("location"),
-        F.when(F.col("p_size") > 10, _money("p_retailprice") * 40).alias("salary_min"),
-        F.when(F.col("p_size") > 5, _money("p_retailprice") * 50).alias("salary_max"),
-        F.when(F.col("p_size") > 25, "1").otherwise("0").alias("salary_is_predicted"),
-        F.concat(F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.col("p_size")), "yyyy-MM-dd"), F.lit("T08:30:00Z")).alias("created"),
-        F.concat(F.lit("https://jobs.example/p/"), "p_partkey").alias("redirect_url"),
+    rows = table(spark, sf_dir, "part").select(
+        *["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+        F.expr(f"p_partkey div {PARTS_PER_RUN}").alias("run_id"),
+        F.expr(f"cast((p_partkey % {PARTS_PER_RUN} + p_size) div {PAGE_SPAN} as int)").alias("request_ordinal"),
+        (F.col("p_size") <= 2).alias("size_ok"),
     )
+
+    def job(r: Column) -> Column:
+        size, price = r["p_size"], _money(r["p_retailprice"])
+        return F.struct(
+            F.concat(r["p_name"], F.lit("|"), r["p_brand"]).alias("id"),
+            r["p_name"].alias("title"),
+            F.struct(F.concat(F.lit("Buyer "), size).alias("display_name")).alias("company"),
+            F.struct(F.concat(r["p_type"], F.lit(" Jobs")).alias("label")).alias("category"),
+            F.struct(r["p_brand"].alias("display_name")).alias("location"),
+            F.when(size > 10, price * 40).alias("salary_min"),
+            F.when(size > 5, price * 50).alias("salary_max"),
+            F.when(size > 25, "1").otherwise("0").alias("salary_is_predicted"),
+            F.concat(F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), size), "yyyy-MM-dd"), F.lit("T08:30:00Z")).alias("created"),
+            F.concat(F.lit("https://jobs.example/p/"), r["p_partkey"]).alias("redirect_url"),
+        )
+
     bodies = _bodies(rows, "run_id", "request_ordinal", order="p_partkey", job=job)
     country = F.element_at(_array(COUNTRIES), F.pmod("run_id", F.lit(len(COUNTRIES))).cast("int") + 1)
     return _responses(
@@ -192,11 +200,10 @@ def _responses(bodies, source, key, body, status=None, country=None) -> DataFram
 BUILDERS = {"remotive": category_responses, "remoteok": tag_responses, "adzuna": paged_responses}
 
 
-def raw(responses: DataFrame) -> DataFrame:
-    """The landing table of all sources: a run is fetched an hour after the one before."""
-    packed = reduce(DataFrame.unionByName, [payloads(responses, feed) for feed in BOUND_FEEDS.values()])
+def raw(responses: DataFrame, feed: Feed) -> DataFrame:
+    """The landing table of one source: a run is fetched an hour after the one before."""
     run = F.col("run_id").cast("long")
-    return packed.select(
+    return payloads(responses, feed).select(
         (run * 1000 + F.col("chunk")).alias("raw_id"),
         "ingested_at",
         "source",

@@ -38,19 +38,39 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 # Responses and payloads are landed once, and a build stores the unified postings, as four marts read
-# them. The queries below start from those three tables, written once per session and folder.
+# them. The queries below start from those tables, written once per session and folder. Those before the
+# unified postings are written source by source: a query about one source makes that one alone, and no
+# wide row is sorted for the sake of its folder.
+
+
+def of_source(rows: DataFrame, name: str, source: str) -> DataFrame:
+    """Rows of one source, stored; a filter on another source does not even open them."""
+    stored = written(rows.drop("source"), f"{name}-{source}")
+    return stored.select([F.lit(source).alias(c) if c == "source" else F.col(c) for c in rows.columns])
 
 
 @cache
+def responses_of(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    return of_source(landing.BUILDERS[source](spark, sf_dir), "responses", source)
+
+
 def responses_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = [build(spark, sf_dir) for build in landing.BUILDERS.values()]
-    return written(reduce(DataFrame.unionByName, frames), "responses", "source")
+    return reduce(DataFrame.unionByName, [responses_of(spark, sf_dir, source) for source in landing.BUILDERS])
 
 
 @cache
+def classified_of(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    """The responses classified, as a landing stores them: their bodies are parsed once for all that follows."""
+    return written(responses.classify(responses_of(spark, sf_dir, source), landing.BOUND_FEEDS[source]), f"classified-{source}")
+
+
+@cache
+def raw_of(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    return of_source(landing.raw(classified_of(spark, sf_dir, source), landing.BOUND_FEEDS[source]), "raw", source)
+
+
 def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = responses_table(spark, sf_dir)
-    return written(landing.raw(landed), "raw", "source")
+    return reduce(DataFrame.unionByName, [raw_of(spark, sf_dir, source) for source in landing.BUILDERS])
 
 
 @cache
@@ -59,7 +79,7 @@ def jobs_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    return staging.staging(raw_table(spark, sf_dir), source)
+    return staging.staging(raw_of(spark, sf_dir, source), source)
 
 
 @cache
@@ -157,7 +177,7 @@ def response_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def response_filter_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = responses.postings(responses_table(spark, sf_dir), landing.BOUND_FEEDS["remotive"])
+    kept = responses.postings(responses_of(spark, sf_dir, "remotive"), landing.BOUND_FEEDS["remotive"])
     parsed = kept.withColumn("_j", F.from_json("job", "id long, url string"))
     return parsed.select("run_id", "request_ordinal", "_j.id", "_j.url")
 
@@ -171,7 +191,7 @@ def response_filter_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def response_filter_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = responses.postings(responses_table(spark, sf_dir), landing.BOUND_FEEDS["remoteok"])
+    kept = responses.postings(responses_of(spark, sf_dir, "remoteok"), landing.BOUND_FEEDS["remoteok"])
     parsed = kept.withColumn("_j", F.from_json("job", "id string, url string"))
     return parsed.select("run_id", "request_ordinal", "_j.id", "_j.url")
 
@@ -185,7 +205,7 @@ def response_filter_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def response_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = responses.postings(responses_table(spark, sf_dir), landing.BOUND_FEEDS["remoteok"])
+    kept = responses.postings(responses_of(spark, sf_dir, "remoteok"), landing.BOUND_FEEDS["remoteok"])
     first = responses.distinct_postings(kept).withColumn("_j", F.from_json("job", "id string, url string"))
     return first.select("run_id", "request_ordinal", "_j.id", "_j.url")
 
@@ -200,7 +220,7 @@ def response_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def response_short_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = responses_table(spark, sf_dir)
+    landed = classified_of(spark, sf_dir, "adzuna")
     runs = responses.run_outcomes(responses.outcomes(landed, landing.PAGED), landing.PAGED)
     used = responses.used_only(responses.postings(landed, landing.PAGED), runs)
     parsed = used.withColumn("_j", F.from_json("job", "id string, redirect_url string"))
@@ -226,7 +246,7 @@ def response_short_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def payload_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return accounts(of_all_sources(lambda feed: responses.payloads(responses_table(spark, sf_dir), feed))).drop("chunk")
+    return accounts(of_all_sources(lambda feed: responses.payloads(classified_of(spark, sf_dir, feed.source), feed))).drop("chunk")
 
 
 def accounts(packed: DataFrame) -> DataFrame:
@@ -265,7 +285,8 @@ def accounts(packed: DataFrame) -> DataFrame:
     ),
 )
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return responses.run_summary(responses_table(spark, sf_dir), feeds=landing.BOUND_FEEDS)
+    stored = {name: responses.outcomes(classified_of(spark, sf_dir, name), feed) for name, feed in landing.BOUND_FEEDS.items()}
+    return responses.run_summary(responses_table(spark, sf_dir), requests_of=stored, feeds=landing.BOUND_FEEDS)
 
 
 # Events as requests of long runs, keys repeated, most of them failing: a run per user, a request per event.
@@ -417,8 +438,8 @@ PARSED = " UNION ALL ".join(f"SELECT {STAGED} FROM {name}" for name in ("c_parse
 
 @query("stg_parse", using("p_parsed", select=PARSED))
 def parse_all_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_table(spark, sf_dir)
-    parsed = [staging.parse_jobs(raw, source).drop("position", "salary_is_predicted", "search_country") for source in landing.BUILDERS]
+    dropped = ["position", "salary_is_predicted", "search_country"]
+    parsed = [staging.parse_jobs(raw_of(spark, sf_dir, source), source).drop(*dropped) for source in landing.BUILDERS]
     return plain(reduce(DataFrame.unionByName, parsed))
 
 

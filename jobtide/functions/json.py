@@ -13,9 +13,9 @@ def list_of(text: Column, kind: str, field: str | None = None) -> Column:
 
 def document(payload: Column) -> Column:
     """JSON text as a variant, NULL where it is no JSON. One that is too large for a variant raises."""
-    parsed = F.try_parse_json(payload)
-    lost = parsed.isNull() & (is_object(payload) | F.json_array_length(payload).isNotNull())
-    return F.when(lost, F.raise_error(F.lit("a payload is too large for a variant")).cast("variant")).otherwise(parsed)
+    # The parse stands here once: repeated in a condition, it would be done twice.
+    lost = is_object(payload) | F.json_array_length(payload).isNotNull()
+    return F.coalesce(F.try_parse_json(payload), F.when(lost, F.raise_error(F.lit("a payload is too large for a variant")).cast("variant")))
 
 
 def document_of(df: DataFrame) -> Column:

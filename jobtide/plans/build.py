@@ -75,25 +75,26 @@ def stage_landing(
     """Write what there is to land, without committing it: the landing, its payloads and its runs.
 
     Bodies are parsed once, into the stored classification that everything else starts from. The payloads
-    of all sources are written together; what a run landed is counted from the columns of the rows written.
+    of each source are written to its folder; what a run landed is counted from the columns of the rows written.
     """
     names = responses.known_sources(fixed.SOURCES if sources is None else sources)
     now = now or dt.datetime.now(dt.UTC)
     new = unlanded(landed.where(F.col("source").isin(names)), raw_path, settled)
     landing = Landing.begin(landed.sparkSession, raw_path)
-    packed, logged, failed = [], [], []
+    packed, logged, failed = {}, [], []
     for number, name in enumerate(names):
         feed = feeds[name]
         classified = written(responses.classify(new.where(F.col("source") == name), feed), f"classified-{name}", work=work)
         requests = responses.outcomes(classified, feed)
         places = written(responses.chunk_places(requests, feed), f"places-{name}", work=work)
         place = F.col("place") * len(names) + number  # ids of one source do not meet those of another
-        packed.append(responses.payloads(classified, feed).join(places, list(responses.CHUNK)).withColumn("place", place))
+        rows = responses.payloads(classified, feed).join(places, list(responses.CHUNK)).withColumn("place", place)
+        packed[name] = as_raw(rows, landing.base, now)
         counts = responses.run_counts(requests, feed)
         failed.append(responses.failures(requests, counts, feed))
         logged.append(counts.join(responses.run_times(requests), "run_id"))
     union = DataFrame.unionByName
-    payloads = landing.write(as_raw(reduce(union, packed), landing.base, now), RAW)
+    payloads = landing.write(packed, RAW)
     failures = landing.write(reduce(union, failed), FAILURES, ".failures")
     errors = [responses.error_texts(failures.where(F.col("source") == n), feeds[n]).withColumn("source", F.lit(n)) for n in names]
     key = ["source", "run_id"]

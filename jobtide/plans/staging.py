@@ -25,12 +25,12 @@ def explode_jobs(raw: DataFrame) -> DataFrame:
     ``jobs`` is no list gives no rows. They are dropped after an outer explode: from an inner one a
     filter on the list is inferred, which takes the list out once more.
     """
-    payload = raw.withColumn("_d", document_of(raw))
+    payload = raw.withColumn("_d", document_of(raw)).withColumn("search_country", F.try_variant_get("_d", "$.country", "string"))
     return payload.select(
         "raw_id",
         "ingested_at",
         "source",
-        F.try_variant_get("_d", "$.country", "string").alias("search_country"),
+        "search_country",
         F.posexplode_outer(F.try_variant_get("_d", "$.jobs", "array<variant>")).alias("position", "job"),
     ).where(F.col("position").isNotNull())
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from jobtide.fixed import SOURCES
 from jobtide.functions.json import document, document_of
 from jobtide.schemas import COMMITS, FAILURES, RAW, RUNS
+from jobtide.sources.workdir import ROW_GROUPS
 
 LANDING = T.StructField("landing", T.StringType())
 
@@ -97,13 +98,25 @@ class Landing:
         """New ids lie above ``base``, which no committed id does."""
         return cls(spark, path, last_raw_id(spark, path), uuid.uuid4().hex)
 
-    def write(self, rows: DataFrame, schema: T.StructType, suffix: str = "") -> DataFrame:
-        """Write rows under this landing and return them as stored."""
-        typed = rows.select([F.col(f.name).cast(f.dataType) for f in schema]).withColumn("landing", F.lit(self.name))
-        typed.write.mode("append").partitionBy("landing", "source").parquet(f"{self.path}{suffix}")
-        stored = self.spark.read.schema(T.StructType([*schema.fields, LANDING])).parquet(f"{self.path}{suffix}")
+    def write(self, rows: DataFrame | Mapping[str, DataFrame], schema: T.StructType, suffix: str = "") -> DataFrame:
+        """Write rows under this landing and return them as stored.
+
+        Rows given by their source go into its folder as they are; others are sorted first to find theirs.
+        """
+        path = f"{self.path}{suffix}"
+        if isinstance(rows, Mapping):
+            for source, of_source in rows.items():
+                self._append(of_source, [f for f in schema if f.name != "source"], f"{path}/landing={self.name}/source={known_source(source)}")
+        else:
+            self._append(rows.withColumn("landing", F.lit(self.name)), [*schema, LANDING], path, "landing", "source")
+        stored = self.spark.read.schema(T.StructType([*schema.fields, LANDING])).parquet(path)
         return stored.where(F.col("landing") == self.name).select(schema.fieldNames())
 
+    @staticmethod
+    def _append(rows: DataFrame, fields: Sequence[T.StructField], path: str, *partition_by: str) -> None:
+        typed = rows.select([F.col(f.name).cast(f.dataType) for f in fields])
+        typed.write.mode("append").options(**ROW_GROUPS).partitionBy(*partition_by).parquet(path)
+
     def commit(self, payloads: DataFrame, runs: int = 0, at: dt.datetime | None = None) -> None:
         """Make all that was written visible, by one row in one file."""
         written = payloads.agg(F.count("*").alias("n"), F.max("raw_id").alias("last"), F.collect_set("source").alias("sources")).first()

@@ -17,6 +17,11 @@ def shared_folder(spark: SparkSession) -> str:
     raise ValueError("name a work folder shared by all executors, or set spark.checkpoint.dir")
 
 
+# Rows of these tables may hold a whole response or payload, and a reader takes up to 4096 rows of a row group at once:
+# row groups are bounded by bytes, so that what a task holds of them does not grow with the table.
+ROW_GROUPS = {"parquet.block.size": str(4 << 20)}
+
+
 def written(df: DataFrame, name: str, *partition_by: str, work: str | None = None) -> DataFrame:
     """The frame as a Parquet table: computed once, column-pruned when read, safe from lost executors.
 
@@ -24,5 +29,5 @@ def written(df: DataFrame, name: str, *partition_by: str, work: str | None = Non
     """
     spark = df.sparkSession
     path = f"{work or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.options(**ROW_GROUPS).partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(df.columns)
