@@ -27,6 +27,8 @@ from jobtide.llm.common import Bounded, present, stored
 SAME_TITLES = 3
 #: Texts of a repeated group in one page that are compared with those of other pages; more are a slot.
 GROUP_TEXTS = 16
+#: Rows of an alignment of siblings between two that are kept.
+KEPT_ROWS = 256
 #: Skeletons that a task unites before it hands them on, and parts that those of a template are united in first.
 HELD, PARTS = 500, 64
 #: Elements below this depth are not part of wrappers.
@@ -205,21 +207,60 @@ def _optional(node: list) -> list:
     return node
 
 
+class Common:
+    """Lengths of the longest common subsequences of what is left of two lists, a bit for each pair.
+
+    In the row of ``a[i:]``, the bit ``m - 1 - j`` is 0 where ``b[j:]`` has one more in common than ``b[j + 1:]``. Every
+    :data:`KEPT_ROWS`-th row is kept, and those up to the next are made again when they are asked for.
+    """
+
+    def __init__(self, a: list, b: list):
+        self.a, self.m, self.all = a, len(b), (1 << len(b)) - 1
+        self.places: dict = {}
+        for j, label in enumerate(b):
+            self.places[label] = self.places.get(label, 0) | 1 << (self.m - 1 - j)
+        self.kept, row = {len(a): self.all}, self.all
+        for i in range(len(a) - 1, -1, -1):
+            row = self._before(i, row)
+            if i % KEPT_ROWS == 0:
+                self.kept[i] = row
+        self.made: dict[int, int] = {}
+
+    def _before(self, i: int, row: int) -> int:
+        """The row of ``a[i:]`` from that of ``a[i + 1:]``."""
+        found = row & self.places.get(self.a[i], 0)
+        return (row + found | row - found) & self.all
+
+    def _row(self, i: int) -> int:
+        if i in self.kept:
+            return self.kept[i]
+        if i not in self.made:
+            above = min((i // KEPT_ROWS + 1) * KEPT_ROWS, len(self.a))
+            self.made, row = {}, self.kept[above]
+            for k in range(above - 1, i - 1, -1):
+                self.made[k] = row = self._before(k, row)
+        return self.made[i]
+
+    def without_first(self, i: int, j: int) -> bool:
+        """Whether ``a[i + 1:]`` has as much in common with ``b[j:]`` as ``a[i:]`` has with ``b[j + 1:]``, or more."""
+        if j == self.m:
+            return True
+        below, row = self._row(i + 1), self._row(i)
+        left = (1 << (self.m - j)) - 1
+        # Bits that are 1 are those without a gain; of j itself the row of b[j + 1:] has none.
+        return (below & left).bit_count() <= (row & left >> 1).bit_count() + 1
+
+
 def aligned(a: list, b: list, one_page: bool) -> list:
     """One sequence for both: longest common subsequence of labels, the rest optional."""
     n, m = len(a), len(b)
-    if n * m > 250_000:  # no template has that many different siblings in a row
-        return a if n >= m else b
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i][0] == b[j][0] else max(best[i + 1][j], best[i][j + 1])
+    common = Common([x[0] for x in a], [x[0] for x in b])
     out, i, j = [], 0, 0
     while i < n or j < m:
         if i < n and j < m and a[i][0] == b[j][0]:
             out.append(united(a[i], b[j], one_page))
             i, j = i + 1, j + 1
-        elif j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
+        elif j == m or i < n and common.without_first(i, j):
             out.append(_optional(a[i]))
             i += 1
         else:
