@@ -12,6 +12,10 @@ REQUIRED_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
+# How tables are stored; no result depends on it. Shredded, a payload of a thousand postings is tens of thousands of values
+# of some thirty columns, which a writer gathers by 64 MB and a reader puts together again by row groups.
+STORAGE_CONF = {"spark.sql.variant.inferShreddingSchema": "false"}
+
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -20,8 +24,8 @@ CLUSTER_CONF = {
 
 
 def pin(spark: SparkSession) -> SparkSession:
-    """Apply the settings results depend on to an existing session."""
-    for key, value in REQUIRED_CONF.items():
+    """Apply the settings that results depend on, and how tables are stored, to an existing session."""
+    for key, value in {**REQUIRED_CONF, **STORAGE_CONF}.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark

@@ -18,8 +18,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 # Rows of these tables may hold a whole response or payload, and a reader takes up to 4096 rows of a row group at once:
-# row groups are bounded by bytes, so that what a task holds of them does not grow with the table.
-ROW_GROUPS = {"parquet.block.size": str(4 << 20)}
+# row groups and pages are bounded by bytes, so that what a task holds of them does not grow with the table. Their size
+# is looked at after every few rows; by default a hundred rows of any size go into a page and a row group.
+ROW_GROUPS = {"parquet.block.size": str(4 << 20), "parquet.block.size.row.check.min": "4", "parquet.page.size.row.check.min": "4"}
 
 
 def written(df: DataFrame, name: str, *partition_by: str, work: str | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from jobtide.schemas import RAW
-from jobtide.sources.raw import Landing, append_payloads, as_raw, read_raw
+from jobtide.sources.raw import Landing, append_payloads, as_raw, read_raw, with_counts
 from jobtide.sources.workdir import written
 
 NOW = dt.datetime(2026, 7, 1)
@@ -38,6 +38,25 @@ def test_payloads_are_stored_in_bounded_row_groups(spark, tmp_path):
     assert min(row_groups(tmp_path / "raw")) > 1
 
 
+def test_pages_and_row_groups_of_wide_rows_stay_small(spark, tmp_path):
+    noise = random.Random(1)
+    rows = [(n, "%01200000x" % noise.getrandbits(8 * 600_000)) for n in range(60)]
+    written(spark.createDataFrame(rows, "n long, text string").coalesce(1), "wide", work=str(tmp_path))
+    files = [pq.ParquetFile(f).metadata for f in tmp_path.rglob("*.parquet")]
+    sizes = [m.row_group(i).total_byte_size for m in files for i in range(m.num_row_groups)]
+    assert sum(sizes) > 60 * 1_200_000 and max(sizes) < 16 << 20
+
+
+def test_documents_are_stored_whole(spark, tmp_path):
+    payloads = spark.createDataFrame([("remotive", '{"jobs":[{"id":%d,"title":"a"}]}' % n) for n in range(50)], "source string, payload string")
+    append_payloads(payloads, str(tmp_path / "raw"), NOW)
+    (file,) = list((tmp_path / "raw").rglob("*.parquet"))[:1]
+    columns = pq.ParquetFile(file).metadata.schema
+    paths = {columns.column(i).path for i in range(len(columns))}
+    assert {"document.value", "document.metadata"} <= paths and not any("typed_value" in p for p in paths)
+    assert sorted(r["job_count_actual"] for r in with_counts(read_raw(spark, str(tmp_path / "raw"))).collect()) == [1] * 50
+
+
 def test_payloads_by_source_are_found_as_those_sorted_by_it(spark, tmp_path):
     rows = spark.createDataFrame([("remotive", '{"jobs":[]}'), ("adzuna", '{"jobs":[1]}')], "source string, payload string")
     landing = Landing.begin(spark, str(tmp_path / "raw"))
