@@ -14,7 +14,8 @@ from test_documents import base_counts, lines_kept, near_groups
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from jobtide.llm import queries
+from jobtide.llm import quality, queries
+from jobtide.llm.common import stored
 
 SF_DIR = "/root/testdata/sf0.001"
 REPO = Path(__file__).resolve().parents[2]
@@ -78,6 +79,17 @@ def test_the_pipeline_of_odd_rows(spark, tmp_path):
     assert got == sorted(map(repr, [(1, True), (1, True), (None, True)]))
 
 
+def test_quality_stores_each_text_once(spark, tmp_path, monkeypatch):
+    asked = []
+    monkeypatch.setattr(quality, "stored", lambda df, name, *by: asked.append((name, df.schema)) or stored(df, name, *by))
+    docs = spark.createDataFrame([(n, " ".join(f"word{n}-{i}" for i in range(60)), "en", "a", 3) for n in range(4)], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = corpus_pipeline.good_documents(spark, docs, str(tmp_path))
+    assert kept.columns == COLUMNS and sorted(rows(kept)) == sorted(rows(docs))
+    schema = dict(asked)["scored"].simpleString()
+    assert schema.count("text:string") == 1
+
+
 def test_the_rest_works_without_the_subpackage(tmp_path):
     copy = tmp_path / "repo"
     shutil.copytree(REPO, copy, ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "spark-warehouse", "__pycache__"))
