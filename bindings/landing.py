@@ -57,6 +57,32 @@ def _bodies(rows: DataFrame, *by: str, order: str, job: Callable[[Column], Colum
     return gathered.select(*by, F.array_join(F.transform(listed, lambda r: F.to_json(r["job"])), ",").alias("list"), "size_ok")
 
 
+def _shared_bodies(rows: DataFrame, order: str, job: Callable[[Column], Column]) -> DataFrame:
+    """Bodies of runs whose requests return the rows of their own place and of the next: a row stands in two of them.
+
+    A run is gathered once and its postings are made once, for both. Rows without a place answer the request without a
+    number, twice.
+    """
+
+    def asked(place: Column) -> list[Column]:
+        return [place, F.pmod(place + 4, F.lit(5))]
+
+    plain = F.struct(*[c for c in rows.columns if c != "run_id"])
+    gathered = rows.groupBy("run_id").agg(F.collect_list(plain).alias("rows"))
+    listed = F.sort_array(F.transform("rows", lambda r: F.struct(r[order].alias("at"), job(r).alias("job"), r["place"].alias("place"))))
+    made = gathered.select(
+        "run_id",
+        F.array_distinct(F.flatten(F.transform("rows", lambda r: F.array(*asked(r["place"]))))).alias("requests"),
+        F.transform(listed, lambda r: F.struct(r["place"], F.to_json(r["job"]).alias("text"))).alias("made"),
+    )
+    bodies = made.select("run_id", F.explode("requests").alias("request_ordinal"), "made")
+    ordinal = F.col("request_ordinal")
+    own = F.filter("made", lambda r: asked(r["place"])[0].eqNullSafe(ordinal) | asked(r["place"])[1].eqNullSafe(ordinal))
+    texts = F.transform(own, lambda r: r["text"])
+    twice = F.flatten(F.transform(own, lambda r: F.array(r["text"], r["text"])))
+    return bodies.select("run_id", "request_ordinal", F.array_join(F.when(ordinal.isNull(), twice).otherwise(texts), ",").alias("list"))
+
+
 def category_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run per 1000 order keys, a request per priority; each body also holds the next priority's orders."""
     slugs, names = list(fixed.CATEGORY_NAMES)[:5], list(fixed.CATEGORY_NAMES.values())[:5]
@@ -64,7 +90,6 @@ def category_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         *["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
         F.expr(f"o_orderkey div {ORDERS_PER_RUN}").alias("run_id"),
         _place("o_orderpriority", PRIORITIES).alias("place"),
-        F.lit(True).alias("size_ok"),
     )
 
     def job(r: Column) -> Column:
@@ -89,10 +114,7 @@ def category_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("https://jobs.example/c/"), r["o_orderkey"]).alias("url"),
         )
 
-    asked = rows.withColumn(
-        "request_ordinal", F.explode(F.array(F.col("place"), F.pmod(F.col("place") + 4, F.lit(5))))
-    )
-    bodies = _bodies(asked, "run_id", "request_ordinal", order="o_orderkey", job=job)
+    bodies = _shared_bodies(rows, order="o_orderkey", job=job)
     return _responses(
         bodies,
         "remotive",
@@ -109,7 +131,6 @@ def tag_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(f"event_id div {EVENTS_PER_RUN}").alias("run_id"),
         _place("event_type", EVENT_TYPES).alias("place"),
         F.from_json("props", "k int")["k"].alias("k"),
-        F.lit(True).alias("size_ok"),
     )
 
     def job(r: Column) -> Column:
@@ -133,10 +154,7 @@ def tag_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("https://jobs.example/t/"), r["event_id"]).alias("url"),
         )
 
-    asked = rows.withColumn(
-        "request_ordinal", F.explode(F.array(F.col("place"), F.pmod(F.col("place") + 4, F.lit(5))))
-    )
-    bodies = _bodies(asked, "run_id", "request_ordinal", order="event_id", job=job)
+    bodies = _shared_bodies(rows, order="event_id", job=job)
     return _responses(
         bodies,
         "remoteok",

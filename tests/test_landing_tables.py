@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import random
 
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from bindings.landing import BUILDERS
 from jobtide.schemas import RAW
 from jobtide.sources.raw import Landing, append_payloads, as_raw, read_raw, with_counts
 from jobtide.sources.workdir import written
@@ -79,3 +81,17 @@ def test_a_query_of_one_source_makes_that_source_alone(spark, tmp_path):
         assert sorted(r["id"] for r in entry.queries()[name](spark, str(tmp_path)).collect()) == ids
     staged = entry.queries()["stg_remoteok_jobs"](spark, str(tmp_path)).collect()
     assert sorted((r["job_id"], r["title"]) for r in staged) == [("0-7", "click"), ("1-7", "view")]
+
+
+def test_postings_of_two_requests_are_gathered_once(spark, tmp_path):
+    at = dt.datetime(2025, 1, 1)
+    kinds = ["view", "click", None, "click"]
+    events = [(n % 3, at, n, kind, 1.5, '{"k": 7}') for n, kind in enumerate(kinds)]
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(
+        str(tmp_path / "events.parquet")
+    )
+    made = BUILDERS["remoteok"](spark, str(tmp_path))
+    ids = {r["request_ordinal"]: [j["id"] for j in json.loads(r["body"])[1:]] for r in made.collect()}
+    assert ids == {4: ["0-7", "3-7", "1-7"], 3: ["0-7"], 0: ["3-7", "1-7"], None: ["2-7", "2-7"]}
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("Exchange")  # the explode comes after the shuffle
