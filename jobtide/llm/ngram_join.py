@@ -210,12 +210,14 @@ def verified(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _due(table: pa.Table, percent: int) -> np.ndarray:
-    """Of a block of outsiders and a block of members of a list: who is in a pair that meets first in this list."""
-    key = table["key"][0].as_py()
-    keys = [np.array(k.values) for k in table["keys"].combine_chunks()]
+    """Of a block of outsiders and a block of members of a list: who is in a pair that meets first in this list.
+
+    ``earlier`` holds the lists of a member that come before this one, in an order that is the same for all.
+    """
+    before = [np.array(k.values) for k in table["earlier"].combine_chunks()]
     group, size, asks = table["component"].to_numpy(), table["n_shingles"].to_numpy(), table["asks"].to_numpy()
     members = np.flatnonzero(~asks)
-    earlier = [keys[i][keys[i] < key] for i in members]
+    earlier = [before[i] for i in members]
     owner = np.repeat(members, [len(k) for k in earlier])
     flat = np.concatenate([*earlier, np.zeros(0, dtype=np.int64)])
     order = np.argsort(flat, kind="stable")
@@ -224,8 +226,7 @@ def _due(table: pa.Table, percent: int) -> np.ndarray:
     for i in np.flatnonzero(asks).tolist():
         apart = ~asks & (group != group[i])
         apart &= 100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])
-        own = keys[i][keys[i] < key]
-        for a, b in zip(np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")):
+        for a, b in zip(np.searchsorted(flat, before[i], "left"), np.searchsorted(flat, before[i], "right")):
             apart[owner[a:b]] = False
         if apart.any():
             due.update([i, *np.flatnonzero(apart).tolist()])
@@ -268,7 +269,7 @@ def remaining(
     lists = shares.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"))
     lists = lists.where("all > top.n").select("key", F.col("top.component").alias("largest"), "all", (F.col("all") - F.col("top.n")).alias("out"))
     blocks = [F.ceil(F.col(n) / BLOCK).cast("int").alias(name) for n, name in (("all", "blocks"), ("out", "out_blocks"))]
-    held = stored(placed.join(lists.select("key", "largest", *blocks), "key"), "apart")
+    held = stored(placed.join(lists.select("key", "largest", "all", *blocks), "key"), "apart")
     number = F.xxhash64("rep", "tie")
     outsiders = held.where("component <> largest").withColumns(
         {"asker": F.pmod(number, "out_blocks").cast("int"), "block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "asks": F.lit(True)}
@@ -278,12 +279,15 @@ def remaining(
     )
     at, of_class = ["key", "asker", "block"], ["rep", "tie"]
     row = [*at, *of_class, "component", "asks"]
-    # A pair meets in every list left that holds both; the first of them is enough to tell.
-    lists_of = held.groupBy(*of_class).agg(F.array_sort(F.collect_list("key")).alias("keys"), F.first("n").alias("n_shingles"))
+    # A pair meets in every list left that holds both; the first of them is enough to tell. Long lists come first: their
+    # members stand in the most blocks, and take along the keys of the lists before.
+    ordered = F.sort_array(F.collect_list(F.struct((-F.col("all")).alias("minus"), "key")))
+    lists_of = held.groupBy(*of_class).agg(F.transform(ordered, lambda x: x["key"]).alias("keys"), F.first("n").alias("n_shingles"))
     described = outsiders.select(row).unionByName(asked.select(row)).join(lists_of, of_class)
+    earlier = F.slice("keys", F.lit(1), F.array_position("keys", F.col("key")).cast("int") - 1).alias("earlier")
 
     def needed(table: pa.Table) -> pa.Table:
-        return table.drop_columns(["n_shingles", "keys"]).take(pa.array(_due(table, percent)))
+        return table.drop_columns(["n_shingles", "earlier"]).take(pa.array(_due(table, percent)))
 
     def search(table: pa.Table) -> pa.Table:
         links = np.array(_search(table, percent), dtype=np.int64).reshape(-1, 2)
@@ -291,7 +295,7 @@ def remaining(
 
     # Sets travel only to where a pair needs them.
     schema = "key long, asker int, block int, rep long, tie long, component long, asks boolean"
-    due = stored(by_group(described.select(*row, "n_shingles", "keys"), at, needed, schema), "due")
+    due = stored(by_group(described.select(*row, "n_shingles", earlier), at, needed, schema), "due")
     sets = stored(full_sets(docs, due.select(*of_class).distinct().join(classes, of_class), width), "sets")
     return by_group(due.join(sets, of_class).select(*row, "elements"), at, search, "a long, b long")
 

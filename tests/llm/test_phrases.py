@@ -122,3 +122,22 @@ def test_jaccard_join_of_odd_rows(spark):
     want = [(1, 37, 1), (1, 2, 1), (None, 37, None), (2, 2, 1), (3, 0, 3), (None, 0, None), (5, 38, 1), (5, 38, 1), (9, 1, 9), (8, 1, 8)]
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
     assert ngram_join.jaccard_join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_members_of_a_block_bring_only_the_lists_before_it_long_ones_first(spark, monkeypatch):
+    frames, by_group = [], ngram_join.by_group
+
+    def seen(df, *rest):
+        frames.append(df)
+        return by_group(df, *rest)
+
+    monkeypatch.setattr(ngram_join, "by_group", seen)
+    lists = {5: [1, 2], 6: [1, 2, 3], 7: [1, 2, 3, 4]}
+    members = spark.createDataFrame([(k, rep, 0, 10) for k, reps in lists.items() for rep in reps], "key long, rep long, tie long, n long")
+    classes = spark.createDataFrame([(rep, 0, rep, rep) for rep in (1, 2, 3, 4)], "rep long, tie long, h1 long, h2 long")
+    docs = spark.createDataFrame([(rep, "a b c d") for rep in (1, 2, 3, 4)], "doc_id long, text string")
+    none = spark.createDataFrame([], "key long, b long, b_tie long, node long, component long")
+    ngram_join.remaining(docs, members, none.select("key", "b", "b_tie"), classes, none.select("node", "component"), 4, 85)
+    (brought,) = {c for c, kind in frames[0].dtypes if kind == "array<bigint>"}
+    got = {(r["key"], r["rep"]): list(r[brought]) for r in frames[0].collect()}
+    assert got == {(k, rep): [longer for longer in (7, 6) if longer > k] for k, reps in lists.items() for rep in reps}
