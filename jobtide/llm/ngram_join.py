@@ -9,7 +9,8 @@ common passages come last, and are not merged.
 
 Short lists are gathered by Spark. In each, the member that shares most is compared with the others; of
 what then still lies apart, blocks of a list are searched in tasks (:mod:`jobtide.llm.divide_skip`): short
-lists merged by a heap, long ones probed. All links are decided on full sets, and only links leave the tasks.
+lists merged by a heap, long ones probed. Members that no other comes near in size leave a list, and marks, a
+bit for two elements, tell of most unrelated pairs that they differ too much before sets travel. All links are decided on full sets, and only links leave the tasks.
 Texts with equal sets are one class. The hashes have 64 bits a run and 128 a set.
 """
 
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobtide.llm import grams
@@ -37,6 +38,8 @@ CELL_BITS, SLICE_BITS = 22, 16
 FILTER = 1 << 23
 BLANK = grams.table(BLANKS.encode())
 LEVEL_SHIFT = np.uint64(56)
+#: The smallest number of bits of a mark.
+MARK_BITS = 128
 
 
 def _texts(column: pa.Array) -> list[bytes]:
@@ -115,25 +118,43 @@ def _key(elements: np.ndarray) -> tuple[int, int]:
     return tuple(int(x) for x in np.array([h >> 64, h & (1 << 64) - 1], dtype=np.uint64).view(np.int64))
 
 
+def mark(elements: np.ndarray) -> np.ndarray:
+    """Bits that tell whether an odd number of elements falls on them, packed: a power of two of them, half the size at least.
+
+    Marks of two sets differ in no more bits than the sets in elements, as elements of both fall on the same bits.
+    """
+    bits = max(MARK_BITS, 1 << (len(elements) // 2 - 1).bit_length())
+    return np.packbits(np.bincount((elements & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1)
+
+
+def may_link(marks: np.ndarray, sizes: np.ndarray, with_mark: np.ndarray, with_size: int, percent: int) -> np.ndarray:
+    """Whether sets with marks of one length can be linked with a set. The longer marks are folded to the length of the others."""
+    short = min(marks.shape[1], len(with_mark))
+    folded = [np.bitwise_xor.reduce(m.reshape(len(m), -1, short), axis=1) for m in (marks, with_mark[None])]
+    differ = np.bitwise_count(folded[0] ^ folded[1]).sum(axis=1, dtype=np.int64)
+    return (100 + percent) * differ <= (100 - percent) * (sizes + with_size)
+
+
 def signed(docs: DataFrame, width: int, percent: int, levels: bytes) -> DataFrame:
-    """Per row of (doc_id, text): the set's size and 128-bit hash, and the keys of its short lists."""
+    """Per row of (doc_id, text): the set's size, 128-bit hash and mark, and the keys of its short lists."""
     held = docs.sparkSession.sparkContext.broadcast(levels)  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(held.value, dtype=np.uint8)
         for batch in batches:
-            sizes, hashes, keys = [], [], []
+            sizes, hashes, marks, keys = [], [], [], []
             for elements, order in sets_of(_texts(batch.column(1)), width, table):
                 sizes.append(len(elements))
                 hashes.append(_key(elements))
+                marks.append(mark(elements).tobytes())
                 keys.append(short_lists(order, percent) if len(elements) else order)
             flat = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, dtype=np.int64)
             offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             h1, h2 = (pa.array([h[i] for h in hashes], pa.int64()) for i in (0, 1))
-            columns = [batch.column(0), pa.array(sizes, pa.int64()), h1, h2, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "h1", "h2", "keys"])
+            columns = [batch.column(0), pa.array(sizes, pa.int64()), h1, h2, pa.array(marks, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "h1", "h2", "mark", "keys"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, mark binary, keys array<long>")
 
 
 def filter_of(df: DataFrame, column: str) -> np.ndarray:
@@ -185,10 +206,48 @@ def entries_of(classes: DataFrame, keys: np.ndarray) -> DataFrame:
     return classes.select("rep", "tie", "n_shingles", "keys").mapInArrow(run, "key long, rep long, tie long, n long")
 
 
+def members_of(classes: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+    """The members of each list, without those of lists of up to a block that no other member comes near in size.
+
+    Sizes of linked texts lie within ``percent`` of each other, and of all members the next smaller or larger one comes
+    nearest. Most texts that share a run by chance have no link to look for. Longer lists, which are few, are left whole, so
+    that Spark can split them.
+    """
+    short, long = (
+        entries_of(classes, filter_of(of_length, "key")).join(of_length, "key").select("key", "rep", "tie", "n", "size")
+        for of_length in (lists.where(F.col("size") <= BLOCK), lists.where(F.col("size") > BLOCK))
+    )
+    by_size = Window.partitionBy("key").orderBy("n")
+    beside = short.withColumns({"smaller": F.lag("n").over(by_size), "larger": F.lead("n").over(by_size)})
+    near = (100 * F.col("smaller") >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.col("larger"))
+    return beside.where(near).drop("smaller", "larger").unionByName(long)
+
+
 def _elements(data) -> np.ndarray:
     return np.frombuffer(data.as_buffer(), dtype=np.uint64)
 
 
+def _mark(data) -> np.ndarray:
+    return np.frombuffer(data.as_buffer(), dtype=np.uint8)
+
+
+def likely(edges: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """The edges whose ends can be linked by their marks: full sets of the others need not travel."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_a, n_b = (batch.column(i).to_numpy() for i in (4, 6))
+            pairs = enumerate(zip(batch.column(5), batch.column(7)))
+            good = [bool(may_link(_mark(x)[None], n_a[i : i + 1], _mark(y), int(n_b[i]), percent)[0]) for i, (x, y) in pairs]
+            yield pa.RecordBatch.from_arrays(batch.columns[:4], ["a", "a_tie", "b", "b_tie"]).filter(pa.array(good, pa.bool_()))
+
+    for x in ("a", "b"):
+        side = marks.select(F.col("rep").alias(x), F.col("tie").alias(f"{x}_tie"), F.col("n_shingles").alias(f"n_{x}"), F.col("mark").alias(f"of_{x}"))
+        edges = edges.join(side, [x, f"{x}_tie"])
+    row = ["a", "a_tie", "b", "b_tie"]
+    return edges.select(*row, "n_a", "of_a", "n_b", "of_b").mapInArrow(run, ", ".join(f"{c} long" for c in row))
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
         return False
@@ -233,6 +292,23 @@ def _due(table: pa.Table, percent: int) -> np.ndarray:
     return np.array(sorted(due), dtype=np.int64)
 
 
+def _near(table: pa.Table, percent: int) -> np.ndarray:
+    """Of a block of outsiders and a block of members: who is in a pair of two components that can be linked by its marks."""
+    group, size, asks = table["component"].to_numpy(), table["n_shingles"].to_numpy(), table["asks"].to_numpy()
+    marks = [_mark(x) for x in table["mark"]]
+    lengths = np.array([len(m) for m in marks], dtype=np.int64)
+    of_length = {n: np.flatnonzero(~asks & (lengths == n)) for n in np.unique(lengths[~asks]).tolist()}
+    stacked = {n: np.stack([marks[j] for j in at]) for n, at in of_length.items()}
+    near = set()
+    for i in np.flatnonzero(asks).tolist():
+        for n, at in of_length.items():
+            apart = (group[at] != group[i]) & (100 * np.minimum(size[at], size[i]) >= percent * np.maximum(size[at], size[i]))
+            found = at[apart][may_link(stacked[n][apart], size[at][apart], marks[i], int(size[i]), percent)]
+            if len(found):
+                near.update([i, *found.tolist()])
+    return np.array(sorted(near), dtype=np.int64)
+
+
 def _search(table: pa.Table, percent: int) -> list[tuple[int, int]]:
     """Links of outsiders with members in other components, by T-occurrence."""
     reps, group, asks = table["rep"].to_pylist(), table["component"].to_pylist(), table["asks"].to_numpy()
@@ -255,12 +331,20 @@ def _search(table: pa.Table, percent: int) -> list[tuple[int, int]]:
 
 
 def remaining(
-    docs: DataFrame, members: DataFrame, centres: DataFrame, classes: DataFrame, groups: DataFrame, width: int, percent: int
+    docs: DataFrame,
+    members: DataFrame,
+    centres: DataFrame,
+    classes: DataFrame,
+    groups: DataFrame,
+    width: int,
+    percent: int,
+    marks: DataFrame | None = None,
 ) -> DataFrame:
     """Links between members of one short list, other than its centre, that are not in one component yet.
 
     Those outside the largest component of a list, the outsiders, are compared with all its members: blocks
     of outsiders with blocks of members, so that what travels follows the members as long as outsiders are few.
+    With the marks of the classes, sets of pairs that cannot be linked stay where they are.
     """
     tried = centres.select("key", F.col("b").alias("rep"), F.col("b_tie").alias("tie"))
     others = members.join(tried, ["key", "rep", "tie"], "left_anti")
@@ -296,6 +380,12 @@ def remaining(
     # Sets travel only to where a pair needs them.
     schema = "key long, asker int, block int, rep long, tie long, component long, asks boolean"
     due = stored(by_group(described.select(*row, "n_shingles", earlier), at, needed, schema), "due")
+    if marks is not None:
+
+        def near(table: pa.Table) -> pa.Table:
+            return table.drop_columns(["n_shingles", "mark"]).take(pa.array(_near(table, percent)))
+
+        due = stored(by_group(due.join(marks, of_class).select(*row, "n_shingles", "mark"), at, near, schema), "near")
     sets = stored(full_sets(docs, due.select(*of_class).distinct().join(classes, of_class), width), "sets")
     return by_group(due.join(sets, of_class).select(*row, "elements"), at, search, "a long, b long")
 
@@ -316,8 +406,8 @@ def jaccard_join(
     of_id = some.groupBy("doc_id").agg(F.min(F.struct("h1", "h2")).alias("lo"), F.max(F.struct("h1", "h2")).alias("hi"))
     several = stored(of_id.where("lo <> hi").select("doc_id"), "several")  # ids of more than one set
     found = some.groupBy("h1", "h2").agg(
-        F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.min_by("keys", "doc_id").alias("keys")
-    )
+        F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.min_by(F.struct("keys", "mark"), "doc_id").alias("of")
+    ).select("h1", "h2", "rep", "n_shingles", "of.*")
     tie = F.when(F.col("doc_id").isNotNull(), F.xxhash64("h1", "h2")).otherwise(F.lit(0).cast("long"))
     classes = stored(found.join(several, F.col("rep") == F.col("doc_id"), "left").withColumn("tie", tie).drop("doc_id"), "classes")
     of_class = ["rep", "tie"]
@@ -325,21 +415,22 @@ def jaccard_join(
     same = same.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
 
     lists = stored(classes.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "lists")
-    entries = entries_of(classes, filter_of(lists, "key"))
-    members = stored(entries.join(lists, "key").select("key", *of_class, "n", "size"), "members")
+    members = stored(members_of(classes, lists, percent), "members")
     known = members.groupBy(*of_class).agg(F.sum("size").alias("score"))
     best = F.max(F.struct("score", (-F.col("rep")).alias("minus"), "tie", "n")).alias("best")
     centres = members.join(known, of_class).groupBy("key").agg(best)
     centres = stored(centres.select("key", (-F.col("best.minus")).alias("b"), F.col("best.tie").alias("b_tie"), F.col("best.n").alias("b_n")), "centres")
     fits = (F.col("rep") != F.col("b")) & (100 * F.least("n", "b_n") >= percent * F.greatest("n", "b_n"))
     pairs = members.join(centres, "key").where(fits)
-    edges = stored(pairs.select(F.col("rep").alias("a"), F.col("tie").alias("a_tie"), "b", "b_tie").distinct(), "edges")
+    edges = pairs.select(F.col("rep").alias("a"), F.col("tie").alias("a_tie"), "b", "b_tie").distinct()
+    marks = classes.select(*of_class, "n_shingles", "mark")
+    edges = stored(likely(edges, marks, percent), "edges")
 
     ends = edges.select(F.col("a").alias("rep"), F.col("a_tie").alias("tie")).union(edges.select("b", "b_tie")).distinct()
-    sets = stored(full_sets(docs, ends.join(classes.drop("keys"), of_class), words), "sets")
+    sets = stored(full_sets(docs, ends.join(classes.drop("keys", "mark"), of_class), words), "sets")
     links = stored(verified(edges, sets, percent).unionByName(same), "verified")
     groups = components(links)
-    more = stored(remaining(docs, members, centres, classes, groups, words, percent), "verified")
+    more = stored(remaining(docs, members, centres, classes, groups, words, percent, marks), "verified")
     if not more.isEmpty():
         groups = components(links.unionByName(more))
 

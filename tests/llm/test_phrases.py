@@ -141,3 +141,43 @@ def test_members_of_a_block_bring_only_the_lists_before_it_long_ones_first(spark
     (brought,) = {c for c, kind in frames[0].dtypes if kind == "array<bigint>"}
     got = {(r["key"], r["rep"]): list(r[brought]) for r in frames[0].collect()}
     assert got == {(k, rep): [longer for longer in (7, 6) if longer > k] for k, reps in lists.items() for rep in reps}
+
+
+def test_lists_keep_members_near_another_in_size(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    lists = {5: [10, 85], 6: [84, 100, 200, 235], 7: [10, 20, 40, 80, 160]}
+    classes = [(10 * key + i, 0, n, [key]) for key, sizes in lists.items() for i, n in enumerate(sizes)]
+    sizes = spark.createDataFrame([(key, len(of)) for key, of in lists.items()], "key long, size long")
+    got = ngram_join.members_of(spark.createDataFrame(classes, "rep long, tie long, n_shingles long, keys array<long>"), sizes, 85)
+    want = [(6, 200), (6, 235), *[(7, n) for n in lists[7]]]  # lists longer than a block stay whole
+    assert sorted((r["key"], r["n"]) for r in got.collect()) == want
+
+
+@pytest.mark.parametrize("percent", [70, 85])
+def test_marks_rule_out_no_link_and_most_unrelated_pairs(percent):
+    rng, out = np.random.default_rng(3), 0
+    for n in (1, 2, 20, 127, 255, 256, 300, 512, 700, 1024, 3000):
+        for own in (0, 1, n // 12, n // 6):
+            both = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+            a, b = (np.unique(np.concatenate([both, rng.integers(0, 1 << 63, own, dtype=np.uint64)])) for _ in range(2))
+            b = b[rng.random(len(b)) < 0.97] if len(b) > 100 else b
+            may = ngram_join.may_link(ngram_join.mark(a)[None], np.array([len(a)]), ngram_join.mark(b), len(b), percent)
+            assert may[0] or not ngram_join.linked(a, b, percent)
+        other = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        out += not ngram_join.may_link(ngram_join.mark(a)[None], np.array([len(a)]), ngram_join.mark(other), n, 85)[0]
+    assert out >= 9
+
+
+def test_only_sets_of_likely_pairs_travel(spark, monkeypatch):
+    wanted, full_sets = [], ngram_join.full_sets
+
+    def seen(docs, asked, width):
+        wanted.append(asked.count())
+        return full_sets(docs, asked, width)
+
+    monkeypatch.setattr(ngram_join, "full_sets", seen)
+    texts = [" ".join(["rare of all runs", *(f"w{i}_{n}" for n in range(300))]) for i in range(6)]
+    rows = [*enumerate(texts), (9, f"{texts[3]} more")]
+    got = ngram_join.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {**{i: i for i in range(6)}, 9: 3}
+    assert sum(wanted) <= 3
