@@ -130,7 +130,7 @@ def mark(elements: np.ndarray) -> np.ndarray:
 def may_link(marks: np.ndarray, sizes: np.ndarray, with_mark: np.ndarray, with_size: int, percent: int) -> np.ndarray:
     """Whether sets with marks of one length can be linked with a set. The longer marks are folded to the length of the others."""
     short = min(marks.shape[1], len(with_mark))
-    folded = [np.bitwise_xor.reduce(m.reshape(len(m), -1, short), axis=1) for m in (marks, with_mark[None])]
+    folded = [np.bitwise_xor.reduce(m.reshape(len(m), m.shape[1] // short, short), axis=1) for m in (marks, with_mark[None])]
     differ = np.bitwise_count(folded[0] ^ folded[1]).sum(axis=1, dtype=np.int64)
     return (100 + percent) * differ <= (100 - percent) * (sizes + with_size)
 

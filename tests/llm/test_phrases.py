@@ -164,6 +164,7 @@ def test_marks_rule_out_no_link_and_most_unrelated_pairs(percent):
             may = ngram_join.may_link(ngram_join.mark(a)[None], np.array([len(a)]), ngram_join.mark(b), len(b), percent)
             assert may[0] or not ngram_join.linked(a, b, percent)
         other = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        assert not len(ngram_join.may_link(np.zeros((0, 64), dtype=np.uint8), np.zeros(0, dtype=np.int64), ngram_join.mark(a), len(a), percent))
         out += not ngram_join.may_link(ngram_join.mark(a)[None], np.array([len(a)]), ngram_join.mark(other), n, 85)[0]
     assert out >= 9
 
